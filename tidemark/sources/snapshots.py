@@ -1,0 +1,79 @@
+"""Versioned dimensions on files: each merge writes one new batch that appears at once.
+
+``<path>/batch=N/is_current=false``  the versions closed by batch N, never rewritten
+``<path>/batch=N/is_current=true``   all open versions after batch N
+
+A batch counts once Spark has committed it with its marker file. A merge that fails
+half-way leaves nothing visible and can be run again under the same number.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.scd import (
+    TYPE2_RELATIONAL,
+    VERSION_FIELDS,
+    Type2Rules,
+    type2_merge,
+)
+
+MARKER = "_SUCCESS"
+
+
+def newest_batch(spark: SparkSession, path: str) -> int:
+    """Number of the newest complete batch, -1 if there is none."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch=*/{MARKER}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    names = [f.getPath().getParent().getName() for f in found or []]
+    return max((int(name.partition("=")[2]) for name in names), default=-1)
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    rows = spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+    return rows.withColumn("is_current", F.col("is_current").cast("boolean"))
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """Open versions; only the newest batch's open files are read."""
+    batch = newest_batch(spark, path)
+    rows = _read(spark, path).filter((F.col("batch") == batch) & F.col("is_current"))
+    return rows.select(*VERSION_FIELDS)
+
+
+def read_dimension(spark: SparkSession, path: str) -> DataFrame:
+    """All versions, closed and open."""
+    batch = newest_batch(spark, path)
+    closed = (F.col("batch") <= batch) & ~F.col("is_current")
+    opened = (F.col("batch") == batch) & F.col("is_current")
+    return _read(spark, path).filter(closed | opened).select(*VERSION_FIELDS)
+
+
+def _write(rows: DataFrame, path: str, batch: int) -> None:
+    rows.write.mode("overwrite").partitionBy("is_current").parquet(f"{path}/batch={batch}")
+
+
+def publish_first(rows: DataFrame, path: str) -> int:
+    """Batch 0, the first load; an existing dimension is left as it is."""
+    if newest_batch(rows.sparkSession, path) < 0:
+        _write(rows.select(*VERSION_FIELDS), path, 0)
+    return newest_batch(rows.sparkSession, path)
+
+
+def publish_changes(
+    spark: SparkSession,
+    path: str,
+    changes: DataFrame,
+    as_of: dt.date,
+    rules: Type2Rules = TYPE2_RELATIONAL,
+    order_by: str | None = None,
+) -> int:
+    """Merge changes into the newest batch and publish the next; closed versions are
+    neither read nor rewritten."""
+    batch = newest_batch(spark, path) + 1
+    merged = type2_merge(read_current(spark, path), changes, as_of, rules, order_by)
+    _write(merged, path, batch)
+    return batch
