@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.checks import inputs
-from tidemark.checks.registry import query, table
+from tidemark.checks.registry import dates_as_text, query, table
 from tidemark.functions import messages, times
 from tidemark.functions.numbers import mean, number
 from tidemark.operators import cleaning, ranges, report, routing, windows
-from tidemark.plans import enrichment, medallion, sensor_alerts, trades
+from tidemark.plans import enrichment, medal_report, medallion, sensor_alerts, trades
 from tidemark.session import scratch, stream_session
+from tidemark.sources import files
 
 AVERAGE = "CAST(sum(CAST({0} AS DECIMAL(18,2))) AS DOUBLE) / count({0})"
 
@@ -92,6 +94,41 @@ def enriched_running_averages(spark: SparkSession, folder: str) -> DataFrame:
     return rows.drop("calculation_time")
 
 
+# --- files ------------------------------------------------------------------------------
+
+
+@query("landing_inferred", "SELECT * FROM supplier")
+def landing_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV → bronze with inferred types, written and read back."""
+    path = scratch(spark, "landing")
+    table(spark, folder, "supplier").write.option("header", True).csv(f"{path}/csv")
+    bronze = medallion.to_bronze(spark, f"{path}/csv", f"{path}/bronze")
+    return bronze.withColumn("s_suppkey", F.col("s_suppkey").cast("bigint"))
+
+
+@query(
+    "csv_customers",
+    f"""
+SELECT customer_id, full_name, email, phone, city, coalesce(address, '') AS address, status,
+       CAST(sign_up_date AS VARCHAR) AS sign_up_date, age, subscription_type
+FROM ({inputs.FIRST_SQL})""",
+)
+def csv_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """A customer snapshot through CSV: an empty cell comes back as an empty text."""
+    path = scratch(spark, "customers")
+    inputs.first_day(spark, folder).write.option("header", True).csv(path)
+    rows = files.read_customers(spark, path)
+    return dates_as_text(rows.withColumn("customer_id", F.col("customer_id").cast("bigint")))
+
+
+@query("csv_limits", f"SELECT * FROM ({inputs.MANY_LIMITS_SQL})")
+def csv_limits(spark: SparkSession, folder: str) -> DataFrame:
+    """Alert limits through CSV: text on arrival, blank limits as null."""
+    path = scratch(spark, "limits")
+    inputs.many_limits(spark, folder).write.option("header", True).csv(path)
+    return files.read_limits(spark, path)
+
+
 # --- cleaning ---------------------------------------------------------------------------
 
 
@@ -510,15 +547,15 @@ def alerts_range_join(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "alerts_many_rules",
     f"""
-SELECT e.sensor_id, count(*) AS alerts, count(DISTINCT l.code) AS rules,
-       min(l.code) AS first_code
+SELECT l.code, count(*) AS alerts, min(e.sensor_id) AS first_sensor,
+       max(e.temperature) AS max_temp
 FROM ({inputs.READINGS_SQL}) e JOIN ({inputs.MANY_LIMITS_SQL}) l
   ON (e.temperature > l.temperature_min AND e.temperature < l.temperature_max)
   OR (e.humidity > l.humidity_min AND e.humidity < l.humidity_max)
 GROUP BY 1""",
 )
 def alerts_many_rules(spark: SparkSession, folder: str) -> DataFrame:
-    """Every reading against a long rule table."""
+    """Every reading against a long rule table, summed up per rule."""
     halves = (
         ranges.Bounds("temperature", "temperature_min", "temperature_max"),
         ranges.Bounds("humidity", "humidity_min", "humidity_max"),
@@ -526,12 +563,10 @@ def alerts_many_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = ranges.match_rules(
         inputs.readings(_events(spark, folder)), inputs.many_limits(spark, folder), halves
     )
-    # Counted per rule first: the distinct count then needs no second copy of the pairs.
-    per_rule = found.groupBy("sensor_id", "code").agg(F.count("*").alias("n"))
-    return per_rule.groupBy("sensor_id").agg(
-        F.sum("n").alias("alerts"),
-        F.count("*").alias("rules"),
-        F.min("code").alias("first_code"),
+    return found.groupBy("code").agg(
+        F.count("*").alias("alerts"),
+        F.min("sensor_id").alias("first_sensor"),
+        F.max("temperature").alias("max_temp"),
     )
 
 
@@ -562,6 +597,30 @@ def report_log(spark: SparkSession, folder: str) -> DataFrame:
     return report.log_rows(counts, REPORT_TIME, values, last_id=7)
 
 
+@query(
+    "report_table",
+    """
+WITH c AS (SELECT o_orderstatus AS value, count(*) AS n FROM orders GROUP BY 1)
+SELECT CASE value WHEN 'O' THEN 1 WHEN 'F' THEN 2 ELSE 3 END::BIGINT + 3 * run AS id, value,
+       n AS count, TIMESTAMP '2024-06-01 12:00:00' + run * INTERVAL 1 DAY AS created_at
+FROM c CROSS JOIN (VALUES (0), (1)) AS runs(run)""",
+)
+def report_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Create if absent, append on two days; the repeated second run adds nothing."""
+    path = scratch(spark, "report")
+    name = f"report_{os.path.basename(path).rpartition('-')[2]}"
+    orders = table(spark, folder, "orders")
+    for day in (0, 1, 1):
+        medal_report.create_log(spark, name, path)
+        medal_report.append_counts(
+            spark, name, orders, "o_orderstatus",
+            REPORT_TIME + dt.timedelta(days=day), ("O", "F", "P"),
+        )
+    rows = spark.read.parquet(path)
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 @query(
     "latest_row_fresh",
     """

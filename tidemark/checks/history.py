@@ -36,6 +36,55 @@ def _fields(alias: str, **given: str) -> str:
     return ", ".join(f"{given.get(f, f'{alias}.{f}')} AS {f}" for f in CUSTOMER_FIELDS)
 
 
+# --- first loads ------------------------------------------------------------------------
+
+
+def _first_versions(start: str) -> str:
+    return f"""
+WITH first_rows AS ({inputs.FIRST_SQL}),
+dim AS (SELECT *, {start} AS valid_from, CAST(NULL AS DATE) AS valid_to, true AS is_current
+        FROM first_rows)
+SELECT {_text(scd.VERSION_FIELDS)} FROM dim"""
+
+
+@query("scd2_first_load", _first_versions("sign_up_date"))
+def scd2_first_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Loaded twice; the second load inserts nothing."""
+    loaded = scd.type2_load(inputs.first_day(spark, folder), FIRST_DAY)
+    return dates_as_text(scd.insert_if_absent(loaded, loaded))
+
+
+@query("scd2_first_load_document", _first_versions(_FIRST_DAY))
+def scd2_first_load_document(spark: SparkSession, folder: str) -> DataFrame:
+    first = inputs.first_day(spark, folder)
+    return dates_as_text(scd.type2_load(first, FIRST_DAY, scd.TYPE2_DOCUMENT))
+
+
+@query(
+    "scd3_first_load",
+    f"""
+WITH first_rows AS ({inputs.FIRST_SQL})
+SELECT {_text(CUSTOMER_FIELDS)},
+       {", ".join(f"CAST(NULL AS VARCHAR) AS previous_{f}" for f in SIX_FIELDS)},
+       CAST(sign_up_date AS VARCHAR) AS last_update_date FROM first_rows""",
+)
+def scd3_first_load(spark: SparkSession, folder: str) -> DataFrame:
+    first = inputs.first_day(spark, folder)
+    return dates_as_text(scd.type3_load(first, scd.TYPE3_DOCUMENT))
+
+
+@query(
+    "scd4_first_load",
+    f"""
+WITH first_rows AS ({inputs.FIRST_SQL})
+SELECT {_text(CUSTOMER_FIELDS)}, '2024-01-01' AS valid_from, CAST(NULL AS VARCHAR) AS valid_to
+FROM first_rows""",
+)
+def scd4_first_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The open history rows; the current rows are the snapshot itself."""
+    return dates_as_text(scd.type4_load(inputs.first_day(spark, folder), FIRST_DAY)[1])
+
+
 # --- type 2 -----------------------------------------------------------------------------
 
 

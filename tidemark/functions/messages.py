@@ -29,9 +29,15 @@ def decode(frame: DataFrame, schema: str, value: str | Column = "value") -> Data
     A field of the wrong type becomes null, text that is no JSON gives a row of nulls.
     """
     text = F.col(value) if isinstance(value, str) else value
-    return frame.select(
-        F.from_json(text.cast("string"), schema).alias("data")
-    ).select("data.*")
+    return unpack(frame, F.from_json(text.cast("string"), schema))
+
+
+def unpack(frame: DataFrame, data: Column) -> DataFrame:
+    """The fields of a struct as columns, the struct being computed once per row.
+
+    As a plain projection, every later filter on a field would parse the text again.
+    """
+    return frame.select(F.inline(F.array(data)))
 
 
 def strip_escapes(text: Column) -> Column:

@@ -19,9 +19,13 @@ def type2_from_files(
     first_day: dt.date,
     rules: scd.Type2Rules = scd.TYPE2_RELATIONAL,
 ) -> DataFrame:
-    """Customer files of consecutive days as one published dimension."""
-    customers = scd.require_unique(read_customers(spark, first), "customer_id")
-    publish_first(scd.type2_load(customers, first_day, rules), path)
+    """Customer files of consecutive days as one published dimension.
+
+    The first load inserts each key once and does nothing where the dimension exists; a
+    key that repeats in a later file ends that merge.
+    """
+    loaded = scd.type2_load(read_customers(spark, first), first_day, rules)
+    publish_first(scd.insert_if_absent(loaded.limit(0), loaded), path)
     for file, day in later:
         publish_changes(spark, path, read_customers(spark, file), day, rules)
     return read_dimension(spark, path)

@@ -13,8 +13,10 @@ from tidemark.operators.report import count_by_value, freshness, log_rows
 from tidemark.schemas import REPORT_LOG
 
 
-def create_log(spark: SparkSession, table: str) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({REPORT_LOG}) USING parquet")
+def create_log(spark: SparkSession, table: str, location: str | None = None) -> None:
+    """The report table, if it is absent; ``location`` keeps its files in a given folder."""
+    place = f"LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({REPORT_LOG}) USING parquet {place}")
 
 
 def append_counts(

@@ -35,7 +35,7 @@ _WIRE = (
 
 def _wire(message_rows: DataFrame) -> DataFrame:
     data = F.from_json(F.col("value").cast("string"), schemas.RAW_TRADE).cast(_WIRE)
-    return message_rows.select(data.alias("data")).select("data.*")
+    return messages.unpack(message_rows, data)
 
 
 def normalised(message_rows: DataFrame) -> DataFrame:
