@@ -141,7 +141,7 @@ def scd2_graph(spark: SparkSession, folder: str) -> DataFrame:
 def scd2_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     """The way for a batch of changes too large to broadcast."""
     loaded = scd.type2_load(inputs.first_day(spark, folder), FIRST_DAY)
-    merged = scd.type2_apply(loaded, inputs.changes(spark, folder), DAY, rows=0)
+    merged = scd.type2_apply(loaded, inputs.changes(spark, folder), DAY, max_rows=0)
     return dates_as_text(merged)
 
 

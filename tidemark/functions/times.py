@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +35,11 @@ def utc_wall_clock(column: Column) -> Column:
     return F.convert_timezone(None, F.lit("UTC"), column)
 
 
+def wall_clock(at: dt.datetime) -> Column:
+    """A fixed zone-less time, the same under every session zone."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def stamp(as_of: str | Column | None = None) -> Column:
     """Load time: now, or the given time so that a run can be repeated."""
     if as_of is None:

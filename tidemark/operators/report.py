@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import FRESH_SECONDS, MEDALS
+from tidemark.functions.times import wall_clock
 
 
 def count_by_value(
@@ -35,7 +36,7 @@ def log_rows(
         (F.lit(last_id) + place).cast("bigint").alias("id"),
         "value",
         "count",
-        F.lit(created_at).cast("timestamp_ntz").alias("created_at"),
+        wall_clock(created_at).alias("created_at"),
     )
 
 
@@ -52,6 +53,6 @@ def freshness(
     seconds: int = FRESH_SECONDS,
 ) -> DataFrame:
     """Whether the newest row is younger than ``seconds``, in real seconds."""
-    at = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
+    at = as_of if isinstance(as_of, Column) else wall_clock(as_of)
     age = F.timestamp_diff("MICROSECOND", F.col(time), at)
     return newest(log, by).withColumn("fresh", age < F.lit(seconds * 1_000_000))

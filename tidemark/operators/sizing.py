@@ -24,8 +24,10 @@ class Size:
     rows: int
     bytes: int
 
-    def fits(self, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-        return self.rows <= rows and self.bytes <= size
+    def fits(
+        self, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+    ) -> bool:
+        return self.rows <= max_rows and self.bytes <= max_bytes
 
 
 def _width(field: T.StructField) -> Column:

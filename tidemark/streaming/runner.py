@@ -52,8 +52,12 @@ def finish(query: StreamingQuery) -> None:
 
 
 def run_until_one_ends(spark: SparkSession, writers: Sequence[DataStreamWriter]) -> None:
-    """Start all queries before waiting; when one ends, stop the others."""
+    """Start all queries before waiting; when one ends, stop the others.
+
+    The error of a failed query is raised. Queries that ended earlier do not count.
+    """
     started: list[StreamingQuery] = []
+    spark.streams.resetTerminated()
     try:
         for out in writers:
             started.append(out.start())
