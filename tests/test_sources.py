@@ -136,6 +136,7 @@ class Options(dict):
 def test_jdbc_options():
     settings = DatabaseSettings(url="jdbc:x", driver="d", user="u", password="p")
     assert jdbc.connection(settings) == {"url": "jdbc:x", "driver": "d", "user": "u", "password": "p"}
+    assert jdbc.batch_query("t", 7) == "select * from t where batch_id = 7"
     got = jdbc.split(Options(), "id", 1, 99, 8)
     assert got == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "99", "numPartitions": 8}
 

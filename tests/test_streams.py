@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import messages
 from tidemark.operators import windows
-from tidemark.plans import enrichment, sensor_alerts
+from tidemark.plans import enrichment, sensor_alerts, trades
 from tidemark.session import stream_session
 from tidemark.sources.files import stream_folder
 from tidemark.streaming import runner, sinks
@@ -181,6 +181,87 @@ def test_long_rule_lists_work_on_a_stream(session, tmp_path):
     assert got.count() == 6 * 71 and got.distinct().count() == 6 * 71
 
 
+@pytest.mark.parametrize("sent_to_athletes", [False, True])
+def test_both_ways_of_the_static_join_agree(session, tmp_path, sent_to_athletes):
+    folder = tmp_path / "topic"
+    data = [(str(i), json.dumps({"sport": "judo", "athlete_id": i % 3})) for i in range(9)]
+    session.createDataFrame(data, schemas.ENVELOPE).write.parquet(str(folder))
+    athletes = session.createDataFrame(
+        [(i, "f", str(170 + i), "60", "UKR") for i in range(3)], schemas.ATHLETE_BIO
+    )
+    stream = stream_folder(session, str(folder), schemas.ENVELOPE)
+    averages = enrichment.running_averages(
+        stream, athletes, "2024-01-01 00:00:00", broadcast_results=sent_to_athletes
+    )
+    log, topic = str(tmp_path / "log"), str(tmp_path / "averages")
+    columns = f"{schemas.GROUP_AVERAGE}, batch_id bigint"
+    session.createDataFrame([], columns).write.parquet(log)
+    out = enrichment.job(
+        averages,
+        str(tmp_path / "check"),
+        publish=lambda sent: sent.write.mode("append").parquet(topic),
+        read=lambda n: session.read.parquet(log).filter(F.col("batch_id") == n),
+        append=lambda rows_: rows_.write.mode("append").parquet(log),
+        drain=True,
+    )
+    runner.finish(out.start())
+    assert rows(session.read.parquet(log), "avg_height", "avg_weight") == [(171.0, 60.0)]
+    back = enrichment.read_back(session.read.parquet(topic), encoded_twice=False)
+    assert rows(back, "sport", "avg_height") == [("judo", 171.0)]
+    with pytest.raises(ValueError, match="micro-batch"):
+        enrichment.enriched(session.read.parquet(str(folder)), athletes, broadcast_results=True)
+
+
+def test_alert_job_writes_messages_and_console(session, tmp_path):
+    folder = tmp_path / "in"
+    data = [
+        (json.dumps({"sensor_id": 1, "timestamp": f"2024-01-01 00:0{m}:00", "temperature": 41.0,
+                     "humidity": 50.0}),)
+        for m in (0, 5, 9)
+    ]
+    session.createDataFrame(data, "value string").write.parquet(str(folder))
+    limits = session.createDataFrame([(None, None, 40.0, 300.0, "104", "hot")], schemas.ALERT_LIMITS)
+    stream = stream_folder(session, str(folder), "value string")
+    out = str(tmp_path / "alerts")
+    jobs = sensor_alerts.job(
+        stream, limits, str(tmp_path / "check"),
+        lambda w: runner.to_files(w, out), console=True, drain=True,
+    )
+    assert len(jobs) == 2
+    for query in [j.start() for j in jobs]:
+        runner.finish(query)
+    sent = session.read.parquet(out)
+    assert sent.count() == 4 and sent.columns == ["key", "value"]
+    first = json.loads(sent.first()["value"])
+    assert set(first) == {"window", "avg_temp", "avg_humidity", "code", "message", "alert_time"}
+
+
+def test_trade_jobs_route_and_summarise(session, tmp_path):
+    wire = [
+        (json.dumps({"e": "trade", "s": s, "t": i, "p": str(i), "q": "1", "T": 1704067200000 + i}),)
+        for i, s in enumerate(["BTC", "BTC", "ETH", None])
+    ]
+    session.createDataFrame(wire, "value string").write.parquet(str(tmp_path / "raw"))
+    raw = stream_folder(session, str(tmp_path / "raw"), "value string")
+    topics = str(tmp_path / "topics")
+    runner.finish(
+        trades.routing_job(
+            raw, str(tmp_path / "c1"), lambda w: runner.to_files(w, topics, "topic"), drain=True
+        ).start()
+    )
+    routed = session.read.parquet(topics)
+    assert rows(routed.groupBy("topic").count()) == [("topic_BTC", 2), ("topic_ETH", 1)]
+    btc = stream_folder(session, f"{topics}/topic=topic_BTC", schemas.ENVELOPE)
+    stats = str(tmp_path / "stats")
+    (job,) = trades.statistics_job(
+        btc, str(tmp_path / "c2"),
+        lambda w: runner.to_batches(w, sinks.batch_folders(stats)), drain=True,
+    )
+    runner.finish(job.start())
+    values = [json.loads(r["value"]) for r in session.read.parquet(stats).collect()]
+    assert {(v["trade_count"], v["avg_price"], v["total_volume"]) for v in values} == {(2, 0.5, 2.0)}
+
+
 def test_all_queries_stop_when_one_fails(session, tmp_path):
     folder = tmp_path / "in"
     put(session, folder, 0, (0, 0, 5))

@@ -206,7 +206,8 @@ def scd_graph_nodes(spark: SparkSession, folder: str) -> DataFrame:
 def scd_graph_match(spark: SparkSession, folder: str) -> DataFrame:
     """main → open version, matched over the edges of the stored layout."""
     path = scratch(spark, "graph")
-    versions = _type2(spark, folder, scd.TYPE2_GRAPH)
+    _type2(spark, folder, scd.TYPE2_GRAPH).write.parquet(f"{path}/dimension")
+    versions = spark.read.parquet(f"{path}/dimension")
     graph.main_nodes(versions).write.parquet(f"{path}/main")
     graph.version_nodes(versions).write.parquet(f"{path}/version")
     graph.version_edges(versions).write.parquet(f"{path}/edges")

@@ -168,11 +168,11 @@ def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     def append(rows: DataFrame) -> None:
         rows.write.mode("append").partitionBy("batch_id").parquet(log)
 
-    def publish(batch: DataFrame, number: int) -> None:
-        sinks.batch_folders(f"{path}/averages")(messages.encode(batch), number)
+    def publish(sent: DataFrame) -> None:
+        sent.write.mode("append").parquet(f"{path}/averages")
 
-    sink = sinks.to_all(publish, sinks.append_once(there, append, GROUPS))
-    _drain_to_batches(averages, path, sink)
+    out = enrichment.job(averages, f"{path}/checkpoint", publish, there, append, drain=True)
+    runner.finish(out.start())
     newest = sinks.latest(sinks.read_log(spark, log), GROUPS)
     return newest.select(*GROUPS, "avg_height", "avg_weight")
 

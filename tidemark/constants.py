@@ -21,6 +21,12 @@ WINDOW_LENGTH = "1 minute"
 WINDOW_SLIDE = "30 seconds"
 WATERMARK_DELAY = "10 seconds"
 
+# Triggers of the streaming jobs
+ALERT_EVERY = "10 seconds"
+AVERAGES_EVERY = "10 seconds"
+STATISTICS_EVERY = "60 seconds"
+CONSOLE_EVERY = "30 seconds"
+
 # Window statistics
 QUARTILES = [0.25, 0.5, 0.75]
 PERCENTILE_ACCURACY = 100

@@ -82,12 +82,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join against a reference table whose measured size decides the way.
 
-    Within the limits the table is broadcast and ``rows`` are not shuffled. Beyond them a
-    table is joined with its hot keys spread; a micro-batch of a stream is bounded by its
-    intake rate and is joined plainly.
+    Within the limits the table is broadcast and ``rows`` are not shuffled. Beyond them
+    the rows are joined with their hot keys spread. A stream is joined without a hint:
+    Spark plans every micro-batch anew by the size the table has then, and a micro-batch
+    is bounded by its intake rate.
     """
-    if measure(table).fits(**limits):
-        return rows.join(F.broadcast(table), on, how)
     if rows.isStreaming:
         return rows.join(table, on, how)
+    if measure(table).fits(**limits):
+        return rows.join(F.broadcast(table), on, how)
     return hot_key_join(rows, table, on, how)

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import schemas
-from tidemark.constants import PERCENTILE_ACCURACY, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_SLIDE
+from tidemark.constants import (
+    CONSOLE_EVERY,
+    PERCENTILE_ACCURACY,
+    STATISTICS_EVERY,
+    WATERMARK_DELAY,
+    WINDOW_LENGTH,
+    WINDOW_SLIDE,
+)
 from tidemark.functions import messages
 from tidemark.functions.numbers import number_or_zero
 from tidemark.functions.times import from_epoch_millis
-from tidemark.operators.routing import keep_listed
+from tidemark.operators.routing import keep_listed, route_by_symbol
 from tidemark.operators.windows import trade_statistics, windowed
+from tidemark.streaming import runner
 
 STATISTICS = (
     "window",
@@ -95,3 +106,41 @@ def statistics(
 def statistics_messages(stats: DataFrame, key: Column | None = None) -> DataFrame:
     """Window statistics as messages under a random key."""
     return messages.encode(stats, key, STATISTICS)
+
+
+def routed(message_rows: DataFrame) -> DataFrame:
+    """Wire messages as normalised messages, each with the topic of its symbol."""
+    rows = route_by_symbol(normalised(message_rows))
+    fields = [c for c in rows.columns if c != "topic"]
+    return rows.select(
+        messages.random_key().alias("key"),
+        F.to_json(F.struct(*fields)).alias("value"),
+        "topic",
+    )
+
+
+def routing_job(
+    message_rows: DataFrame,
+    checkpoint: str,
+    to_bus: Callable[[DataStreamWriter], DataStreamWriter],
+    drain: bool = False,
+) -> DataStreamWriter:
+    """Every trade to the topic of its symbol; the bus takes the topic from its column."""
+    return to_bus(runner.writer(routed(message_rows), checkpoint, "append", drain=drain))
+
+
+def statistics_job(
+    message_rows: DataFrame,
+    checkpoint: str,
+    to_bus: Callable[[DataStreamWriter], DataStreamWriter],
+    console: bool = False,
+    drain: bool = False,
+) -> list[DataStreamWriter]:
+    """Normalised trade messages to window statistics, sent whenever a window changes."""
+    found = statistics(decoded(message_rows))
+    sent = statistics_messages(found)
+    out = [to_bus(runner.writer(sent, f"{checkpoint}/bus", "update", STATISTICS_EVERY, drain))]
+    if console:
+        shown = runner.writer(found, f"{checkpoint}/console", "update", CONSOLE_EVERY, drain)
+        out.append(runner.to_console(shown, 50))
+    return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import DatabaseSettings
@@ -55,3 +57,23 @@ def split(reader, column: str, low, high, partitions: int):
 def append_table(frame: DataFrame, settings: DatabaseSettings, table: str) -> None:
     writer = frame.write.format("jdbc").options(**connection(settings))
     writer.option("dbtable", table).option("batchsize", WRITE_ROWS).mode("append").save()
+
+
+def log_table(
+    spark: SparkSession, settings: DatabaseSettings, table: str, empty: DataFrame
+) -> tuple[Callable[[int], DataFrame], Callable[[DataFrame], None]]:
+    """(read, append) of a log table with ``batch_id``, created from ``empty`` if absent.
+
+    Reading asks the database for the rows of one batch only.
+    """
+    append_table(empty, settings, table)
+
+    def read(number: int) -> DataFrame:
+        reader = spark.read.format("jdbc").options(**connection(settings))
+        return reader.option("query", batch_query(table, number)).load()
+
+    return read, lambda rows: append_table(rows, settings, table)
+
+
+def batch_query(table: str, number: int) -> str:
+    return f"select * from {table} where batch_id = {int(number)}"
