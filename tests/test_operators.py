@@ -8,7 +8,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import is_number, number_or_zero
+from tidemark.functions.numbers import is_number, mean, number_or_zero
 from tidemark.operators import averages, cleaning, joins, ranges, report, routing, sizing, windows
 
 # --- cleaning -----------------------------------------------------------------------------
@@ -152,11 +152,22 @@ def test_counts_of_tumbling_and_sliding_windows(readings):
 
 def test_panes_equal_windows(readings):
     wanted = {"temperature": "avg_temp", "humidity": "avg_humidity"}
-    panes = windows.pane_averages(readings, "ts", 600, 30, wanted, scale=2)
-    plain = windows.sensor_averages(readings, "ts", "10 minutes", "30 seconds", scale=2)
+    panes = windows.pane_averages(
+        readings, "ts", "10 minutes", "30 seconds", wanted, scale=2
+    )
+    plain = windows.windowed(
+        readings,
+        "ts",
+        "10 minutes",
+        "30 seconds",
+        *(mean(F.col(m), 2).alias(name) for m, name in wanted.items()),
+    )
     assert rows(panes) == rows(plain)
-    with pytest.raises(ValueError):
-        windows.pane_averages(readings, "ts", 100, 30, wanted)
+    many = windows.sensor_averages(readings, "ts", "10 minutes", "30 seconds", scale=2)
+    assert rows(many) == rows(plain)
+    assert windows.windows_per_row("1 minute", "30 seconds") == 2
+    assert windows.windows_per_row("1 day", "1 hour") == 24
+    assert windows.windows_per_row("1 hour", None) == 1
 
 
 def test_statistics_of_one_row(spark):
@@ -173,7 +184,7 @@ HALVES = (ranges.Bounds("t", "tmin", "tmax"), ranges.Bounds("h", "hmin", "hmax")
 WAYS = [
     pytest.param({}, id="list"),
     pytest.param({"list_rows": 0}, id="cells"),
-    pytest.param({"list_rows": 0, "max_rows": 0, "salts": 3}, id="cells-shuffled"),
+    pytest.param({"list_rows": 0, "max_rows": 0, "hot_rows": 5}, id="cells-shuffled"),
 ]
 
 

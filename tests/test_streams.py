@@ -165,6 +165,22 @@ def test_alert_stream_equals_the_batch_without_open_windows(session, tmp_path):
     assert got.count() == 6
 
 
+def test_panes_on_a_stream_equal_the_batch(session, tmp_path):
+    folder = tmp_path / "in"
+    put(session, folder, 0, (0, 0, 5), (0, 1, 10), (0, 1, 40), (0, 5, 0))
+    put(session, folder, 1, (0, 5, 20), (0, 20, 0))
+    stream = stream_folder(session, f"{folder}/*", READING, "*.json", "json", 1)
+    found = windows.sensor_averages(stream, "ts", "4 minutes", "30 seconds")
+    out = runner.writer(found, str(tmp_path / "check"), drain=True)
+    runner.finish(runner.to_files(out, str(tmp_path / "rows")).start())
+    table = session.read.schema(READING).json(f"{folder}/*")
+    whole = windows.sensor_averages(table, "ts", "4 minutes", "30 seconds")
+    closed_by = F.lit(dt.datetime(2024, 1, 1, 0, 19, 50))
+    want = whole.filter(F.col("window.end") <= closed_by)
+    assert rows(session.read.parquet(str(tmp_path / "rows"))) == rows(want)
+    assert want.count() > 10
+
+
 def test_long_rule_lists_work_on_a_stream(session, tmp_path):
     folder = tmp_path / "in"
     put(session, folder, 0, (0, 0, 5), (0, 1, 10), (0, 5, 0), (0, 9, 0))

@@ -417,8 +417,7 @@ FROM s GROUP BY 1, 2""",
 def window_many_slides(spark: SparkSession, folder: str) -> DataFrame:
     """Day-long windows every hour, from hourly panes."""
     rows = inputs.readings(_events(spark, folder))
-    wanted = {"temperature": "avg_temp", "humidity": "avg_humidity"}
-    found = windows.pane_averages(rows, "ts", 86_400, 3_600, wanted, scale=2)
+    found = windows.sensor_averages(rows, "ts", "24 hours", "1 hour", scale=2)
     return _with_bounds(found, "avg_temp", "avg_humidity")
 
 

@@ -66,6 +66,29 @@ def stream_window(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows")
 
 
+@query(
+    "stream_many_slides",
+    f"""
+WITH s AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01')
+                     - k * INTERVAL 1 HOUR AS window_start
+           FROM ({inputs.READINGS_SQL}) CROSS JOIN range(24) AS shift(k))
+SELECT window_start, {AVERAGE.format("temperature")} AS avg_temp,
+       {AVERAGE.format("humidity")} AS avg_humidity
+FROM s
+WHERE window_start + INTERVAL 24 HOUR
+      <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND
+GROUP BY 1""",
+)
+def stream_many_slides(spark: SparkSession, folder: str) -> DataFrame:
+    """Day-long windows every hour: hourly panes as state, then the windows over them."""
+    path, session = scratch(spark, "stream-slides"), stream_session(spark)
+    rows = inputs.readings(_timed_events(session, folder))
+    found = windows.sensor_averages(rows, "ts", "24 hours", "1 hour", scale=2)
+    start = times.utc_wall_clock(F.col("window.start")).alias("window_start")
+    _drain_to_files(found.select(start, "avg_temp", "avg_humidity"), path)
+    return spark.read.parquet(f"{path}/rows")
+
+
 @query("stream_window_stats", STATISTICS_SQL)
 def stream_window_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Wire trades → normalised messages → update mode; the newest row of each window."""

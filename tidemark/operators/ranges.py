@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import row_salt
-from tidemark.operators.sizing import SALTS, measure
+from tidemark.operators.joins import hot_key_join
+from tidemark.operators.sizing import HOT_ROWS, measure
 
 # Up to here comparing every row with every rule is cheaper than building cells.
 LIST_ROWS = 64
@@ -37,7 +37,7 @@ def match_rules(
     rules: DataFrame,
     halves: Sequence[Bounds],
     list_rows: int = LIST_ROWS,
-    salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
     **limits: int,
 ) -> DataFrame:
     """One row per (row, rule) where at least one of ``halves`` holds.
@@ -46,7 +46,8 @@ def match_rules(
 
     * a short list is broadcast and compared directly,
     * a longer one is placed on cells, so that rows meet only the rules near them by an
-      equi join; the cells are broadcast while small and shuffled with salts beyond.
+      equi join; the cells are broadcast while small, beyond that both sides are shuffled
+      with the crowded cells spread over tasks.
 
     A pair that several halves find counts for the first of them only, so it appears once
     and equal rows stay apart.
@@ -55,11 +56,11 @@ def match_rules(
     if size.rows <= list_rows and size.fits(**limits):
         either = reduce(lambda a, b: a | b, (h.holds() for h in halves))
         return rows.join(F.broadcast(rules), either)
-    return _match_by_cells(rows, rules, halves, size.fits(**limits), salts)
+    return _match_by_cells(rows, rules, halves, size.fits(**limits), hot_rows)
 
 
 def _match_by_cells(
-    rows: DataFrame, rules: DataFrame, halves: Sequence[Bounds], small: bool, salts: int
+    rows: DataFrame, rules: DataFrame, halves: Sequence[Bounds], small: bool, hot_rows: int
 ) -> DataFrame:
     """Equi join on (half, level, cell).
 
@@ -87,10 +88,10 @@ def _match_by_cells(
     probes = probes.select(*rows.columns, "_look.*")
     if small:
         pairs = probes.join(F.broadcast(placed), on)
+    elif rows.isStreaming:
+        pairs = probes.join(placed, on)
     else:
-        probes = probes.withColumn("_salt", row_salt(rows, salts))
-        placed = placed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        pairs = probes.join(placed, [*on, "_salt"])
+        pairs = hot_key_join(probes, placed, on, hot_rows=hot_rows)
     found = F.lit(False)
     for i, half in enumerate(halves):
         first = half.holds()

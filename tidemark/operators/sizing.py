@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_ROWS = 1_000_000
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 # A key with more rows than this is spread over this many tasks.
 HOT_ROWS = 5_000_000

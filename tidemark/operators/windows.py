@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.constants import PERCENTILE_ACCURACY, QUARTILES, WATERMARK_DELAY
 from tidemark.functions.numbers import mean, total
 
-# From this many windows per row on, a table is first summed into panes.
+# From this many windows per row on, rows are first summed into panes.
 PANES_FROM = 4
 
 
@@ -46,7 +46,14 @@ def sensor_averages(
     watermark: str | None = WATERMARK_DELAY,
     scale: int | None = None,
 ) -> DataFrame:
-    """Average temperature and humidity per window."""
+    """Average temperature and humidity per window.
+
+    Where a row belongs to many windows the averages go through panes.
+    """
+    copies = windows_per_row(length, slide)
+    if copies >= PANES_FROM and copies.is_integer():
+        wanted = {temperature: "avg_temp", humidity: "avg_humidity"}
+        return pane_averages(frame, time, length, slide, wanted, watermark, scale)
     return windowed(
         frame,
         time,
@@ -81,34 +88,35 @@ def trade_statistics(
 def pane_averages(
     frame: DataFrame,
     time: str,
-    length_seconds: int,
-    slide_seconds: int,
+    length: str,
+    slide: str,
     measures: dict[str, str],
+    watermark: str | None = None,
     scale: int | None = None,
 ) -> DataFrame:
-    """Sliding averages of a table without copying its rows into every window.
+    """Sliding averages without copying every row into each of its windows.
 
-    Rows are summed once into panes of one slide; each pane, not each row, then goes to
-    the ``length / slide`` windows it belongs to. Same result as ``windowed`` with
-    ``mean``. Use it when that ratio is large: the work per row no longer grows with it.
+    Rows are summed once into panes of one slide; the panes, not the rows, then go to the
+    ``length / slide`` windows they belong to. Same result as ``windowed`` with ``mean``
+    while the work per row no longer grows with that ratio. ``measures`` maps a column to
+    the name of its average. On a stream it runs in append mode.
     """
-    copies, rest = divmod(length_seconds, slide_seconds)
-    if rest:
-        raise ValueError("the window length must be a multiple of the slide")
-    partial = [F.count("*").alias("_n")]
-    for m in measures:
+    partial, final = [], []
+    for m, name in measures.items():
         partial += [total(F.col(m), scale).alias(f"_s_{m}"), F.count(m).alias(f"_n_{m}")]
-    panes = frame.groupBy(F.window(time, f"{slide_seconds} seconds").alias("_pane")).agg(*partial)
-    back = F.make_dt_interval(
-        secs=(F.col("_back") * F.lit(slide_seconds)).cast("decimal(18,6)")
-    )
-    span = F.make_dt_interval(secs=F.lit(length_seconds).cast("decimal(18,6)"))
-    start = F.col("_pane.start") - back
-    placed = panes.withColumn("_back", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
-    placed = placed.withColumn("window", F.struct(start.alias("start"), (start + span).alias("end")))
-    return placed.groupBy("window").agg(
-        *(
-            (F.sum(f"_s_{m}").cast("double") / F.sum(f"_n_{m}")).alias(name)
-            for m, name in measures.items()
-        )
-    )
+        final.append((F.sum(f"_s_{m}").cast("double") / F.sum(f"_n_{m}")).alias(name))
+    panes = windowed(frame, time, slide, None, *partial, watermark=watermark)
+    return panes.groupBy(F.window("window", length, slide).alias("window")).agg(*final)
+
+
+_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def windows_per_row(length: str, slide: str | None) -> float:
+    """How many windows hold a time, for texts such as ``30 seconds``."""
+
+    def seconds(text: str) -> float:
+        number, unit = text.split()
+        return float(number) * _SECONDS[unit.lower().rstrip("s")]
+
+    return seconds(length) / seconds(slide) if slide else 1.0
