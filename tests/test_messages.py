@@ -39,6 +39,12 @@ def test_encode_and_decode_return_the_row(spark):
     assert rows(messages.decode(sent, "id int, s string, b boolean, d double")) == rows(frame)
 
 
+def test_keys_may_be_json(spark):
+    sent = spark.createDataFrame([('"a-1"', '{"n":1}'), ("7", None), (None, "x")], schemas.ENVELOPE)
+    got = messages.decode_keyed(sent, "n int")
+    assert [tuple(r) for r in got.collect()] == [("a-1", 1), ("7", None), (None, None)]
+
+
 def test_random_keys_differ(spark):
     sent = messages.encode(spark.range(50))
     assert sent.select("key").distinct().count() == 50

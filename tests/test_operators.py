@@ -271,6 +271,7 @@ def test_routing(spark, tmp_path):
         ("btc", "currency_btc", 1), ("btc", "currency_btc", 2),
     ]
     assert rows(routing.keep_listed(trades, table), "n") == [(1,), (2,)]
+    assert ("BTCUSDT", "currency_btcusdt") in rows(routing.destination_table(spark))
     routing.write_by_topic(routing.route_by_symbol(trades), str(tmp_path / "out"))
     assert (tmp_path / "out" / "topic=topic_BTC").is_dir()
 

@@ -8,7 +8,7 @@ from conftest import rows
 from tidemark import schemas
 from tidemark.config import BusSettings, DatabaseSettings, JobSettings
 from tidemark.plans import medal_report, medallion
-from tidemark.session import scratch
+from tidemark.session import scratch, sized_for
 from tidemark.sources import bus, files, jdbc
 
 
@@ -18,8 +18,15 @@ def test_customers_csv(spark, tmp_path):
     good.write_text(f"{head}\n1,Ann,,p,c,,active,2023-01-01,30,basic\n")
     row = files.read_customers(spark, str(good)).first()
     assert (row["email"], row["address"], row["age"]) == ("", "", 30)
+    turned = tmp_path / "turned.csv"  # columns are taken by name
+    turned.write_text(
+        ",".join(reversed(head.split(","))) + "\nbasic,30,2023-01-01,active,,c,p,e,Ann,1\n"
+    )
+    row = files.read_customers(spark, str(turned)).first()
+    assert (row["customer_id"], row["full_name"], row["age"]) == (1, "Ann", 30)
     for name, line in {
         "text": "x,Ann,e,p,c,a,active,2023-01-01,30,basic",
+        "date": "1,Ann,e,p,c,a,active,soon,30,basic",
         "blank": "1,Ann,e,p,c,a,active,2023-01-01,,basic",
     }.items():
         bad = tmp_path / f"{name}.csv"
@@ -40,6 +47,13 @@ def test_limits_csv(spark, tmp_path):
     )
 
 
+def test_a_header_with_other_names_is_an_error(spark, tmp_path):
+    path = tmp_path / "bio.csv"
+    path.write_text("athlete_id,height,sex,weight,country_noc\n1,180,m,80,UKR\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, str(path), schemas.ATHLETE_BIO).collect()
+
+
 def test_written_layers_are_checked(spark, tmp_path):
     path = str(tmp_path / "t")
     back = files.write_checked(spark.range(10).toDF("n"), path)
@@ -141,6 +155,13 @@ def test_jdbc_options():
     assert got == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "99", "numPartitions": 8}
 
 
+def test_partitions_follow_the_input():
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert sized_for(1)[name] == "1"
+    assert sized_for(2**40)[name] == "4096"
+    assert sized_for(100 * 2**40)[name] == "100000"
+
+
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch(spark, "x") != scratch(spark, "x")

@@ -32,6 +32,17 @@ def decode(frame: DataFrame, schema: str, value: str | Column = "value") -> Data
     return unpack(frame, F.from_json(text.cast("string"), schema))
 
 
+def decode_keyed(frame: DataFrame, schema: str) -> DataFrame:
+    """Key and fields of messages whose key is JSON too, such as a quoted id.
+
+    A key that is no JSON stays as it is.
+    """
+    key = F.col("key").cast("string")
+    data = F.from_json(F.col("value").cast("string"), schema)
+    rows = frame.select(F.coalesce(inner_json(key), key).alias("key"), data.alias("data"))
+    return rows.select("key", F.inline(F.array("data")))
+
+
 def unpack(frame: DataFrame, data: Column) -> DataFrame:
     """The fields of a struct as columns, the struct being computed once per row.
 

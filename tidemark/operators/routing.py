@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.constants import TOPIC_PREFIX
+from tidemark.constants import SYMBOL_TOPICS, TOPIC_PREFIX
 from tidemark.operators.joins import lookup_join
+from tidemark.schemas import SYMBOL_TOPIC
+
+
+def destination_table(
+    spark: SparkSession, pairs: Iterable[tuple[str, str]] = SYMBOL_TOPICS
+) -> DataFrame:
+    """Configured (symbol, topic) pairs as a table."""
+    return spark.createDataFrame(list(pairs), SYMBOL_TOPIC)
 
 
 def route_by_symbol(

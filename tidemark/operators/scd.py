@@ -133,6 +133,7 @@ def insert_if_absent(
     incoming: DataFrame,
     key: str | Sequence[str] = CUSTOMER_KEY,
     order_by: str | None = None,
+    **limits: int,
 ) -> DataFrame:
     """``existing`` plus the incoming rows whose key it does not hold.
 
@@ -141,12 +142,27 @@ def insert_if_absent(
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in incoming.columns if c not in keys]
-    least = F.min(F.struct(*([order_by] if order_by else []), *(c for c in others if c != order_by)))
+    order = [order_by] if order_by else []
+    least = F.min(F.struct(*order, *(c for c in others if c not in order)))
     first = incoming.groupBy(*keys).agg(least.alias("_row")).select(*keys, "_row.*")
-    fresh = first.join(existing.select(*keys), keys, "left_anti")
+    small = measure(incoming).fits(**limits)
+    fresh = _absent(first, existing.select(*keys), keys, small)
     return existing.unionByName(fresh.select(*existing.columns))
 
 
+def _absent(
+    rows: DataFrame, known: DataFrame, keys: Sequence[str], small: bool
+) -> DataFrame:
+    """The rows whose key is not among the known keys.
+
+    A small batch of rows is sent to the known keys, which then need no shuffle; what
+    comes back is at most the batch again.
+    """
+    if small:
+        known = known.join(F.broadcast(rows.select(*keys)), list(keys), "left_semi")
+    return rows.join(known, list(keys), "left_anti")
+
+
 # --- pairing --------------------------------------------------------------------------
 
 
@@ -166,10 +182,8 @@ def _pair(
     if not measure(batch).fits(**limits):
         return old.join(new, "_key", "full_outer").select("old", "new")
     stayed = old.join(F.broadcast(new), "_key", "left").select("old", "new")
-    known = current.select(F.col(key).alias("_key")).join(
-        F.broadcast(new.select("_key")), "_key", "left_semi"
-    )
-    added = new.join(known, "_key", "left_anti").select(
+    known = current.select(F.col(key).alias("_key"))
+    added = _absent(new, known, ["_key"], small=True).select(
         F.lit(None).cast(old.schema["old"].dataType).alias("old"), "new"
     )
     return stayed.unionByName(added)

@@ -19,12 +19,33 @@ SETTINGS = {
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
+
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Settings for an amount of input: reads and shuffles in pieces of 256 MiB.
+
+    Shuffles start with enough pieces for all of it and adaptive execution joins small
+    ones. Beyond 100,000 pieces the bookkeeping costs more than larger pieces do.
+    """
+    pieces = min(max(-(-input_bytes // PARTITION_BYTES), 1), MOST_PARTITIONS)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(pieces),
+    }
+
+
+def build_session(
+    app: str, master: str | None = None, input_bytes: int | None = None, **settings: str
+) -> SparkSession:
     """A session with the package's settings; dotted names go in ``settings``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **settings}.items():
+    sizes = sized_for(input_bytes) if input_bytes else {}
+    for name, value in {**SETTINGS, **sizes, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 

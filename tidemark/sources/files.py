@@ -13,33 +13,34 @@ from tidemark.functions.text import blank_to_empty
 def read_csv(
     spark: SparkSession, path: str, schema: str | None = None, infer: bool = False
 ) -> DataFrame:
-    """CSV with a header. With a schema (the default way) the file is read once; with
-    ``infer`` Spark reads it a first time for the types; with neither all is text."""
+    """CSV with a header.
+
+    With a schema the file is read once, and a header with other names is an error; with
+    ``infer`` Spark reads it a first time for the types; with neither all is text.
+    """
     reader = spark.read.option("header", True)
     if schema:
-        return reader.schema(schema).csv(path)
+        return reader.schema(schema).option("enforceSchema", False).csv(path)
     return reader.option("inferSchema", infer).csv(path)
 
 
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
-    """A customer snapshot. A malformed number ends the load, an empty text cell is an
-    empty string, and the two numbers must be present."""
-    raw = (
-        spark.read.option("header", True)
-        .option("mode", "FAILFAST")
-        .schema(schemas.CUSTOMER)
-        .csv(path)
-    )
+    """A customer snapshot, its columns taken by name.
+
+    A malformed number or date ends the load, an empty text cell is an empty string, and
+    the two numbers must be present.
+    """
+    raw = read_csv(spark, path)
     columns = []
-    for field in raw.schema.fields:
-        column = F.col(field.name)
+    for field in T.StructType.fromDDL(schemas.CUSTOMER):
+        text = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
-            column = blank_to_empty(column)
-        elif field.name in ("customer_id", "age"):
-            message = F.lit(f"{field.name} is missing")
-            column = F.when(
-                column.isNull(), F.raise_error(message).cast("int")
-            ).otherwise(column)
+            column = blank_to_empty(text)
+        elif isinstance(field.dataType, T.IntegerType):
+            missing = F.raise_error(F.lit(f"{field.name} is missing")).cast("int")
+            column = F.when(text.isNull(), missing).otherwise(text.cast("int"))
+        else:
+            column = text.cast(field.dataType)
         columns.append(column.alias(field.name))
     return raw.select(*columns)
 
