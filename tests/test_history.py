@@ -188,9 +188,10 @@ def test_type4_relational(first, later, way):
     assert len(still_open) == 7 and {r["valid_from"] for r in still_open} == {D1}
 
 
-def test_type4_closing_the_open_history(first, later):
+@pytest.mark.parametrize("way", WAYS)
+def test_type4_closing_the_open_history(first, later, way):
     current, history = scd.type4_load(first, D1)
-    _, history = scd.type4_merge(current, history, later, T, close_open_history=True)
+    _, history = scd.type4_merge(current, history, later, T, close_open_history=True, **way)
     still_open = history.filter("valid_to is null")
     assert sorted(r["customer_id"] for r in still_open.collect()) == [1, 4, 7]
 

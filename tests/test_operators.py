@@ -299,3 +299,4 @@ def test_no_python_in_the_plans(spark):
     for name in ("gold_avg_stats", "scd2_relational", "alerts_many_rules", "trade_compact"):
         text = plan(QUERIES[name](spark, SMALL))
         assert "Python" not in text and "Pandas" not in text
+        assert "Cartesian" not in text and "NestedLoop" not in text

@@ -82,7 +82,8 @@ def _match_by_cells(
         for half, level in sorted((r["_half"], r["_level"]) for r in used)
     ]
     if not looks:
-        return rows.join(F.broadcast(rules.limit(0)), F.lit(True))
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in rules.schema.fields]
+        return rows.filter(F.lit(False)).select(*rows.columns, *none)
     on = ["_half", "_level", "_cell"]
     probes = rows.withColumn("_look", F.explode(F.array(*looks)))
     probes = probes.select(*rows.columns, "_look.*")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.constants import CUSTOMER_FIELDS, CUSTOMER_KEY, SIX_FIELDS
+from tidemark.operators.joins import lookup_join
 from tidemark.operators.sizing import measure
 
 VERSION_FIELDS = (*CUSTOMER_FIELDS, "valid_from", "valid_to", "is_current")
@@ -195,17 +196,15 @@ def _both() -> Column:
 
 def _differs(fields: Sequence[str]) -> Column:
     """True when any field differs; two nulls are equal, null and a value are not."""
-    old = F.struct(*(F.col(f"old.{f}").alias(f) for f in fields))
-    new = F.struct(*(F.col(f"new.{f}").alias(f) for f in fields))
-    return ~old.eqNullSafe(new)
+    old, new = (", ".join(f"{side}.{f}" for f in fields) for side in ("old", "new"))
+    return F.expr(f"NOT (struct({old}) <=> struct({new}))")
 
 
-def _row(side: str, fields: Sequence[str], **given: Column) -> Column:
-    """A struct of ``fields`` from one side, some of them replaced."""
-    return F.struct(
-        *(given.get(f, F.col(f"{side}.{f}")).alias(f) for f in fields),
-        *(c.alias(f) for f, c in given.items() if f not in fields),
-    )
+def _with(row: Column, **fields: Column) -> Column:
+    """A struct with some fields replaced or added at the end."""
+    for name, value in fields.items():
+        row = row.withField(name, value)
+    return row
 
 
 def _date(as_of: dt.date) -> Column:
@@ -248,21 +247,21 @@ def type2_merge(
     """
     pairs = _pair(current.select(*VERSION_FIELDS), changes, order_by, **limits)
     day = _date(as_of)
-    opening = {"valid_to": _no_date(), "is_current": F.lit(True)}
-    kept = _row("old", VERSION_FIELDS)
+    old, new = F.col("old"), F.col("new")
     closing_day = F.when(
         day <= F.col("old.valid_from"),
         F.raise_error(F.lit("a change must be later than the version it closes")).cast("date"),
     ).otherwise(day)
-    closed = _row("old", VERSION_FIELDS, valid_to=closing_day, is_current=F.lit(False))
+    closed = _with(old, valid_to=closing_day, is_current=F.lit(False))
     sign_up = F.col("old.sign_up_date" if rules.keep_sign_up else "new.sign_up_date")
-    opened = _row("new", VERSION_FIELDS, sign_up_date=sign_up, valid_from=day, **opening)
+    opening = {"valid_to": _no_date(), "is_current": F.lit(True)}
+    opened = _with(new, sign_up_date=sign_up, valid_from=day, **opening)
     start = F.col("new.sign_up_date") if rules.new_key_from_sign_up else day
-    added = _row("new", VERSION_FIELDS, valid_from=start, **opening)
+    added = _with(new, valid_from=start, **opening)
     versions = (
-        F.when(F.col("old").isNull(), F.array(added))
+        F.when(old.isNull(), F.array(added))
         .when(_both() & _differs(rules.tracked), F.array(closed, opened))
-        .otherwise(F.array(kept))
+        .otherwise(F.array(old))
     )
     return pairs.select(F.inline(versions))
 
@@ -367,25 +366,19 @@ def type4_rows(
     newly archived ones, from the old sign-up date to ``as_of``.
     """
     pairs = _pair(current.select(*CUSTOMER_FIELDS), changes, order_by, **limits)
+    old, new = F.col("old"), F.col("new")
     span = {"valid_from": _no_date(), "valid_to": _no_date()}
     to_current = {**span, "target": F.lit("current")}
-    kept = _row("old", CUSTOMER_FIELDS, **to_current)
-    added = _row("new", CUSTOMER_FIELDS, **to_current)
-    renewed = _row(
-        "old",
-        CUSTOMER_FIELDS,
-        **{f: F.col(f"new.{f}") for f in rules.updated},
-        **to_current,
-    )
-    archived = _row(
-        "old",
-        CUSTOMER_FIELDS,
+    kept, added = _with(old, **to_current), _with(new, **to_current)
+    renewed = _with(old, **{f: F.col(f"new.{f}") for f in rules.updated}, **to_current)
+    archived = _with(
+        old,
         valid_from=F.col("old.sign_up_date"),
         valid_to=_date(as_of),
         target=F.lit("history"),
     )
     rows = (
-        F.when(F.col("old").isNull(), F.array(added))
+        F.when(old.isNull(), F.array(added))
         .when(_both() & _differs(rules.tracked), F.array(renewed, archived))
         .otherwise(F.array(kept))
     )
@@ -422,7 +415,7 @@ def type4_merge(
         changed = archived.select(CUSTOMER_KEY, F.lit(True).alias("_changed"))
         closes = F.col("_changed") & F.col("valid_to").isNull()
         before = (
-            before.join(changed, CUSTOMER_KEY, "left")
+            lookup_join(before, changed, CUSTOMER_KEY, "left", **limits)
             .withColumn("valid_to", F.when(closes, _date(as_of)).otherwise(F.col("valid_to")))
             .select(*HISTORY_FIELDS)
         )

@@ -21,6 +21,7 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 
 PARTITION_BYTES = 256 * 1024 * 1024
 MOST_PARTITIONS = 100_000
+MOST_STATE_PARTITIONS = 1_000
 
 
 def sized_for(input_bytes: int) -> dict[str, str]:
@@ -53,11 +54,13 @@ def build_session(
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful streams; the caller's settings stay as they are.
 
-    The number of state partitions is fixed by the first checkpoint, so it follows the
-    cluster's parallelism unless given. State lives in RocksDB, off the heap.
+    The number of state partitions is fixed by the first checkpoint. Unless given it
+    follows the cluster's parallelism up to 1,000, since each one writes files for every
+    micro-batch. State lives in RocksDB, off the heap.
     """
     sibling = spark.newSession()
-    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    parallelism = min(spark.sparkContext.defaultParallelism, MOST_STATE_PARTITIONS)
+    partitions = state_partitions or parallelism
     sibling.conf.set("spark.sql.session.timeZone", "UTC")
     sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
