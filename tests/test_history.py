@@ -1,6 +1,7 @@
 """Hand-computed cases of the dimension merges, and their laws."""
 
 import datetime as dt
+import random
 
 import pytest
 from conftest import rows
@@ -292,3 +293,33 @@ def test_a_large_batch_is_not_broadcast(first, later):
         scd.type2_load(first, D1), later, T, max_rows=0
     )._jdf.queryExecution().optimizedPlan().toString()
     assert "Join FullOuter" in text
+
+
+def test_several_days_equal_a_plain_account(spark, tmp_path):
+    """Random batches through published snapshots against a dictionary of versions."""
+    rng = random.Random(5)
+    path = str(tmp_path / "dim")
+    people = {k: customer(k) for k in range(12)}
+    snapshots.publish_first(scd.type2_load(frame(spark, people.values()), D1), path)
+    account = {k: [(p["email"], p["city"], p["age"], S, None)] for k, p in people.items()}
+    for day in (dt.date(2024, 2, n) for n in (1, 2, 3)):
+        batch = []
+        for k in rng.sample(range(16), 9):
+            change = customer(
+                k, email=rng.choice(["a", "b", None]), city=rng.choice(["x", "y"]),
+                age=rng.randrange(90),
+            )
+            batch.append(change)
+            past = account.setdefault(k, [])
+            now = (change["email"], change["city"], change["age"], day, None)
+            if past and past[-1][:2] == now[:2]:
+                continue
+            if past:
+                past[-1] = (*past[-1][:4], day)
+            past.append(now)
+        snapshots.publish_changes(spark, path, frame(spark, batch), day)
+    got = snapshots.read_dimension(spark, path).select(
+        "customer_id", "email", "city", "age", "valid_from", "valid_to", "is_current"
+    )
+    want = [(k, *v, v[-1] is None) for k, past in account.items() for v in past]
+    assert rows(got) == sorted(want, key=repr)
