@@ -97,8 +97,10 @@ def test_wire_trades(spark):
 def test_compact_trades(spark):
     listed = spark.createDataFrame([("btcusdt", "a"), ("XRPUSDT", "b")], schemas.SYMBOL_TOPIC)
     frame = values(spark, WIRE, '{"s":"ETHUSDT","T":1}', '{"s":"XRPUSDT","p":"abc"}', '{"p":"1"}')
-    got = trades.compact(frame, listed, F.lit("now"))
-    assert rows(got) == [("btcusdt", 1.5, 2.0, 1733000000123, "now")]
+    got = trades.compact(frame, listed)
+    assert rows(got) == [("btcusdt", 1.5, 2.0, 1733000000123, None)]
+    stamped = values(spark, '{"s":"BTCUSDT","p":"1","q":"2","processing_timestamp":"now"}')
+    assert rows(trades.compact(stamped)) == [("btcusdt", 1.0, 2.0, 0, "now")]
     every = trades.compact(frame)
     assert rows(every, "symbol", "timestamp") == [("btcusdt", 1733000000123), ("ethusdt", 1)]
 

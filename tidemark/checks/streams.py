@@ -16,10 +16,10 @@ from tidemark.checks.batch import (
     flat_statistics,
 )
 from tidemark.checks.registry import query, table
+from tidemark.constants import GROUPS
 from tidemark.functions import messages, times
 from tidemark.operators import routing, windows
 from tidemark.plans import enrichment, medallion, sensor_alerts, trades
-from tidemark.plans.medallion import GROUPS
 from tidemark.session import scratch, stream_session
 from tidemark.sources.files import stream_folder
 from tidemark.streaming import runner, sinks

@@ -11,6 +11,21 @@ SYMBOL_TOPICS = (
     ("XRPUSDT", "currency_xrpusdt"),
 )
 
+GROUPS = ("sport", "medal", "sex", "country_noc")
+MEASURES = {"height": "avg_height", "weight": "avg_weight"}
+ALERT_FIELDS = ("window", "avg_temp", "avg_humidity", "code", "message", "alert_time")
+STATISTICS_FIELDS = (
+    "window",
+    "avg_price",
+    "min_price",
+    "max_price",
+    "price_stddev",
+    "trade_count",
+    "avg_quantity",
+    "total_volume",
+    "price_percentiles",
+)
+
 # Sensor limits: hot above, dry below, wet above
 HOT_ABOVE = 40
 DRY_BELOW = 20

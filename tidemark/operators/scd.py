@@ -48,6 +48,7 @@ class Type4Rules:
     first_load_history: bool
 
 
+# The fields and dates of each variant.
 TYPE2_RELATIONAL = Type2Rules(
     tracked=("email", "city"),
     keep_sign_up=True,

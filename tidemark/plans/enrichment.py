@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import schemas
-from tidemark.constants import AVERAGES_EVERY
+from tidemark.constants import AVERAGES_EVERY, GROUPS, MEASURES
 from tidemark.functions import messages
 from tidemark.functions.numbers import number
 from tidemark.functions.times import stamp
 from tidemark.operators.averages import group_averages
 from tidemark.operators.cleaning import keep_numeric
-from tidemark.plans.medallion import GROUPS, MEASURES
 from tidemark.streaming import runner
 from tidemark.streaming.sinks import append_once, to_all
 

@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from tidemark.constants import GROUPS, MEASURES
 from tidemark.functions.times import stamp
 from tidemark.operators.averages import joined_averages
 from tidemark.operators.cleaning import clean_strings, distinct_rows
 from tidemark.sources.files import read_csv, read_parquet, write_checked
 
-GROUPS = ("sport", "medal", "sex", "country_noc")
-MEASURES = {"height": "avg_height", "weight": "avg_weight"}
-
 
 def to_bronze(
     spark: SparkSession, csv_path: str, bronze: str, schema: str | None = None

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark import schemas
-from tidemark.constants import ALERT_EVERY, WATERMARK_DELAY, WINDOW_LENGTH, WINDOW_SLIDE
+from tidemark.constants import (
+    ALERT_EVERY,
+    ALERT_FIELDS,
+    WATERMARK_DELAY,
+    WINDOW_LENGTH,
+    WINDOW_SLIDE,
+)
 from tidemark.functions import messages
 from tidemark.functions.times import event_time, stamp
 from tidemark.operators.ranges import Bounds, match_rules
@@ -20,7 +26,6 @@ HALVES = (
     Bounds("avg_temp", "temperature_min", "temperature_max"),
     Bounds("avg_humidity", "humidity_min", "humidity_max"),
 )
-ALERT_FIELDS = ("window", "avg_temp", "avg_humidity", "code", "message", "alert_time")
 
 
 def readings(message_rows: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from tidemark.constants import (
     CONSOLE_EVERY,
     PERCENTILE_ACCURACY,
     STATISTICS_EVERY,
+    STATISTICS_FIELDS,
     WATERMARK_DELAY,
     WINDOW_LENGTH,
     WINDOW_SLIDE,
@@ -24,34 +25,17 @@ from tidemark.operators.routing import keep_listed, route_by_symbol
 from tidemark.operators.windows import trade_statistics, windowed
 from tidemark.streaming import runner
 
-STATISTICS = (
-    "window",
-    "avg_price",
-    "min_price",
-    "max_price",
-    "price_stddev",
-    "trade_count",
-    "avg_quantity",
-    "total_volume",
-    "price_percentiles",
-)
-
 # The wire keys differ in case only, so they are renamed by position.
 _WIRE = (
     "struct<event_type:string,event_time:bigint,symbol:string,trade_id:bigint,"
     "price:string,quantity:string,trade_time:bigint,buyer_market_maker:boolean,"
-    "ignore:boolean>"
+    "ignore:boolean,processing_timestamp:string>"
 )
 
 
 def _wire(message_rows: DataFrame) -> DataFrame:
     data = F.from_json(F.col("value").cast("string"), schemas.RAW_TRADE).cast(_WIRE)
-    return messages.unpack(message_rows, data)
-
-
-def normalised(message_rows: DataFrame) -> DataFrame:
-    """Wire messages as named fields; price and quantity become numbers, 0 if missing."""
-    return _wire(message_rows).withColumns(
+    return messages.unpack(message_rows, data).withColumns(
         {
             "price": number_or_zero(F.col("price")),
             "quantity": number_or_zero(F.col("quantity")),
@@ -59,23 +43,23 @@ def normalised(message_rows: DataFrame) -> DataFrame:
     )
 
 
-def compact(
-    message_rows: DataFrame,
-    listed: DataFrame | None = None,
-    processing_time: Column | None = None,
-) -> DataFrame:
-    """The short form of wire messages: symbol in lower case, price, quantity, time.
+def normalised(message_rows: DataFrame) -> DataFrame:
+    """Wire messages as named fields; price and quantity become numbers, 0 if missing."""
+    return _wire(message_rows).drop("processing_timestamp")
+
+
+def compact(message_rows: DataFrame, listed: DataFrame | None = None) -> DataFrame:
+    """The short form of wire messages: symbol in lower case, price, quantity, trade time
+    and the processing time the message may carry.
 
     Only listed symbols are kept, and only trades whose numbers can be read.
     """
-    rows = normalised(message_rows).select(
+    rows = _wire(message_rows).select(
         F.lower("symbol").alias("symbol"),
         "price",
         "quantity",
         F.coalesce("trade_time", F.lit(0)).alias("timestamp"),
-        (F.lit(None) if processing_time is None else processing_time)
-        .cast("string")
-        .alias("processing_timestamp"),
+        "processing_timestamp",
     )
     rows = rows.filter(
         F.col("symbol").isNotNull() & F.col("price").isNotNull() & F.col("quantity").isNotNull()
@@ -105,7 +89,7 @@ def statistics(
 
 def statistics_messages(stats: DataFrame, key: Column | None = None) -> DataFrame:
     """Window statistics as messages under a random key."""
-    return messages.encode(stats, key, STATISTICS)
+    return messages.encode(stats, key, STATISTICS_FIELDS)
 
 
 def routed(message_rows: DataFrame) -> DataFrame:

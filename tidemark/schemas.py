@@ -32,7 +32,7 @@ ALERT_LIMITS = (
 
 RAW_TRADE = (
     "e string, E bigint, s string, t bigint, p string, q string, T bigint, "
-    "m boolean, M boolean"
+    "m boolean, M boolean, processing_timestamp string"
 )
 
 TRADE = (
