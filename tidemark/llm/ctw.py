@@ -53,8 +53,8 @@ GRAMS, WORDS = 0, 1
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Logarithm of the gamma function for positive numbers."""
+    x = np.array(x, float)
     shift = np.zeros_like(x)
-    x = x.copy()
     for _ in range(16):
         small = x < 16
         shift[small] += np.log(x[small])
