@@ -109,7 +109,7 @@ def _block_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Array]:
 
 def _unique_sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     distinct, inverse = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(inverse, counts, len(distinct)).astype(np.int64)
+    return distinct, tx.sums(inverse, counts, len(distinct)).astype(np.int64)
 
 
 def _sorted_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,22 +201,22 @@ class Subtree:
         self.nodes: dict[tuple[int, int], tuple] = {}
         for d in range(depth, 1, -1):
             key_d, inverse = np.unique(_shorten(keys, depth, d), return_inverse=True)
-            count_d = np.bincount(inverse, counts, len(key_d))
+            count_d = tx.sums(inverse, counts, len(key_d))
             for level in range(8):
                 self._add(d, level, key_d, count_d)
 
     def _add(self, d: int, level: int, keys: np.ndarray, counts: np.ndarray) -> None:
         node = _node(keys, level)
         ids, inverse = np.unique(node, return_inverse=True)
-        ones = np.bincount(inverse, counts * _bit(keys, level), len(ids))
-        zeros = np.bincount(inverse, counts, len(ids)) - ones
+        ones = tx.sums(inverse, counts * _bit(keys, level), len(ids))
+        zeros = tx.sums(inverse, counts, len(ids)) - ones
         own = log_kt(zeros, ones)
         if d == self.depth:
             weighted, weight = own, np.ones(len(ids))
         else:
             child, _, _, below, _ = self.nodes[d + 1, level]
             place = np.searchsorted(ids, _drop_byte(child))
-            weighted, weight = mixed(own, np.bincount(place, below, len(ids)))
+            weighted, weight = mixed(own, tx.sums(place, below, len(ids)))
         self.nodes[d, level] = ids, zeros, ones, weighted, weight
 
     def chance(self, keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -267,7 +267,7 @@ def upper_nodes(batches, depth: int):
                 ids, zeros, ones, weighted, _ = tree.nodes[2, level]
                 node = _drop_byte(ids).astype(np.int64)
                 for line, value in enumerate((zeros, ones, weighted)):
-                    total[line] += np.bincount(node, value, 65536)
+                    total[line] += tx.sums(node, value, 65536)
                 total[3] += np.bincount(node, minlength=65536)
             at = np.flatnonzero(total[3])
             yield pa.RecordBatch.from_arrays(
@@ -285,7 +285,7 @@ class Top:
         self.weight[nodes], self.known[nodes] = weight, True
         self.one[nodes] = (ones + 0.5) / (zeros + ones + 1)
         root = nodes & 255
-        sums = [np.bincount(root, v, 256) for v in (zeros, ones, weighted)]
+        sums = [tx.sums(root, v, 256) for v in (zeros, ones, weighted)]
         _, self.root_weight = mixed(log_kt(sums[0], sums[1]), sums[2])
         self.root_one = (sums[1] + 0.5) / (sums[0] + sums[1] + 1)
 
@@ -363,17 +363,17 @@ def score_block(texts: pa.Table, answers: pa.Table, depth: int, total: int, dist
     for part in tx.slices(texts):
         n = part.num_rows
         key, doc = _text_grams(part, depth)
-        score = np.bincount(doc, scores[np.searchsorted(keys, key)], n)
+        score = tx.sums(doc, scores[np.searchsorted(keys, key)], n)
         code, doc, distinct_words = _block_words(part)
         count = counts[pc.index_in(distinct_words, known).to_numpy()] if len(code) else counts[:0]
         count = count[code]
-        base = np.bincount(doc, np.log10((count + ALPHA) / divisor), n)
+        base = tx.sums(doc, np.log10((count + ALPHA) / divisor), n)
         base += math.log10((end + ALPHA) / divisor)
         pieces.append(pa.table({
             "id": part["id"],
             "held_out": part["held_out"],
             "n_tokens": pa.array(np.bincount(doc, minlength=n) + 1, pa.int64()),
-            "n_known": pa.array(np.bincount(doc, count > 0, n).astype(np.int64) + int(end > 0), pa.int64()),
+            "n_known": pa.array(tx.sums(doc, count > 0, n).astype(np.int64) + int(end > 0), pa.int64()),
             "train_tokens": pa.array([total] * n, pa.int64()),
             "base_score": pa.array(base, pa.float64()),
             "score": pa.array(score, pa.float64()),

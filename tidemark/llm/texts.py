@@ -115,6 +115,11 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(begin - starts, lengths)
 
 
+def sums(place: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the values at each place; places may be missing altogether."""
+    return np.bincount(place, values, size).astype(float)
+
+
 def blobs(order: np.ndarray, groups: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """(group, positions) for every group of a sorted order."""
     if len(order) == 0:
