@@ -38,7 +38,7 @@ COMMON_LENGTHS = 48
 SOLVER_STEPS = 400
 
 #: Pieces that one task ranks.
-LANE_ROWS = 200_000
+LANE_ROWS = 1_000
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 

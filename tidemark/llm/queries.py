@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, ctw, packing
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe, ctw, packing, suffixes
 from tidemark.llm.registry import ORACLES, QUERIES, query, remainder_is_zero, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -23,3 +25,15 @@ def op10_byte_bpe(spark, folder):
 @query("op4_nnls_packing")
 def op4_nnls_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), packing.default_tokenizer())
+
+
+@query("op3_bwt_dedup")
+def op3_bwt_dedup(spark, folder):
+    cut = suffixes.remove_repeats(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
