@@ -21,8 +21,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.llm import texts as tx
 from tidemark.llm.workspace import BLOCK_BYTES, Workspace, blocked
@@ -197,6 +197,7 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
     place = np.full(len(start), -1, np.int64)
     place[early] = np.arange(int(early.sum()))
     index = pa.array(place, pa.int64(), mask=~early)
+    keys = np.where(early, keys, tx.mix(keys + start.astype(np.uint64)))  # anywhere
     return pa.table({
         "bucket": pa.array((keys >> np.uint64(20)).astype(np.int64) % buckets, pa.int32()),
         "block": pa.array(np.full(len(start), block), pa.int32()),
@@ -352,7 +353,12 @@ def repeated_intervals(data: np.ndarray, sizes: np.ndarray, span: int, shard_byt
 
 
 def bucket_spans(table: pa.Table, span: int, shard_bytes: int) -> pa.Table:
-    """What the segments of a bucket lose."""
+    """What the segments of a bucket lose; all of it where the bytes did not come along."""
+    bare = pc.is_null(table["content"])
+    rest = table.filter(bare).select(["block", "row", "start", "size"])
+    table = table.filter(pc.invert(bare))
+    if table.num_rows == 0:
+        return rest
     ids, starts = table["id"].to_numpy(), table["start"].to_numpy()
     size = table["size"].to_numpy().astype(np.int64)
     coded = tx.one_array(table["content"]).cast(pa.large_binary()).dictionary_encode()
@@ -390,12 +396,13 @@ def bucket_spans(table: pa.Table, span: int, shard_bytes: int) -> pa.Table:
     owner = np.concatenate([np.repeat(firsts, runs), np.flatnonzero(~is_first)])
     begin = np.concatenate([offset[at], np.zeros(int((~is_first).sum()), np.int64)])
     length = np.concatenate([count[at] + span - 1, size[~is_first]])
-    return pa.table({
+    lost = pa.table({
         "block": table["block"].take(pa.array(owner)),
         "row": table["row"].take(pa.array(owner)),
         "start": pa.array(starts[owner] + begin, pa.int64()),
         "size": pa.array(length, pa.int32()),
     })
+    return pa.concat_tables([lost, rest])
 
 
 def cut_block(table: pa.Table, gone: pa.Table) -> pa.Table:
@@ -465,19 +472,13 @@ def remove_repeats(
     repeated = work.keep(
         found.groupBy("bucket").applyInArrow(lambda t: repeated_anchors(t, hot), REPEATED), "repeated"
     )
-    segments = work.keep(
-        table.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
-            lambda t, r: block_segments(t, r, span, gram, max(32, 2 * count)), SEGMENT
-        ),
-        "segments",
+    segments = table.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
+        lambda t, r: block_segments(t, r, span, gram, max(32, 2 * count)), SEGMENT
     )
-    shared = (
-        segments.where(F.col("content").isNotNull())
-        .groupBy("bucket")
-        .applyInArrow(lambda t: bucket_spans(t, span, shard_bytes), GONE)
+    gone = work.keep(
+        segments.groupBy("bucket").applyInArrow(lambda t: bucket_spans(t, span, shard_bytes), GONE),
+        "gone",
     )
-    local = segments.where(F.col("content").isNull()).select("block", "row", "start", "size")
-    gone = work.keep(shared.unionByName(local), "gone")
     cut = table.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(
         cut_block, f"id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
     )
