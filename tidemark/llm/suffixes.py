@@ -118,7 +118,8 @@ def anchors(
 
 
 def _sorted_block(table: pa.Table) -> pa.Table:
-    return table.sort_by([("id", "ascending"), ("text", "ascending")])
+    keys = [("id", "ascending"), ("text", "ascending")]
+    return table.take(pc.sort_indices(table, keys, null_placement="at_start"))
 
 
 def block_anchors(table: pa.Table, span: int, gram: int, buckets: int) -> pa.Table:
@@ -232,48 +233,61 @@ class Shard:
         begins = ends - sizes - 1
         text = np.zeros(int(ends[-1]), np.uint16)
         text[tx.ranges(begins, sizes)] = data.astype(np.uint16) + 1
-        rank, width, same = self._ranks(text, int(sizes.max()) + 1, span)
+        rank, same = self._ranks(text, int(sizes.max()) + 1, span)
         order = np.argsort(rank, kind="stable")
         self.segment = np.repeat(np.arange(n), sizes + 1)[order]
         self.offset = (order - begins[self.segment]).astype(np.int64)
         before = np.roll(text, 1)
         before[begins] = 0
-        self.transform = before[order]
+        before = before[order]
+        self.transform = before.astype(np.uint8) if before.max() < 256 else before
         # rows that share their first ``span`` bytes with the row before
         self.repeats = same(order)
         self.long = self.offset <= sizes[self.segment] - span
 
     @staticmethod
     def _ranks(text: np.ndarray, longest: int, span: int):
-        """Order of all suffixes by doubling; a suffix ends at its first 0."""
+        """Order of all suffixes by doubling; a suffix ends at its first 0.
+
+        A rank is the place where its group starts. Only groups of several suffixes that go
+        on are sorted again.
+        """
         size = len(text)
-        padded = np.concatenate([text, np.zeros(7, np.uint16)]).astype(np.uint64)
+        padded = np.concatenate([text, np.zeros(7, text.dtype)]).astype(np.uint64)
         live = np.ones(size, bool)
         word = np.zeros(size, np.uint64)
         for step in range(7):
-            word <<= np.uint64(9)
-            symbol = padded[step : step + size]
-            word[live] |= symbol[live]
+            symbol = np.where(live, padded[step : step + size], np.uint64(0))
+            word = (word << np.uint64(9)) | symbol
             live &= symbol != 0
-        _, rank = np.unique(word, return_inverse=True)
-        finished = ~live  # the 0 was reached: nothing after it counts
-        width = 7
-        kept = []
-        while True:
-            kept.append((width, rank))
-            if width >= longest:
+        order = np.argsort(word)
+        slots = np.arange(size)
+        edge = np.concatenate([[True], np.diff(word[order]) != 0])
+        rank = np.empty(size, np.int64)
+        rank[order] = np.maximum.accumulate(np.where(edge, slots, 0))
+        ended, width = ~live, 7
+        half, half_rank = width, rank.copy()
+        alone = edge & np.append(edge[1:], True)
+        slots, order = slots[~alone], order[~alone]
+        while width < longest and len(order):
+            go = ~ended[order]
+            slots, order = slots[go], order[go]
+            if len(order) == 0:
                 break
-            later = np.zeros(size, np.int64)
-            later[:-width] = rank[width:] + 1
-            later[finished] = 0
-            _, new = np.unique(rank.astype(np.int64) * (size + 2) + later, return_inverse=True)
+            key = rank[order] * (size + 1) + rank[np.minimum(order + width, size - 1)]
+            by = np.argsort(key)
+            order, key = order[by], key[by]
+            edge = np.concatenate([[True], np.diff(key) != 0])
+            begin = np.maximum.accumulate(np.where(edge, np.arange(len(order)), 0))
+            rank[order] = slots[begin]
             reach = np.ones(size, bool)
-            reach[:-width] = finished[width:]
-            finished = finished | reach
-            rank = new
+            reach[:-width] = ended[width:]
+            ended = ended | reach
             width *= 2
-        half = max((w for w, _ in kept if w <= span), default=7)
-        half_rank = next(r for w, r in kept if w == half)
+            if width <= span:
+                half, half_rank = width, rank.copy()
+            alone = edge & np.append(edge[1:], True)
+            slots, order = slots[~alone], order[~alone]
 
         def same(order: np.ndarray) -> np.ndarray:
             second = np.minimum(order + (span - half), size - 1)
@@ -283,7 +297,7 @@ class Shard:
             )
             return out
 
-        return rank, width, same
+        return rank, same
 
 
 def step_back(transform: np.ndarray) -> np.ndarray:
@@ -303,8 +317,9 @@ def merge_shards(shards: list[Shard], span: int) -> tuple[np.ndarray, np.ndarray
     transform = np.concatenate([s.transform for s in shards])
     back = np.concatenate([step_back(s.transform) + b for s, b in zip(shards, base)])
     owner = np.repeat(np.arange(len(shards)), np.diff(base)).astype(np.int32)
-    rows = np.arange(len(transform))
-    block = np.zeros(len(rows), np.int64)
+    back = back.astype(np.int32 if len(back) < 1 << 31 else np.int64)
+    rows = np.arange(len(transform), dtype=back.dtype)
+    block = np.zeros(len(rows), back.dtype)
     for _ in range(span):
         symbol = transform[rows]
         go = symbol > 0
@@ -316,7 +331,7 @@ def merge_shards(shards: list[Shard], span: int) -> tuple[np.ndarray, np.ndarray
         edge = np.empty(len(rows), bool)
         edge[0] = True
         edge[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        block = np.cumsum(edge) - 1
+        block = np.cumsum(edge, dtype=back.dtype) - 1
         begin = np.flatnonzero(edge)
         own = owner[rows]
         mixed = np.minimum.reduceat(own, begin) != np.maximum.reduceat(own, begin)
