@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, ctw, packing, suffixes
+from tidemark.llm import bpe, ctw, packing, shingles, suffixes
 from tidemark.llm.registry import ORACLES, QUERIES, query, remainder_is_zero, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -37,3 +37,8 @@ def op3_bwt_dedup(spark, folder):
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op7_signature_tree_join")
+def op7_signature_tree_join(spark, folder):
+    return shingles.join(table(spark, folder, "documents"))
