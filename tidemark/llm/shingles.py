@@ -46,7 +46,7 @@ MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 SIGN = "kind int, id {id}, n_shingles long, node long, counts binary"
 POSTING = "bucket int, hashes binary, nodes binary, sizes binary"
-MEMBER = "family long, node long, shingles binary"
+MEMBER = "family long, parts int, node long, shingles binary"
 
 
 def shingle_sets(column, words: int) -> list[np.ndarray]:
@@ -207,10 +207,10 @@ def member_batches(batches, words: int):
         nodes = part["node"].to_pylist()
         keep = [i for i, s in enumerate(sets) if len(s) and node_of(s) == nodes[i]]
         yield pa.RecordBatch.from_arrays([
-            tx.one_array(part["family"].take(pa.array(keep, pa.int64()))),
+            *(tx.one_array(part[c].take(pa.array(keep, pa.int64()))) for c in ("family", "parts")),
             pa.array([nodes[i] for i in keep], pa.int64()),
             pa.array([sets[i].tobytes() for i in keep], pa.binary()),
-        ], names=["family", "node", "shingles"])
+        ], names=["family", "parts", "node", "shingles"])
 
 
 class Tree:
@@ -375,24 +375,21 @@ def join(
     )
     families = work.keep(components(work, met, "families"), "family")
 
-    # one document of each candidate node brings the set
+    # one document of each candidate node brings the set, to each pair of parts it is in
+    parts = families.groupBy("root").agg(F.ceil(F.count("*") / part_nodes).cast("int").alias("parts"))
     chosen = (
-        signs.join(families, "node").groupBy("node", F.col("root").alias("family"))
-        .agg(F.min("id").alias("id"))
+        signs.join(families, "node").groupBy("node", "root").agg(F.min("id").alias("carrier"))
+        .join(parts, "root").withColumnRenamed("root", "family")
     )
-    carriers = chosen.withColumnRenamed("id", "carrier")
-    texts = source.join(carriers, source["id"].eqNullSafe(F.col("carrier")))
-    members = work.keep(
-        texts.select("text", "node", "family").mapInArrow(lambda b: member_batches(b, words), MEMBER),
-        "members",
-    )
-    parts = families.groupBy(F.col("root").alias("family")).agg(
-        F.ceil(F.count("*") / part_nodes).cast("int").alias("parts")
+    members = (
+        source.join(chosen, source["id"].eqNullSafe(F.col("carrier")))
+        .select("text", "node", "family", "parts")
+        .mapInArrow(lambda b: member_batches(b, words), MEMBER)
     )
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     pairs = (
-        members.join(parts, "family").withColumn("part", part).withColumn("other", other)
+        members.withColumn("part", part).withColumn("other", other)
         .withColumn("left", F.least("part", "other")).withColumn("right", F.greatest("part", "other"))
         .select("family", "left", "right", "part", "node", "shingles")
     )
