@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, ctw, packing, shingles, suffixes
+from tidemark.llm import bpe, chat, ctw, packing, rules, shingles, suffixes
 from tidemark.llm.registry import ORACLES, QUERIES, query, remainder_is_zero, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -42,3 +42,75 @@ def op3_bwt_dedup(spark, folder):
 @query("op7_signature_tree_join")
 def op7_signature_tree_join(spark, folder):
     return shingles.join(table(spark, folder, "documents"))
+
+
+@query("op5_chat_format")
+def op5_chat_format(spark, folder):
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    formatted = chat.format_turns(given.unionByName(odd)).select(
+        "conv_id", "n_blocks", "formatted",
+        chat.read_turns(F.col("formatted")).alias("turns"),
+        chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return formatted.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+QUALITY_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM documents
+), runs AS (
+  SELECT doc_id, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+), again AS (
+  SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS c FROM runs) WHERE c > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i + j) AS n
+  FROM again, (VALUES (0), (1), (2)) AS v(j) GROUP BY doc_id
+), m AS (
+  SELECT w.doc_id, t, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) AS BIGINT) AS n_lines,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN covered USING (doc_id)
+), b AS (
+  SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed
+            OR 100 * n_symbols > 20 * n_words
+            OR (100 * n_dup_lines > 50 * n_lines AND n_dup_lines > 4)
+            OR word_chars > 30 * n_words
+            OR 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 60 * word_chars
+            OR 100 * (length(t) - length(regexp_replace(t, '[!?]', '', 'g'))) > 80 * n_words) AS kept
+FROM b
+"""
+
+
+@query("op9_quality_cascade", QUALITY_SQL)
+def op9_quality_cascade(spark, folder):
+    judged = rules.judge(table(spark, folder, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), "kept",
+    )
