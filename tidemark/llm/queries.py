@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat, ctw, packing, rules, shingles, suffixes
+from tidemark.llm import bm25, bpe, chat, crf, ctw, nbsvm, packing, rules, shingles, suffixes
 from tidemark.llm.registry import ORACLES, QUERIES, query, remainder_is_zero, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -114,3 +114,66 @@ def op9_quality_cascade(spark, folder):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), "kept",
     )
+
+
+SEARCH_SQL = r"""
+WITH q AS (
+  SELECT item_id, term, count(*) AS qn FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term
+    FROM benchmark WHERE item_id % 20 = 0) GROUP BY ALL
+), w AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term
+  FROM documents
+), l AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+s AS (SELECT (SELECT count(*) FROM documents) AS docs,
+             (SELECT count(*) FROM w) * 1.0 / (SELECT count(*) FROM documents) AS mean),
+p AS (SELECT doc_id, term, count(*) AS tf FROM w
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+d AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+scored AS (
+  SELECT item_id, doc_id,
+         round(sum(qn * ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2
+                   / (tf + 1.2 * (0.25 + 0.75 * n / mean))), 6) AS score
+  FROM q JOIN p USING (term) JOIN d USING (term) JOIN l USING (doc_id), s GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op2_block_max_search", SEARCH_SQL)
+def op2_block_max_search(spark, folder):
+    asked = table(spark, folder, "benchmark").where("item_id % 20 = 0")
+    found = bm25.search(table(spark, folder, "documents"), asked)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query("op6_nb_svm_quality")
+def op6_nb_svm_quality(spark, folder):
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder_is_zero("doc_id", 5), F.lit(False))
+    model = nbsvm.fit(documents, table(spark, folder, "labels"), held_out)
+    return nbsvm.score(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@query("op8_crf_pii")
+def op8_crf_pii(spark, folder):
+    documents = table(spark, folder, "documents")
+    field = crf.fit(crf.labelled_windows(documents))
+    found = crf.find(documents, field)
+    base = F.filter("spans", lambda s: s["base"])
+    as_text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    return found.select(
+        "doc_id",
+        *(
+            F.size(F.array_remove(F.transform(base, lambda s: s["kind"] != kind), True))
+            .cast("long").alias(f"n_{kind}")
+            for kind in crf.KINDS
+        ),
+        F.sha2(F.array_join(F.transform(base, as_text), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", as_text), ",").alias("spans"),
+    )

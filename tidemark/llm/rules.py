@@ -121,11 +121,11 @@ def default_rules() -> list[Rule]:
     ]
 
 
-def ordered(rows: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+def ordered(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
     """The rules by rejection per cost on a sample; one row per rule comes to the driver."""
     if len(rules) < 2:
         return list(rules)
-    sample = rows.limit(sample_rows).persist()
+    sample = sample.persist()
     total = max(1, sample.count())
     standing = []
     try:
@@ -167,7 +167,7 @@ def judge(
     """
     rules = default_rules() if rules is None else rules
     rows = measured(documents, key, text)
-    chosen = ordered(rows, rules, sample_rows)
+    chosen = ordered(measured(documents.limit(sample_rows), key, text), rules)
     judged = rows.withColumn("rejected_by", first_rejection(chosen))
     return judged.select(
         F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",

@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm import texts as tx
 from tidemark.llm.workspace import BLOCK_BYTES, Workspace, blocked
@@ -449,6 +450,7 @@ def cut_block(table: pa.Table, gone: pa.Table) -> pa.Table:
     )
     return pa.table({
         "id": table["id"],
+        "rest": table["rest"],
         "n_bytes": pa.array(np.diff(offsets), pa.int64()),
         "spans": spans,
         "kept": texts,
@@ -464,8 +466,9 @@ def remove_repeats(
     block_bytes: int = BLOCK_BYTES,
     hot: int = HOT_ANCHOR,
     shard_bytes: int = SHARD_BYTES,
+    columns: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Returns ``key``, n_bytes, spans (array of start and end, the bytes removed) and kept
+    """Returns ``key``, ``columns`` (carried along as they are), n_bytes, spans (array of start and end, the bytes removed) and kept
     (binary, the bytes that are left) for every row.
 
     ``key`` is an integer; smaller ones come first, null before all. A byte goes if it lies in
@@ -478,7 +481,10 @@ def remove_repeats(
     if not 8 <= gram <= span - 1 or span - gram + 1 > 128:
         raise ValueError("gram must be below span, and span - gram below 128")
     work = Workspace(documents.sparkSession, "suffixes")
-    table, count = blocked(work, documents, key, text, block_bytes)
+    rest = F.struct(*[F.col(c) for c in columns], F.lit(0).alias("_")).alias("rest")
+    source = documents.select(F.col(key).alias("id"), F.col(text).alias("text"), rest)
+    table, count = blocked(work, source, "id", "text", block_bytes, ("rest",))
+    whole, table = table, table.drop("rest")
     kind = table.schema["id"].dataType.simpleString()
     buckets = max(32, count // BLOCKS_PER_BUCKET)
     found = table.groupBy("block").applyInArrow(
@@ -494,7 +500,10 @@ def remove_repeats(
         segments.groupBy("bucket").applyInArrow(lambda t: bucket_spans(t, span, shard_bytes), GONE),
         "gone",
     )
-    cut = table.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(
-        cut_block, f"id {kind}, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
+    cut = whole.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(
+        cut_block,
+        f"id {kind}, rest {source.schema['rest'].dataType.simpleString()}, n_bytes long, "
+        "spans array<struct<start:long,end:long>>, kept binary",
     )
-    return work.finish(cut.withColumnRenamed("id", key))
+    carried = [F.col("rest")[c].alias(c) for c in columns]
+    return work.finish(cut.select(F.col("id").alias(key), *carried, "n_bytes", "spans", "kept"))
