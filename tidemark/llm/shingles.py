@@ -2,11 +2,12 @@
 
 A document is the set of its distinct shingles. Documents with one set are one node.
 
-* Links need a shared shingle among each side's rarest quarter (at a similarity of 0.75), where
-  rare means few occurrences in a table of counted hash cells over all documents, then small
-  hash. Nodes that meet at such a shingle and do not differ too much in size are candidates of
-  each other; connected candidates are a family. Common lines and passages are last in that
-  order, so they do not tie documents together.
+* Two linked sets share a sixth of their shingles within each side's rarest five twelfths (at
+  a similarity of 0.75), where rare means few occurrences in a table of counted hash cells over
+  all documents, then small hash. A node of which fewer shingles there occur in another node
+  cannot be linked and goes no further. The others are candidates of each other where they
+  meet; connected candidates are a family. A passage that documents share is a small part of
+  most of them, and a common one comes last in that order, so it does not tie them together.
 * A family's sets are sent once. Its signature tree holds in every tree node the OR of the
   bitmaps below, the range of set sizes and how many shingles share bits at most. The tree is
   walked against itself; a pair of tree nodes is left out when no pair below can overlap
@@ -45,7 +46,8 @@ FLUSH_BYTES = 24 << 20
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 SIGN = "kind int, id {id}, n_shingles long, node long, counts binary"
-POSTING = "bucket int, hashes binary, nodes binary, sizes binary"
+POSTING = "bucket int, hashes binary, nodes binary"
+MET = "shingle long, node long"
 MEMBER = "family long, parts int, node long, shingles binary"
 
 
@@ -128,10 +130,19 @@ def counted_cells(rows: DataFrame, cells: int) -> np.ndarray:
     return total
 
 
+def least_shared(size, percent: int):
+    """How many of the rarest shingles two linked sets share at least; works on columns too."""
+    return F.greatest(F.lit(1), F.floor(size * (100 - percent) / 150))
+
+
 def rarest(shingles: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
-    """Enough of the rarest shingles that two linked sets must share one of them."""
+    """Enough of the rarest shingles that two linked sets must share ``least_shared`` of them.
+
+    At least ``percent`` percent of a set are shared, so of any part of it all but the rest.
+    """
     n = len(shingles)
-    size = n - (-(-percent * n // 100)) + 1
+    shared = max(1, n * (100 - percent) // 150)
+    size = min(n, n - (-(-percent * n // 100)) + shared)
     order = np.lexsort((shingles, counts[_cell(shingles, len(counts))]))
     return shingles[order[:size]]
 
@@ -145,16 +156,14 @@ def posting_batches(batches, words: int, percent: int, buckets: int, cells):
     def flush():
         if not held:
             return
-        hashes = np.concatenate([h for h, _, _ in held])
-        lengths = [len(h) for h, _, _ in held]
-        nodes = np.repeat(np.array([n for _, n, _ in held], np.int64), lengths)
-        sizes = np.repeat(np.array([s for _, _, s in held], np.int32), lengths)
+        hashes = np.concatenate([h for h, _ in held])
+        nodes = np.repeat(np.array([n for _, n in held], np.int64), [len(h) for h, _ in held])
         bucket = (hashes >> np.uint64(35)).astype(np.int64) % buckets
         groups = list(tx.blobs(np.argsort(bucket, kind="stable"), bucket))
         yield pa.RecordBatch.from_arrays([
             pa.array([b for b, _ in groups], pa.int32()),
-            *(pa.array([v[at].tobytes() for _, at in groups], pa.binary()) for v in (hashes, nodes, sizes)),
-        ], names=["bucket", "hashes", "nodes", "sizes"])
+            *(pa.array([v[at].tobytes() for _, at in groups], pa.binary()) for v in (hashes, nodes)),
+        ], names=["bucket", "hashes", "nodes"])
         held.clear()
 
     for part in tx.slices(batches):
@@ -163,38 +172,30 @@ def posting_batches(batches, words: int, percent: int, buckets: int, cells):
                 continue
             seen.add(node)
             chosen = rarest(shingles, counts, percent)
-            held.append((chosen, node, len(shingles)))
-            size += 20 * len(chosen)
+            held.append((chosen, node))
+            size += 16 * len(chosen)
         if size > FLUSH_BYTES:
             yield from flush()
             size = 0
     yield from flush()
 
 
-def candidates(table: pa.Table, percent: int) -> pa.Table:
-    """Links between nodes that meet at a shingle of the bucket, near enough in size.
-
-    Nodes of one shingle in order of size; where the next is too large for the one before, no
-    pair across can be linked. Between such gaps all hang on the smallest node.
-    """
-    hashes, nodes, sizes = (
+def meetings(table: pa.Table) -> pa.Table:
+    """The rare shingles of a bucket that several nodes have, with those nodes."""
+    hashes, nodes = (
         np.concatenate([np.frombuffer(b, kind) for b in table[name].to_pylist()])
-        for name, kind in (("hashes", np.uint64), ("nodes", np.int64), ("sizes", np.int32))
+        for name, kind in (("hashes", np.uint64), ("nodes", np.int64))
     )
-    order = np.argsort(hashes)
-    ordered = hashes[order]
-    same = ordered[1:] == ordered[:-1]
-    many = np.append(same, False) | np.concatenate([[False], same])
-    at = order[many]
-    at = at[np.lexsort((nodes[at], sizes[at], hashes[at]))]
-    h, n, s = hashes[at], nodes[at], sizes[at].astype(np.int64)
-    if len(h) == 0:
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    new = np.concatenate([[True], (h[1:] != h[:-1]) | (100 * s[:-1] < percent * s[1:])])
-    group = np.cumsum(new) - 1
-    low = np.minimum.reduceat(n, np.flatnonzero(new))[group]
-    links = np.unique(np.column_stack([n, low])[n != low], axis=0)
-    return pa.table({"a": pa.array(links[:, 0], pa.int64()), "b": pa.array(links[:, 1], pa.int64())})
+    order = np.lexsort((nodes, hashes))
+    hashes, nodes = hashes[order], nodes[order]
+    new = np.append(True, (hashes[1:] != hashes[:-1]) | (nodes[1:] != nodes[:-1]))  # once per node
+    hashes, nodes = hashes[new], nodes[new]
+    same = hashes[1:] == hashes[:-1]
+    many = np.append(same, False) | np.append(False, same)
+    return pa.table({
+        "shingle": pa.array(hashes[many].view(np.int64), pa.int64()),
+        "node": pa.array(nodes[many], pa.int64()),
+    })
 
 
 def member_batches(batches, words: int):
@@ -367,10 +368,17 @@ def join(
     postings = source.mapInArrow(
         lambda b: posting_batches(b, words, percent, buckets, counts), POSTING
     )
-    met = postings.groupBy("bucket").applyInArrow(
-        lambda t: candidates(t, percent), "a long, b long"
+    met = work.keep(postings.groupBy("bucket").applyInArrow(meetings, MET), "met")
+    sizes = signs.groupBy("node").agg(F.max("n_shingles").alias("size"))
+    able = (
+        met.groupBy("node").agg(F.count("*").alias("n")).join(sizes, "node")
+        .where(F.col("n") >= least_shared(F.col("size"), percent)).select("node")
     )
-    families = work.keep(components(work, met, "families"), "family")
+    left = met.join(able, "node", "left_semi")
+    low = left.groupBy("shingle").agg(F.min("node").alias("b"))
+    touching = left.join(low, "shingle").select(F.col("node").alias("a"), "b").distinct()
+    families = work.keep(components(work, touching, "families"), "family")
+    work.remove("met")
 
     # one document of each candidate node brings the set, to each pair of parts it is in
     parts = families.groupBy("root").agg(F.ceil(F.count("*") / part_nodes).cast("int").alias("parts"))
