@@ -93,7 +93,7 @@ def test_scores_are_those_of_a_plain_tree(spark, depth, block):
     tree = PlainTree([t for i, t in enumerate(plain) if i % 3 != 2], depth)
     assert len(got) == len(texts)
     for i, text in enumerate(plain):
-        assert got[i].score == pytest.approx(tree.score(text), rel=1e-9), i
+        assert got[i].score == pytest.approx(tree.score(text), rel=1e-6), i  # 32-bit parts
         assert got[i].held_out == (i % 3 == 2)
 
 

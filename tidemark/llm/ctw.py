@@ -24,15 +24,19 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import texts as tx
-from tidemark.llm.workspace import BLOCK_BYTES, Workspace, blocked
+from tidemark.llm.workspace import Workspace, blocked
 
 #: Bytes of context. A gram is the context and the byte, in one 64-bit number.
 DEPTH = 5
 
+#: Text of one block: larger ones hold fewer distinct grams a byte.
+BLOCK_BYTES = 8 << 20
+
 #: Buckets of grams and of words.
 BUCKETS = 64
 
@@ -51,6 +55,26 @@ ANSWER = "block int, kind int, keys binary, vals binary"
 GRAMS, WORDS = 0, 1
 
 
+def packed(values: np.ndarray | bytes) -> bytes:
+    """Bytes of an array, compressed."""
+    raw = values if isinstance(values, bytes) else values.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def unpacked(blob: bytes, kind=None):
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    return raw if kind is None else np.frombuffer(raw, kind)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as the steps between them."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(blob: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(blob, np.uint64), dtype=np.uint64)
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Logarithm of the gamma function for positive numbers."""
     x = np.array(x, float)
@@ -137,7 +161,7 @@ def count_block(table: pa.Table, depth: int, buckets: int, together: int) -> pa.
     key, count = _unique_sums(np.concatenate(keys), np.concatenate(counts))
     bucket = _gram_bucket(key, depth, buckets)
     for b, at in tx.blobs(np.argsort(bucket, kind="stable"), bucket):
-        rows.append((GRAMS, b, key[at].tobytes(), count[at].tobytes()))
+        rows.append((GRAMS, b, packed_keys(key[at]), packed(count[at])))
     words.append(pa.array([b""], pa.large_binary()))
     word_counts.append(np.array([ends]))
     coded = pa.concat_arrays(words).dictionary_encode()
@@ -145,7 +169,7 @@ def count_block(table: pa.Table, depth: int, buckets: int, together: int) -> pa.
     text = coded.dictionary.to_numpy(zero_copy_only=False)
     bucket = (tx.hashes(coded.dictionary) >> np.uint64(20)).astype(np.int64) % buckets
     for b, at in tx.blobs(np.argsort(bucket, kind="stable"), bucket):
-        rows.append((WORDS, b, b"\n".join(text[at]), count[at].tobytes()))
+        rows.append((WORDS, b, packed(b"\n".join(text[at])), packed(count[at])))
     kind, bucket, blob, count = zip(*rows)
     n = len(rows)
     return pa.table(
@@ -161,11 +185,15 @@ def count_block(table: pa.Table, depth: int, buckets: int, together: int) -> pa.
 
 
 def _numbers(blobs, kind) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b, kind) for b in blobs])
+    return np.concatenate([unpacked(b, kind) for b in blobs])
+
+
+def _all_keys(blobs) -> np.ndarray:
+    return np.concatenate([unpacked_keys(b) for b in blobs])
 
 
 def _split_words(blob: bytes) -> list[bytes]:
-    return blob.split(b"\n")
+    return unpacked(blob).split(b"\n")
 
 
 def merge(table: pa.Table) -> pa.Table:
@@ -174,19 +202,19 @@ def merge(table: pa.Table) -> pa.Table:
     blobs = table["keys"].to_pylist()
     count = _numbers(table["counts"].to_pylist(), np.int64)
     if kind == GRAMS:
-        keys, count = _unique_sums(_numbers(blobs, np.uint64), count)
-        blob = keys.tobytes()
+        keys, count = _unique_sums(_all_keys(blobs), count)
+        blob = packed_keys(keys)
     else:
         words = pa.array([w for b in blobs for w in _split_words(b)], pa.large_binary())
         coded = words.dictionary_encode()
         count = np.bincount(coded.indices.to_numpy(), count).astype(np.int64)
-        blob = b"\n".join(coded.dictionary.to_pylist())
+        blob = packed(b"\n".join(coded.dictionary.to_pylist()))
     return pa.table(
         {
             "kind": pa.array([kind], pa.int32()),
             "bucket": pa.array([bucket], pa.int32()),
             "keys": pa.array([blob], pa.binary()),
-            "counts": pa.array([count.tobytes()], pa.binary()),
+            "counts": pa.array([packed(count)], pa.binary()),
         }
     )
 
@@ -260,7 +288,7 @@ def upper_nodes(batches, depth: int):
     for batch in batches:
         for row in batch.to_pylist():
             tree = Subtree(
-                np.frombuffer(row["keys"], np.uint64), np.frombuffer(row["counts"], np.int64), depth
+                unpacked_keys(row["keys"]), unpacked(row["counts"], np.int64), depth
             )
             total = np.zeros((4, 65536))
             for level in range(8):
@@ -312,12 +340,12 @@ def bucket_values(batches, depth: int, top: Top):
     for batch in batches:
         values = []
         for row in batch.to_pylist():
-            counts = np.frombuffer(row["counts"], np.int64)
+            counts = unpacked(row["counts"], np.int64)
             if row["kind"] == GRAMS:
-                keys = np.frombuffer(row["keys"], np.uint64)
-                values.append(gram_scores(keys, counts, depth, top).tobytes())
+                keys = unpacked_keys(row["keys"])
+                values.append(packed(gram_scores(keys, counts, depth, top).astype(np.float32)))
             else:
-                values.append(counts.astype(float).tobytes())
+                values.append(packed(counts.astype(float)))
         at = batch.schema.get_field_index("counts")
         yield batch.set_column(at, "vals", pa.array(values, pa.binary())).select(
             ["kind", "bucket", "keys", "vals"]
@@ -330,10 +358,11 @@ def answer(entries: pa.Table, model: pa.Table) -> pa.Table:
         return pa.table({"block": pa.array([], pa.int32()), "kind": pa.array([], pa.int32()),
                          "keys": pa.array([], pa.binary()), "vals": pa.array([], pa.binary())})
     kind = entries["kind"][0].as_py()
-    blob, values = model["keys"][0].as_py(), np.frombuffer(model["vals"][0].as_py(), float)
+    blob = model["keys"][0].as_py()
+    values = unpacked(model["vals"][0].as_py(), np.float32 if kind == GRAMS else float)
     if kind == GRAMS:
-        known = np.frombuffer(blob, np.uint64)
-        found = [values[np.searchsorted(known, np.frombuffer(b, np.uint64))]
+        known = unpacked_keys(blob)
+        found = [values[np.searchsorted(known, unpacked_keys(b))]
                  for b in entries["keys"].to_pylist()]
     else:
         known = pa.array(_split_words(blob), pa.large_binary())
@@ -341,7 +370,7 @@ def answer(entries: pa.Table, model: pa.Table) -> pa.Table:
             values[pc.index_in(pa.array(_split_words(b), pa.large_binary()), known).to_numpy()]
             for b in entries["keys"].to_pylist()
         ]
-    vals = pa.array([v.tobytes() for v in found], pa.binary())
+    vals = pa.array([packed(v) for v in found], pa.binary())
     return pa.table({"block": entries["block"], "kind": entries["kind"],
                      "keys": entries["keys"], "vals": vals})
 
@@ -350,10 +379,10 @@ def score_block(texts: pa.Table, answers: pa.Table, depth: int, total: int, dist
     """One row per text of a block."""
     rows = answers.to_pylist()
     grams = [r for r in rows if r["kind"] == GRAMS]
-    keys = _numbers([r["keys"] for r in grams], np.uint64)
+    keys = _all_keys([r["keys"] for r in grams])
     order = np.argsort(keys)
     keys = keys[order]
-    scores = _numbers([r["vals"] for r in grams], float)[order]
+    scores = _numbers([r["vals"] for r in grams], np.float32)[order].astype(float)
     words = [r for r in rows if r["kind"] == WORDS]
     known = pa.array([w for r in words for w in _split_words(r["keys"])], pa.large_binary())
     counts = _numbers([r["vals"] for r in words], float)
@@ -459,7 +488,7 @@ def score(
 def _word_totals(batches):
     for batch in batches:
         for row in batch.to_pylist():
-            counts = np.frombuffer(row["counts"], np.int64)
+            counts = unpacked(row["counts"], np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(counts.sum())]), pa.array([int((counts > 0).sum())])],
                 names=["total", "distinct"],
