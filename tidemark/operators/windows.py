@@ -48,9 +48,11 @@ def sensor_averages(
 ) -> DataFrame:
     """Average temperature and humidity per window.
 
-    Where a row belongs to many windows the averages go through panes.
+    On a table the averages go through panes where a row belongs to many windows. A stream
+    never does: a pane would close before the windows it belongs to, and late rows that these
+    still take would be lost.
     """
-    copies = windows_per_row(length, slide)
+    copies = 1.0 if frame.isStreaming else windows_per_row(length, slide)
     if copies >= PANES_FROM and copies.is_integer():
         wanted = {temperature: "avg_temp", humidity: "avg_humidity"}
         return pane_averages(frame, time, length, slide, wanted, watermark, scale)

@@ -29,11 +29,16 @@ def append_counts(
 ) -> None:
     """One log row per value, for all values in one pass.
 
-    A repeated run of the same time adds nothing.
+    A value that the log holds for this time is left out, so a repeated run adds nothing;
+    other values of the time, and earlier times, are added.
     """
     log = spark.table(table)
-    last_id, last_time = log.agg(F.max("id"), F.max("created_at")).first()
-    if last_time is not None and last_time >= created_at:
+    last_id = log.agg(F.max("id")).first()[0]
+    same_time = F.col("created_at") == F.lit(created_at).cast("timestamp_ntz")
+    there = log.where(same_time & F.col("value").isin(*values))
+    logged = {r[0] for r in there.select("value").distinct().collect()}
+    values = [v for v in values if v not in logged]
+    if not values:
         return
     counts = count_by_value(frame, column, values)
     log_rows(counts, created_at, values, last_id or 0).write.mode("append").insertInto(table)
