@@ -223,7 +223,8 @@ def fit(
     known = labels.where(F.col(label).isin(0, 1)).where(~F.coalesce(held_out, F.lit(False)))
     known = known.groupBy(F.col(key).alias("id")).agg(F.max(label).cast("int").alias("label"))
     source = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    rows = source.join(known, "id").select("text", "label")
+    # Both sides are dealt by key at every size; neither is taken for small.
+    rows = source.join(known.hint("merge"), "id").select("text", "label")
     counts = counted_cells(rows.mapInArrow(lambda b: count_batches(b, size), "counts binary"), 2 * size + 2)
     if not counts[-2:].any():
         return None
