@@ -13,8 +13,10 @@ How it spreads:
 * Entries go to buckets by the two nearest context bytes (or a hash of the word). Counts are
   summed over groups of blocks, then over the groups. A bucket holds whole subtrees from
   depth two on; the nodes above are at most 256 x 255 and are summed by Spark.
+* Entries are laid out by bucket and group of blocks once, for the summing and the answering.
 * Each bucket works out the code length of each distinct gram once and answers the blocks;
-  a block sums them up over its texts.
+  a block sums them up over its texts. Answers on grams come without the grams, in the order
+  in which the block lists them again.
 """
 
 from __future__ import annotations
@@ -48,10 +50,10 @@ EDGE = b"\xff"
 
 ALPHA = 0.1
 
-ENTRY = "kind int, bucket int, salt int, block int, keys binary, counts binary"
+ENTRY = "place int, kind int, bucket int, block int, keys binary, counts binary"
 MERGED = "kind int, bucket int, keys binary, counts binary"
 NODE = "node int, zeros double, ones double, weighted double"
-ANSWER = "block int, kind int, keys binary, vals binary"
+ANSWER = "block int, kind int, bucket int, keys binary, vals binary"
 GRAMS, WORDS = 0, 1
 
 
@@ -140,6 +142,18 @@ def _sorted_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(keys, return_counts=True)
 
 
+def _place(kind, bucket, salt, buckets: int):
+    """One number for the kind and bucket of an entry and the group of its block."""
+    return (salt * 2 + kind) * buckets + bucket
+
+
+def _block_grams(grams: list[np.ndarray], depth: int, buckets: int) -> tuple[np.ndarray, list]:
+    """Distinct grams of a block, ascending, and their positions for each bucket in turn."""
+    key = np.unique(np.concatenate(grams))
+    bucket = _gram_bucket(key, depth, buckets)
+    return key, list(tx.blobs(np.argsort(bucket, kind="stable"), bucket))
+
+
 def count_block(table: pa.Table, depth: int, buckets: int, together: int) -> pa.Table:
     """Entries of one block: distinct grams and words with their counts in training texts."""
     block = table["block"][0].as_py()
@@ -158,9 +172,9 @@ def count_block(table: pa.Table, depth: int, buckets: int, together: int) -> pa.
         word_counts.append(np.bincount(code[~held[doc]], minlength=len(distinct)))
         ends += int(np.count_nonzero(~held))
     rows = []
-    key, count = _unique_sums(np.concatenate(keys), np.concatenate(counts))
-    bucket = _gram_bucket(key, depth, buckets)
-    for b, at in tx.blobs(np.argsort(bucket, kind="stable"), bucket):
+    _, count = _unique_sums(np.concatenate(keys), np.concatenate(counts))
+    key, places = _block_grams(keys, depth, buckets)
+    for b, at in places:
         rows.append((GRAMS, b, packed_keys(key[at]), packed(count[at])))
     words.append(pa.array([b""], pa.large_binary()))
     word_counts.append(np.array([ends]))
@@ -172,11 +186,12 @@ def count_block(table: pa.Table, depth: int, buckets: int, together: int) -> pa.
         rows.append((WORDS, b, packed(b"\n".join(text[at])), packed(count[at])))
     kind, bucket, blob, count = zip(*rows)
     n = len(rows)
+    place = [_place(k, b, block // together, buckets) for k, b in zip(kind, bucket)]
     return pa.table(
         {
+            "place": pa.array(place, pa.int32()),
             "kind": pa.array(kind, pa.int32()),
             "bucket": pa.array(bucket, pa.int32()),
-            "salt": pa.array([block // together] * n, pa.int32()),
             "block": pa.array([block] * n, pa.int32()),
             "keys": pa.array(blob, pa.binary()),
             "counts": pa.array(count, pa.binary()),
@@ -355,8 +370,8 @@ def bucket_values(batches, depth: int, top: Top):
 def answer(entries: pa.Table, model: pa.Table) -> pa.Table:
     """The values of the entries of some blocks, from the model of their bucket."""
     if entries.num_rows == 0 or model.num_rows == 0:
-        return pa.table({"block": pa.array([], pa.int32()), "kind": pa.array([], pa.int32()),
-                         "keys": pa.array([], pa.binary()), "vals": pa.array([], pa.binary())})
+        empty = {name: pa.array([], pa.int32()) for name in ("block", "kind", "bucket")}
+        return pa.table({**empty, "keys": pa.array([], pa.binary()), "vals": pa.array([], pa.binary())})
     kind = entries["kind"][0].as_py()
     blob = model["keys"][0].as_py()
     values = unpacked(model["vals"][0].as_py(), np.float32 if kind == GRAMS else float)
@@ -371,18 +386,23 @@ def answer(entries: pa.Table, model: pa.Table) -> pa.Table:
             for b in entries["keys"].to_pylist()
         ]
     vals = pa.array([packed(v) for v in found], pa.binary())
+    keys = entries["keys"] if kind == WORDS else pa.nulls(entries.num_rows, pa.binary())
     return pa.table({"block": entries["block"], "kind": entries["kind"],
-                     "keys": entries["keys"], "vals": vals})
+                     "bucket": entries["bucket"], "keys": keys, "vals": vals})
 
 
-def score_block(texts: pa.Table, answers: pa.Table, depth: int, total: int, distinct: int) -> pa.Table:
+def score_block(
+    texts: pa.Table, answers: pa.Table, depth: int, buckets: int, total: int, distinct: int
+) -> pa.Table:
     """One row per text of a block."""
     rows = answers.to_pylist()
-    grams = [r for r in rows if r["kind"] == GRAMS]
-    keys = _all_keys([r["keys"] for r in grams])
-    order = np.argsort(keys)
-    keys = keys[order]
-    scores = _numbers([r["vals"] for r in grams], np.float32)[order].astype(float)
+    keys, places = _block_grams(
+        [np.unique(_text_grams(part, depth)[0]) for part in tx.slices(texts)], depth, buckets
+    )
+    vals = {r["bucket"]: r["vals"] for r in rows if r["kind"] == GRAMS}
+    scores = np.zeros(len(keys))
+    for bucket, at in places:
+        scores[at] = unpacked(vals[bucket], np.float32)
     words = [r for r in rows if r["kind"] == WORDS]
     known = pa.array([w for r in words for w in _split_words(r["keys"])], pa.large_binary())
     counts = _numbers([r["vals"] for r in words], float)
@@ -442,13 +462,14 @@ def score(
     )
     table, count = blocked(work, source, "id", "text", block_bytes, ("held_out",))
 
-    entries = work.keep(
+    salts = -(-count // together)
+    entries = work.bucketed(
         table.groupBy("block").applyInArrow(
             lambda t: count_block(t, depth, buckets, together), ENTRY
         ),
-        "entries",
+        "place", buckets * salts, "entries",
     )
-    partial = entries.groupBy("kind", "bucket", "salt").applyInArrow(merge, MERGED)
+    partial = entries.groupBy("place").applyInArrow(merge, MERGED)
     merged = work.keep(partial.groupBy("kind", "bucket").applyInArrow(merge, MERGED), "merged")
 
     nodes = (
@@ -467,17 +488,17 @@ def score(
     )
     total, distinct = int(totals["total"] or 0), int(totals["distinct"] or 0)
 
-    salts = -(-count // together)
     model = merged.mapInArrow(
         lambda b: bucket_values(b, depth, top), "kind int, bucket int, keys binary, vals binary"
     ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    place = ["kind", "bucket", "salt"]
+    place = _place(F.col("kind"), F.col("bucket"), F.col("salt"), buckets).cast("int")
+    model = model.select("kind", "keys", "vals", place.alias("place"))
     answers = (
-        entries.select(*place, "block", "keys").groupBy(*place)
-        .cogroup(model.groupBy(*place)).applyInArrow(answer, ANSWER)
+        entries.select("place", "kind", "bucket", "block", "keys").groupBy("place")
+        .cogroup(model.groupBy("place")).applyInArrow(answer, ANSWER)
     )
     scored = table.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        lambda t, a: score_block(t, a, depth, total, distinct),
+        lambda t, a: score_block(t, a, depth, buckets, total, distinct),
         f"id {source.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens long, "
         "n_known long, train_tokens long, base_score double, score double, n_bytes long",
     )

@@ -17,6 +17,10 @@ from tidemark.session import scratch
 #: operators that send something back to the texts; it must fit into one task.
 BLOCK_BYTES = 4 << 20
 
+#: Buckets of one table, the most that Spark allows as it is set up. Beyond them a bucket
+#: holds several keys, sorted apart by the grouping.
+MOST_BUCKETS = 100_000
+
 
 class Workspace:
     """One run's tables below the shared folder."""
@@ -34,6 +38,7 @@ class Workspace:
 
     def bucketed(self, frame: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
         """As ``keep``, laid out by ``key``: grouping by it later needs no shuffle."""
+        buckets = min(buckets, MOST_BUCKETS)
         table = f"tidemark_{name}_{uuid.uuid4().hex}"
         (
             frame.repartition(buckets, key)
