@@ -89,11 +89,24 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (x - 0.5) * np.log(x) - x + 0.5 * math.log(2 * math.pi) + series - shift
 
 
+#: Counts whose logarithms are looked up.
+LOOKED_UP = 1 << 12
+GAMMA = {shift: log_gamma(np.arange(LOOKED_UP) + shift) for shift in (0.5, 1.0)}
+
+
+def _log_gamma_of(counts: np.ndarray, shift: float) -> np.ndarray:
+    """``log_gamma`` of whole numbers moved by a shift of ``GAMMA``."""
+    small = counts < LOOKED_UP
+    out = GAMMA[shift][np.where(small, counts, 0).astype(np.int64)]
+    out[~small] = log_gamma(counts[~small] + shift)
+    return out
+
+
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logarithm of the Krichevsky-Trofimov probability of so many zeros and ones."""
     return (
-        log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - math.log(math.pi)
-        - log_gamma(zeros + ones + 1)
+        _log_gamma_of(zeros, 0.5) + _log_gamma_of(ones, 0.5) - math.log(math.pi)
+        - _log_gamma_of(zeros + ones, 1.0)
     )
 
 
@@ -396,9 +409,12 @@ def score_block(
 ) -> pa.Table:
     """One row per text of a block."""
     rows = answers.to_pylist()
-    keys, places = _block_grams(
-        [np.unique(_text_grams(part, depth)[0]) for part in tx.slices(texts)], depth, buckets
-    )
+    parts, grams = list(tx.slices(texts)), []
+    for part in parts:
+        key, doc = _text_grams(part, depth)
+        found, inverse = np.unique(key, return_inverse=True)
+        grams.append((found, inverse.astype(np.int32), doc.astype(np.int32)))
+    keys, places = _block_grams([found for found, _, _ in grams], depth, buckets)
     vals = {r["bucket"]: r["vals"] for r in rows if r["kind"] == GRAMS}
     scores = np.zeros(len(keys))
     for bucket, at in places:
@@ -409,10 +425,9 @@ def score_block(
     end = counts[pc.index_in(pa.scalar(b"", pa.large_binary()), known).as_py()]
     divisor = total + ALPHA * (distinct + 1)
     pieces = []
-    for part in tx.slices(texts):
+    for part, (found, inverse, doc) in zip(parts, grams):
         n = part.num_rows
-        key, doc = _text_grams(part, depth)
-        score = tx.sums(doc, scores[np.searchsorted(keys, key)], n)
+        score = tx.sums(doc, scores[np.searchsorted(keys, found)][inverse], n)
         code, doc, distinct_words = _block_words(part)
         count = counts[pc.index_in(distinct_words, known).to_numpy()] if len(code) else counts[:0]
         count = count[code]
