@@ -168,6 +168,8 @@ def test_panes_equal_windows(readings):
     assert windows.windows_per_row("1 minute", "30 seconds") == 2
     assert windows.windows_per_row("1 day", "1 hour") == 24
     assert windows.windows_per_row("1 hour", None) == 1
+    assert windows.windows_per_row("1 week", "1 day") == 7
+    assert windows.windows_per_row("1 hour 30 minutes", "500 milliseconds") == 10_800
 
 
 def test_statistics_of_one_row(spark):
@@ -244,6 +246,37 @@ def test_range_join_equals_brute_force(spark, way):
     assert rows(got, "id", "code") == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("way", WAYS)
+def test_bounds_that_are_one_double_still_match(spark, way):
+    big = 2**54
+    readings = spark.createDataFrame([(big + 1, 0), (big + 3, 0), (-(2**62) - 1, 0)], "t bigint, h bigint")
+    limits = spark.createDataFrame(
+        [(big, big + 2, "a"), (-(2**62) - 2, -(2**62), "b"), (5, 5, "empty")],
+        "tmin bigint, tmax bigint, code string",
+    )
+    got = ranges.match_rules(readings, limits, HALVES[:1], **way)
+    assert rows(got, "t", "code") == [(-(2**62) - 1, "b"), (big + 1, "a")]
+
+
+def test_stream_levels_give_the_same_pairs(spark, tmp_path):
+    rng = random.Random(5)
+    wide = [1e-6, 0.3, 7.0, 300.0, 1e6, 1e30, math.inf]
+    readings = [(i, rng.uniform(-50, 50), rng.uniform(-50, 50)) for i in range(60)]
+    limits = []
+    for i in range(90):
+        t, h = rng.uniform(-50, 50), rng.choice([None, rng.uniform(-50, 50)])
+        limits.append((t, t + rng.choice(wide), h, 60.0, f"r{i}"))
+    table = spark.createDataFrame(limits, LIMITS)
+    source = spark.createDataFrame(readings, "id int, t double, h double")
+    source.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(source.schema).parquet(str(tmp_path / "in"))
+    out = ranges.match_rules(stream, table, HALVES).writeStream.format("parquet")
+    out = out.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True)
+    out.start(str(tmp_path / "out")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(got, "id", "code") == rows(ranges.match_rules(source, table, HALVES, list_rows=100), "id", "code")
+
+
 def test_no_rules_give_no_alerts(spark):
     readings = spark.createDataFrame([(1, 1.0, 1.0)], "id int, t double, h double")
     limits = spark.createDataFrame([(None, 1.0, 5.0, 2.0, "x")], LIMITS)
@@ -261,6 +294,18 @@ def test_long_rule_lists_use_an_equi_join(spark):
 # --- routing ------------------------------------------------------------------------------
 
 
+def test_a_symbol_has_one_topic(spark):
+    trades = spark.createDataFrame([("BTC", 1)], "symbol string, n int")
+    pairs = [("BTC", "a"), ("btc", "b"), (None, "c")]
+    twice = spark.createDataFrame(pairs, "symbol string, topic string")
+    with pytest.raises(Exception, match="not unique"):
+        routing.route_by_table(trades, twice).collect()
+    same = spark.createDataFrame([("BTC", "a"), ("btc", "a"), (None, "c")], "symbol string, topic string")
+    assert rows(routing.route_by_table(trades, same), "topic", "n") == [("a", 1)]
+    last = routing.destination_table(spark, pairs[:2])
+    assert rows(routing.route_by_table(trades, last), "topic", "n") == [("b", 1)]
+
+
 def test_routing(spark, tmp_path):
     trades = spark.createDataFrame([("BTC", 1), ("btc", 2), (None, 3), ("DOGE", 4)], "symbol string, n int")
     table = spark.createDataFrame([("BTC", "currency_btc")], "symbol string, topic string")

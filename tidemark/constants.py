@@ -41,6 +41,8 @@ ALERT_EVERY = "10 seconds"
 AVERAGES_EVERY = "10 seconds"
 STATISTICS_EVERY = "60 seconds"
 CONSOLE_EVERY = "30 seconds"
+CONSOLE_ALERTS = 10
+CONSOLE_STATISTICS = 50
 
 # Window statistics
 QUARTILES = [0.25, 0.5, 0.75]

@@ -10,13 +10,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import hot_key_join
-from tidemark.operators.sizing import HOT_ROWS, measure
+from tidemark.operators.sizing import HOT_ROWS, Size, measure
 
 # Up to here comparing every row with every rule is cheaper than building cells.
 LIST_ROWS = 64
 
-# Cell sizes are powers of two between these exponents; wider rules share one cell.
-FINEST, COARSEST = -20, 40
+# Cell sizes are powers of two between these exponents; rules without an end share one cell.
+FINEST, COARSEST = -100, 1000
+
+# Bits of a double: finer cells than the bounds can tell apart are of no use.
+DOUBLE_BITS = 52
+
+# On a stream the levels are fixed, so that rules of any width may come later.
+STREAM_LEVELS = (*range(-16, 72, 8), COARSEST)
 
 
 @dataclass(frozen=True)
@@ -49,14 +55,23 @@ def match_rules(
       equi join; the cells are broadcast while small, beyond that both sides are shuffled
       with the crowded cells spread over tasks.
 
+    On a stream nothing is measured and no hint is given, since the rules may grow while it
+    runs: the rules are placed on a fixed set of levels and Spark plans every micro-batch by
+    the size they have then. Every way gives the same pairs; ``Bounds.holds`` decides on the
+    values as they are.
+
     A pair that several halves find counts for the first of them only, so it appears once
     and equal rows stay apart.
     """
+    if rows.isStreaming:
+        return _match_by_cells(rows, rules, halves, False, hot_rows)
     size = measure(rules)
     if size.rows <= list_rows and size.fits(**limits):
         either = reduce(lambda a, b: a | b, (h.holds() for h in halves))
         return rows.join(F.broadcast(rules), either)
-    return _match_by_cells(rows, rules, halves, size.fits(**limits), hot_rows)
+    copies = 2 * len(halves)
+    placed = Size(size.rows * copies, size.bytes * copies)
+    return _match_by_cells(rows, rules, halves, placed.fits(**limits), hot_rows)
 
 
 def _match_by_cells(
@@ -68,18 +83,22 @@ def _match_by_cells(
     at most two of them; a row looks into its one cell at each level in use. A pair can
     therefore meet in one cell only.
     """
+    levels = STREAM_LEVELS if rows.isStreaming else None
     placed = reduce(
-        DataFrame.unionByName, (_place(rules, i, half) for i, half in enumerate(halves))
+        DataFrame.unionByName,
+        (_place(rules, i, half, levels) for i, half in enumerate(halves)),
     )
-    # At most (COARSEST - FINEST + 1) values per half.
-    used = placed.select("_half", "_level").distinct().collect()
+    if levels:
+        used = [(half, level) for half in range(len(halves)) for level in levels]
+    else:  # at most (COARSEST - FINEST + 1) values per half
+        used = [tuple(r) for r in placed.select("_half", "_level").distinct().collect()]
     looks = [
         F.struct(
             F.lit(half).alias("_half"),
             F.lit(level).alias("_level"),
             _cell(F.col(halves[half].value).cast("double"), F.lit(level)).alias("_cell"),
         )
-        for half, level in sorted((r["_half"], r["_level"]) for r in used)
+        for half, level in sorted(used)
     ]
     if not looks:
         none = [F.lit(None).cast(f.dataType).alias(f.name) for f in rules.schema.fields]
@@ -102,15 +121,27 @@ def _match_by_cells(
     return pairs.filter(found).select(*rows.columns, *rules.columns)
 
 
-def _place(rules: DataFrame, number: int, half: Bounds) -> DataFrame:
-    """The rules of one half on their cells."""
+def _place(
+    rules: DataFrame, number: int, half: Bounds, levels: Sequence[int] | None = None
+) -> DataFrame:
+    """The rules of one half on their cells; with ``levels`` on the next coarser of them.
+
+    Cells are taken from the bounds as doubles. Rounding keeps their order, so the cell of
+    a value between them is one of the two end cells, or both are one; rules are left out by
+    their own types only.
+    """
     low, high = F.col(half.low).cast("double"), F.col(half.high).cast("double")
-    # The small addend keeps a rounded logarithm from choosing too fine a level.
-    width = F.least(F.log2(high - low) + F.lit(1e-9), F.lit(float(COARSEST)))
-    level = F.greatest(F.ceil(width), F.lit(FINEST)).cast("int")
+    # The small addend keeps a rounded logarithm from choosing too fine a level. Bounds that
+    # are one double have no logarithm; greatest passes over it.
+    width = F.log2(high - low) + F.lit(1e-9)
+    told_apart = F.log2(F.greatest(F.abs(low), F.abs(high))) - F.lit(float(DOUBLE_BITS))
+    finest, coarsest = F.lit(float(FINEST)), F.lit(float(COARSEST))
+    level = F.ceil(F.least(F.greatest(width, told_apart, finest), coarsest)).cast("int")
+    if levels:
+        level = F.least(*(F.when(level <= n, F.lit(n)) for n in levels))
     ends = F.array(_cell(low, F.col("_level")), _cell(high, F.col("_level")))
     return (
-        rules.filter(low < high)
+        rules.filter(F.col(half.low) < F.col(half.high))
         .withColumn("_half", F.lit(number))
         .withColumn("_level", level)
         .withColumn("_cell", F.explode(F.array_distinct(ends)))

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from tidemark.constants import SYMBOL_TOPICS, TOPIC_PREFIX
 from tidemark.operators.joins import lookup_join
+from tidemark.operators.scd import one_per_key
 from tidemark.schemas import SYMBOL_TOPIC
 
 
 def destination_table(
     spark: SparkSession, pairs: Iterable[tuple[str, str]] = SYMBOL_TOPICS
 ) -> DataFrame:
-    """Configured (symbol, topic) pairs as a table."""
-    return spark.createDataFrame(list(pairs), SYMBOL_TOPIC)
+    """Configured (symbol, topic) pairs as a table; of pairs whose symbols differ in case
+    only, the last one counts."""
+    last = {symbol.lower(): (symbol, topic) for symbol, topic in pairs}
+    return spark.createDataFrame(list(last.values()), SYMBOL_TOPIC)
 
 
 def route_by_symbol(
@@ -31,8 +34,13 @@ def route_by_table(
     frame: DataFrame, destinations: DataFrame, symbol: str = "symbol"
 ) -> DataFrame:
     """Adds ``topic`` from a (symbol, topic) table; case does not matter, rows without an
-    entry are dropped. The symbol comes out in lower case."""
-    table = destinations.select(F.lower("symbol").alias(symbol), "topic")
+    entry are dropped. The symbol comes out in lower case.
+
+    Repeated entries count once; a symbol with two topics ends the query, since a table
+    has no order that could choose between them.
+    """
+    named = destinations.filter(F.col("symbol").isNotNull())
+    table = one_per_key(named.select(F.lower("symbol").alias(symbol), "topic").distinct(), symbol)
     lowered = frame.withColumn(symbol, F.lower(F.col(symbol)))
     return lookup_join(lowered, table, symbol)
 

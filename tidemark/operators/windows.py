@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.constants import PERCENTILE_ACCURACY, QUARTILES, WATERMARK_DELAY
@@ -111,14 +111,11 @@ def pane_averages(
     return panes.groupBy(F.window("window", length, slide).alias("window")).agg(*final)
 
 
-_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
-
-
 def windows_per_row(length: str, slide: str | None) -> float:
-    """How many windows hold a time, for texts such as ``30 seconds``."""
-
-    def seconds(text: str) -> float:
-        number, unit = text.split()
-        return float(number) * _SECONDS[unit.lower().rstrip("s")]
-
-    return seconds(length) / seconds(slide) if slide else 1.0
+    """How many windows hold a time; Spark reads the texts, as it does for the windows."""
+    if not slide:
+        return 1.0
+    micros = "unix_micros(timestamp_seconds(0) + CAST(:{0} AS INTERVAL)) AS {0}"
+    query = f"SELECT {micros.format('length')}, {micros.format('slide')}"
+    row = SparkSession.active().sql(query, args={"length": length, "slide": slide}).first()
+    return row["length"] / row["slide"]

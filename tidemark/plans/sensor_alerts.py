@@ -12,6 +12,7 @@ from tidemark import schemas
 from tidemark.constants import (
     ALERT_EVERY,
     ALERT_FIELDS,
+    CONSOLE_ALERTS,
     WATERMARK_DELAY,
     WINDOW_LENGTH,
     WINDOW_SLIDE,
@@ -73,5 +74,5 @@ def job(
     out = [to_bus(runner.writer(sent, f"{checkpoint}/bus", "append", ALERT_EVERY, drain))]
     if console:
         shown = runner.writer(sent, f"{checkpoint}/console", "append", ALERT_EVERY, drain)
-        out.append(runner.to_console(shown, 10))
+        out.append(runner.to_console(shown, CONSOLE_ALERTS))
     return out
