@@ -323,3 +323,26 @@ def test_several_days_equal_a_plain_account(spark, tmp_path):
     )
     want = [(k, *v, v[-1] is None) for k, past in account.items() for v in past]
     assert rows(got) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}], ids=["small", "large"])
+def test_two_current_rows_of_a_changed_key_end_the_merge(spark, limits):
+    people = frame(spark, [customer(1), customer(1, city="x"), customer(2)])
+    opened = scd.type2_load(people, S)
+    with pytest.raises(Exception, match="several current rows|not unique"):
+        changed = frame(spark, [customer(1, city="y")])
+        scd.type2_merge(opened, changed, dt.date(2030, 1, 1), **limits).collect()
+
+
+def test_an_inserted_null_key_ends_the_query(spark, first):
+    nobody = frame(spark, [customer(None)])
+    with pytest.raises(Exception, match="customer_id is null"):
+        scd.insert_if_absent(first, nobody).collect()
+
+
+def test_changes_before_the_first_batch_are_new_versions(spark, tmp_path):
+    path = str(tmp_path / "dimension")
+    assert snapshots.read_dimension(spark, path).count() == 0
+    people = frame(spark, [customer(1), customer(2)])
+    assert snapshots.publish_changes(spark, path, people, dt.date(2030, 1, 1)) == 0
+    assert rows(snapshots.read_current(spark, path), "customer_id") == [(1,), (2,)]

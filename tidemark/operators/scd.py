@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -140,13 +141,16 @@ def insert_if_absent(
     """``existing`` plus the incoming rows whose key it does not hold.
 
     Of several incoming rows for a key the first by ``order_by`` is taken; without an
-    order, the least by value, so that a repeated run inserts the same row.
+    order, the least by value, so that a repeated run inserts the same row. An incoming
+    null key ends the query: it would be inserted again by every run.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in incoming.columns if c not in keys]
     order = [order_by] if order_by else []
     least = F.min(F.struct(*order, *(c for c in others if c not in order)))
-    first = incoming.groupBy(*keys).agg(least.alias("_row")).select(*keys, "_row.*")
+    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
+    keyed = incoming.filter(_stop_if(no_key, f"{', '.join(keys)} is null"))
+    first = keyed.groupBy(*keys).agg(least.alias("_row")).select(*keys, "_row.*")
     small = measure(incoming).fits(**limits)
     fresh = _absent(first, existing.select(*keys), keys, small)
     return existing.unionByName(fresh.select(*existing.columns))
@@ -176,16 +180,22 @@ def _pair(
     The batch is measured. A small one is broadcast: the dimension stays where it is and
     only its key column is read a second time to find the new keys. Otherwise both sides
     are shuffled by key once; ``one_per_key`` leaves the changes already placed by key.
+    A key with several current rows ends the merge; the small way looks at the keys of the
+    batch only, all others are passed through as they are.
     """
     key = CUSTOMER_KEY
     changes = one_per_key(batch, key, order_by).select(*CUSTOMER_FIELDS)
-    old = current.select(F.col(key).alias("_key"), F.struct("*").alias("old"))
     new = changes.select(F.col(key).alias("_key"), F.struct("*").alias("new"))
-    if not measure(batch).fits(**limits):
+    small = measure(batch).fits(**limits)
+    rows = current if small else require_unique(current, key)
+    old = rows.select(F.col(key).alias("_key"), F.struct("*").alias("old"))
+    if not small:
         return old.join(new, "_key", "full_outer").select("old", "new")
     stayed = old.join(F.broadcast(new), "_key", "left").select("old", "new")
-    known = current.select(F.col(key).alias("_key"))
-    added = _absent(new, known, ["_key"], small=True).select(
+    known = old.select("_key").join(F.broadcast(new.select("_key")), "_key", "left_semi")
+    once = _stop_if(F.col("count") > 1, f"{key} has several current rows")
+    known = known.groupBy("_key").count().filter(once).select("_key")
+    added = _absent(new, known, ["_key"], small=False).select(
         F.lit(None).cast(old.schema["old"].dataType).alias("old"), "new"
     )
     return stayed.unionByName(added)

@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.operators.scd import (
     TYPE2_RELATIONAL,
     VERSION_FIELDS,
@@ -37,16 +38,26 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("is_current", F.col("is_current").cast("boolean"))
 
 
+def _no_versions(spark: SparkSession) -> DataFrame:
+    dates = "valid_from date, valid_to date, is_current boolean"
+    return spark.createDataFrame([], f"{schemas.CUSTOMER}, {dates}").select(*VERSION_FIELDS)
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """Open versions; only the newest batch's open files are read."""
+    """Open versions; only the newest batch's open files are read. None before the first
+    batch."""
     batch = newest_batch(spark, path)
+    if batch < 0:
+        return _no_versions(spark)
     rows = _read(spark, path).filter((F.col("batch") == batch) & F.col("is_current"))
     return rows.select(*VERSION_FIELDS)
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """All versions, closed and open."""
+    """All versions, closed and open. None before the first batch."""
     batch = newest_batch(spark, path)
+    if batch < 0:
+        return _no_versions(spark)
     closed = (F.col("batch") <= batch) & ~F.col("is_current")
     opened = (F.col("batch") == batch) & F.col("is_current")
     return _read(spark, path).filter(closed | opened).select(*VERSION_FIELDS)
