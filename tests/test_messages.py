@@ -101,10 +101,23 @@ def test_compact_trades(spark):
     assert rows(got) == [("btcusdt", 1.5, 2.0, 1733000000123, None)]
     stamped = values(spark, '{"s":"BTCUSDT","p":"1","q":"2","processing_timestamp":"now"}')
     assert rows(trades.compact(stamped)) == [("btcusdt", 1.0, 2.0, 0, "now")]
+    null = values(spark, '{"s":"BTCUSDT","p":null,"q":"1"}', '{"s":"BTCUSDT","q":"1"}')
+    assert rows(trades.compact(null), "price") == [(0.0,)]  # missing counts as 0, null does not
+    assert rows(trades.normalised(null), "price") == [(0.0,), (None,)]
     every = trades.compact(frame)
     assert rows(every, "symbol", "timestamp") == [("btcusdt", 1733000000123), ("ethusdt", 1)]
 
 
+def test_statistics_over_compact_trades(spark):
+    start = 1733000040000  # a full minute
+    sent = [("a", 1.0, 2.0, start), ("a", 3.0, 4.0, start + 59_999), ("b", 9.0, 1.0, start + 60_000)]
+    frame = spark.createDataFrame([(*t, None) for t in sent], schemas.COMPACT_TRADE)
+    got = trades.compact_statistics(messages.encode(frame), "1 minute")
+    assert rows(got, "avg_price", "trade_count", "total_volume") == [(2.0, 2, 6.0), (9.0, 1, 1.0)]
+    sliding = trades.compact_statistics(messages.encode(frame), "1 minute", "30 seconds")
+    assert sliding.agg(F.sum("trade_count")).first()[0] == 6
+
+
 def test_statistics_messages_hold_all_fields(spark):
     rows_ = trades.decoded(messages.encode(trades.normalised(values(spark, WIRE))))
     sent = trades.statistics_messages(trades.statistics(rows_))
@@ -121,3 +134,8 @@ def test_averages_are_read_back_with_the_schema_they_were_written_with(spark):
     assert rows(enrichment.read_back(sent, encoded_twice=False)) == rows(frame)
     quoted = F.concat(F.lit('"'), F.replace("value", F.lit('"'), F.lit('\\"')), F.lit('"'))
     assert rows(enrichment.read_back(sent.select(quoted.alias("value")))) == rows(frame)
+    assert rows(enrichment.read_back(sent.select(quoted.alias("value")), strip=True)) == rows(frame)
+    odd = frame.withColumn("sport", F.lit('"long" jump \\ run'))
+    inner = messages.encode(odd).select(F.to_json(F.struct("value")).alias("value"))
+    inner = inner.select(F.expr("substr(value, 10, length(value) - 10)").alias("value"))
+    assert rows(enrichment.read_back(inner)) == rows(odd)

@@ -12,7 +12,17 @@ from tidemark.session import scratch, sized_for
 from tidemark.sources import bus, files, jdbc
 
 
-def test_customers_csv(spark, tmp_path):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_customers_csv(spark, tmp_path, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        check_customers(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def check_customers(spark, tmp_path):
     head = ",".join(f.split()[0] for f in schemas.CUSTOMER.split(", "))
     good = tmp_path / "good.csv"
     good.write_text(f"{head}\n1,Ann,,p,c,,active,2023-01-01,30,basic\n")
@@ -27,11 +37,13 @@ def test_customers_csv(spark, tmp_path):
     for name, line in {
         "text": "x,Ann,e,p,c,a,active,2023-01-01,30,basic",
         "date": "1,Ann,e,p,c,a,active,soon,30,basic",
+        "day": "1,Ann,e,p,c,a,active,2020-13-45,30,basic",
+        "no-date": "1,Ann,e,p,c,a,active,,30,basic",
         "blank": "1,Ann,e,p,c,a,active,2023-01-01,,basic",
     }.items():
         bad = tmp_path / f"{name}.csv"
         bad.write_text(f"{head}\n{line}\n")
-        with pytest.raises(Exception):
+        with pytest.raises(Exception, match="cannot be"):
             files.read_customers(spark, str(bad)).collect()
 
 

@@ -48,14 +48,7 @@ def enriched(
         number(F.col("weight"), kind).alias("weight"),
     )
     left = F.broadcast(results) if broadcast_results else results
-    return left.join(valid, "athlete_id").select(
-        results["sport"],
-        results["medal"],
-        valid["sex"],
-        results["country_noc"],
-        valid["height"],
-        valid["weight"],
-    )
+    return left.join(valid, "athlete_id").select(*GROUPS, *MEASURES)
 
 
 def running_averages(
@@ -103,9 +96,16 @@ def job(
     return runner.to_batches(out, sink)
 
 
-def read_back(message_rows: DataFrame, encoded_twice: bool = True) -> DataFrame:
-    """Averages from their topic, also where the text was encoded twice."""
+def read_back(
+    message_rows: DataFrame, encoded_twice: bool = True, strip: bool = False
+) -> DataFrame:
+    """Averages from their topic, also where the text was encoded twice.
+
+    Double encoding is undone without loss. ``strip`` drops backslashes and outer quotes
+    instead, for topics whose text is escaped but is no JSON string.
+    """
     text = F.col("value").cast("string")
     if encoded_twice:
-        text = messages.strip_escapes(text)
+        plain = messages.strip_escapes(text) if strip else messages.inner_json(text)
+        text = F.coalesce(plain, text)
     return messages.decode(message_rows, schemas.GROUP_AVERAGE, text)

@@ -31,10 +31,9 @@ def gold(
 ) -> DataFrame:
     """Average height and weight of the athletes behind the results, per sport, medal,
     sex and the country of the result."""
-    renamed = athletes.withColumnRenamed("country_noc", "bio_country_noc")
     return joined_averages(
         results,
-        renamed,
+        athletes,
         "athlete_id",
         GROUPS,
         MEASURES,

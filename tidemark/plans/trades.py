@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidemark import schemas
 from tidemark.constants import (
     CONSOLE_EVERY,
+    CONSOLE_STATISTICS,
     PERCENTILE_ACCURACY,
     STATISTICS_EVERY,
     STATISTICS_FIELDS,
@@ -34,13 +35,17 @@ _WIRE = (
 
 
 def _wire(message_rows: DataFrame) -> DataFrame:
-    data = F.from_json(F.col("value").cast("string"), schemas.RAW_TRADE).cast(_WIRE)
-    return messages.unpack(message_rows, data).withColumns(
+    text = F.col("value").cast("string")
+    data = F.from_json(text, schemas.RAW_TRADE).cast(_WIRE)
+    # A key that is there with a null is no missing key.
+    keys = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+    rows = messages.unpack(message_rows, data.withField("_keys", keys))
+    return rows.withColumns(
         {
-            "price": number_or_zero(F.col("price")),
-            "quantity": number_or_zero(F.col("quantity")),
+            "price": number_or_zero(F.col("price"), ~F.array_contains("_keys", "p")),
+            "quantity": number_or_zero(F.col("quantity"), ~F.array_contains("_keys", "q")),
         }
-    )
+    ).drop("_keys")
 
 
 def normalised(message_rows: DataFrame) -> DataFrame:
@@ -73,6 +78,30 @@ def decoded(message_rows: DataFrame) -> DataFrame:
     return rows.withColumn("trade_time", from_epoch_millis(F.col("trade_time")))
 
 
+def decoded_compact(message_rows: DataFrame) -> DataFrame:
+    """Compact trade messages with their time, given in milliseconds, as a timestamp."""
+    rows = messages.decode(message_rows, schemas.COMPACT_TRADE)
+    return rows.withColumn("trade_time", from_epoch_millis(F.col("timestamp"))).drop("timestamp")
+
+
+def compact_statistics(
+    message_rows: DataFrame,
+    length: str = WINDOW_LENGTH,
+    slide: str | None = None,
+    accuracy: int = PERCENTILE_ACCURACY,
+    scale: int | None = None,
+) -> DataFrame:
+    """The eight statistics per window of compact trade messages.
+
+    Windows tumble unless ``slide`` is given; the watermark is one window long. On a stream
+    run it in complete mode.
+    """
+    trades = decoded_compact(message_rows)
+    return statistics(
+        trades, length=length, slide=slide, watermark=length, accuracy=accuracy, scale=scale
+    )
+
+
 def statistics(
     trades: DataFrame,
     time: str = "trade_time",
@@ -126,5 +155,5 @@ def statistics_job(
     out = [to_bus(runner.writer(sent, f"{checkpoint}/bus", "update", STATISTICS_EVERY, drain))]
     if console:
         shown = runner.writer(found, f"{checkpoint}/console", "update", CONSOLE_EVERY, drain)
-        out.append(runner.to_console(shown, 50))
+        out.append(runner.to_console(shown, CONSOLE_STATISTICS))
     return out

@@ -27,8 +27,8 @@ def read_csv(
 def read_customers(spark: SparkSession, path: str) -> DataFrame:
     """A customer snapshot, its columns taken by name.
 
-    A malformed number or date ends the load, an empty text cell is an empty string, and
-    the two numbers must be present.
+    A missing or malformed number or date ends the load, whether ANSI is on or off; an
+    empty text cell is an empty string.
     """
     raw = read_csv(spark, path)
     columns = []
@@ -36,11 +36,10 @@ def read_customers(spark: SparkSession, path: str) -> DataFrame:
         text = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
             column = blank_to_empty(text)
-        elif isinstance(field.dataType, T.IntegerType):
-            missing = F.raise_error(F.lit(f"{field.name} is missing")).cast("int")
-            column = F.when(text.isNull(), missing).otherwise(text.cast("int"))
         else:
-            column = text.cast(field.dataType)
+            told = F.concat(F.lit(f"{field.name} cannot be "), F.coalesce(text, F.lit("missing")))
+            failed = F.raise_error(told).cast(field.dataType)
+            column = F.coalesce(text.try_cast(field.dataType), failed)
         columns.append(column.alias(field.name))
     return raw.select(*columns)
 
