@@ -114,21 +114,24 @@ def feature_batches(batches, size: int):
         ], names=["label", "features"])
 
 
-def descend(rows: list, labels: np.ndarray, size: int, cost: float = COST, rounds: int = ROUNDS) -> np.ndarray:
-    """Dual coordinate descent for the hinge loss; rows are (features, values).
+def descend(
+    rows: list, labels: np.ndarray, ratios: np.ndarray, cost: float = COST, rounds: int = ROUNDS
+) -> np.ndarray:
+    """Dual coordinate descent for the hinge loss; rows are features, scaled when needed.
 
     The last weight belongs to a constant feature. Classes weigh the same in total.
     """
+    size = len(ratios)
     weights = np.zeros(size + 1)
     sign = np.where(labels == 1, 1.0, -1.0)
     share = np.bincount(labels, minlength=2)
     bound = cost * len(labels) / (2.0 * np.maximum(share, 1))[labels]
-    square = np.array([float(v @ v) + 1.0 for _, v in rows])
+    square = np.array([float(v @ v) + 1.0 for v in (scaled(at, ratios) for at in rows)])
     alpha = np.zeros(len(rows))
     random = np.random.default_rng(11)
     for _ in range(rounds):
         for i in random.permutation(len(rows)):
-            at, value = rows[i]
+            at, value = rows[i], scaled(rows[i], ratios)
             slope = sign[i] * (value @ weights[at] + weights[size]) - 1.0
             new = min(max(alpha[i] - slope / square[i], 0.0), bound[i])
             if new != alpha[i]:
@@ -175,20 +178,27 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -500, 500)))
 
 
+def feature_rows(column: pa.Array) -> list[np.ndarray]:
+    """The features of each row, as parts of the column's own memory."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset :][: len(column) + 1] // 4
+    flat = np.frombuffer(data, np.int32, ends[-1]) if ends[-1] else np.empty(0, np.int32)
+    return [flat[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def fit_sample(table: pa.Table, ratios: np.ndarray) -> Model:
     labels = table["label"].to_numpy().astype(np.int64)
-    rows = []
-    for blob in table["features"].to_pylist():
-        feature = np.frombuffer(blob, np.int32)
-        rows.append((feature, scaled(feature, ratios)))
+    rows = feature_rows(tx.one_array(table["features"]))
     size = len(ratios)
     check = np.arange(len(rows)) % 4 == 0
     if len(rows) < 40 or len(np.unique(labels[check])) < 2 or len(np.unique(labels[~check])) < 2:
         check[:] = True
-        weights = descend(rows, labels, size)
+        weights = descend(rows, labels, ratios)
     else:
-        weights = descend([r for r, c in zip(rows, check) if not c], labels[~check], size)
-    margins = np.array([v @ weights[at] + weights[size] for (at, v), c in zip(rows, check) if c])
+        weights = descend([r for r, c in zip(rows, check) if not c], labels[~check], ratios)
+    margins = np.array([
+        scaled(at, ratios) @ weights[at] + weights[size] for at, c in zip(rows, check) if c
+    ])
     return Model(ratios, weights, *chance_line(margins, labels[check]))
 
 
