@@ -16,6 +16,13 @@ def test_search_query_matches_sql(spark):
     assert compare.difference(frame, compare.database(SMALL), ORACLES["op2_block_max_search"]) is None
 
 
+def test_documents_as_queries(spark):
+    frame = QUERIES["op2_document_search"](spark, SMALL)
+    assert compare.difference(frame, compare.database(SMALL), ORACLES["op2_document_search"]) is None
+    asked = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id % 20 = 0 AND length(trim(text)) > 0")
+    assert frame.select("query_id").distinct().count() == asked.count() >= 10
+
+
 def test_odd_searches(spark):
     rows = [(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "A  b c"), (5, "z " * 9000)]
     documents = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, rank int")

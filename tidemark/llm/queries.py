@@ -116,6 +116,38 @@ def op9_quality_cascade(spark, folder):
     )
 
 
+DOCUMENT_SEARCH_SQL = r"""
+WITH w AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term
+  FROM documents
+), q AS (
+  SELECT doc_id AS query_id, term, count(*) AS qn FROM w WHERE doc_id % 20 = 0 GROUP BY ALL
+), l AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+s AS (SELECT (SELECT count(*) FROM documents) AS docs,
+             (SELECT count(*) FROM w) * 1.0 / (SELECT count(*) FROM documents) AS mean),
+p AS (SELECT doc_id, term, count(*) AS tf FROM w
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+d AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+scored AS (
+  SELECT query_id, doc_id,
+         round(sum(qn * ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2
+                   / (tf + 1.2 * (0.25 + 0.75 * n / mean))), 9) AS score
+  FROM q JOIN p USING (term) JOIN d USING (term) JOIN l USING (doc_id), s GROUP BY ALL
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scored
+)
+SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op2_document_search", DOCUMENT_SEARCH_SQL)
+def op2_document_search(spark, folder):
+    documents = table(spark, folder, "documents")
+    asked = documents.where("doc_id % 20 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    found = bm25.search(documents, asked, query_key="query_id")
+    return found.withColumn("score", F.round("score", 6))
+
+
 SEARCH_SQL = r"""
 WITH q AS (
   SELECT item_id, term, count(*) AS qn FROM (
