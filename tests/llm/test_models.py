@@ -61,6 +61,20 @@ def test_personal_data(spark):
     assert crf.find(frame.limit(0), None).count() == 0
 
 
+def test_neighbouring_cards(spark):
+    card, other = "4465758382889437", "7536784127813050"
+    taught = [(i, f"word {i} pay {c} now") for i, c in enumerate([card, other, f"{card} {other}"] * 4)]
+    assert crf.taught_spans(f"é {other} {card}") == [(2, 2, 18), (19, 2, 35)]
+    rows = [(100, f"é pay {card} {other} now"), (101, f"pay {card} {card} {card} now")]
+    field = crf.fit(crf.labelled_windows(spark.createDataFrame(taught, "doc_id long, text string")))
+    asked = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in crf.find(asked, field).collect()}
+    assert got[100] == [("card", 6, 22), ("card", 23, 39)]
+    assert got[101] == [("card", 4, 20), ("card", 21, 37), ("card", 38, 54)]
+    assert {r.text for r in crf.redact(asked, field).collect()} == {
+        "é pay [CARD] [CARD] now", "pay [CARD] [CARD] [CARD] now"}
+
+
 def test_classifier(spark):
     good = [(i, f"word{i} and more of the words {i * 7}", 1, "s") for i in range(60)]
     bad = [(100 + i, f"BUY!! NOW!! {i} !!", 0, "s") for i in range(20)]

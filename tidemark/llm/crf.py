@@ -40,6 +40,9 @@ SHAPES = 4096
 SEQUENCE = 256
 STEPS = 80
 
+#: Words of one item at most: a card has no more digits.
+MOST_WORDS = 19
+
 TAGS = 1 + len(KINDS)
 GROUPS = 4
 SPANS = "array<struct<kind:string,start:long,end:long,base:boolean>>"
@@ -94,6 +97,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def taught_spans(text: str) -> list[tuple[int, int, int]]:
+    """As base_spans, with the cards in longer runs of digits, which the pattern takes as one."""
+    found = base_spans(text)
+    for m in CARD.finditer(text):
+        if len(_digits(m.group())) <= MOST_WORDS:
+            continue
+        bounds = [(w.start(), w.end()) for w in re.finditer("[^ ]+", m.group())]
+        for a, b in items(2, len(bounds), lambda a, b, m=m, w=bounds: m.group()[w[a][0] : w[b - 1][1]]):
+            start, end = m.start() + bounds[a][0], m.start() + bounds[b - 1][1]
+            if all(e <= start or s >= end for s, _, e in found):
+                found.append((start, 2, end))
+    return sorted(found)
+
+
 def word_features(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     """Hashed own shape with all digits, and own shape with runs taken together."""
     out = []
@@ -253,6 +270,32 @@ def plausible(kind: int, text: str) -> bool:
     return [good_ip, good_card, good_phone][kind - 1](text)
 
 
+def stripped(kind: int, words: str) -> str:
+    return words.strip(".,;:!?\"'<>[]{}" if kind else ".,;:!?\"'<>[](){}")
+
+
+def items(kind: int, n: int, spaced) -> list[tuple[int, int]]:
+    """Neighbouring items (first word, word after) of a tagged stretch that is none as a whole.
+
+    Of all ways to part it into runs that could be such data, the one that covers most words;
+    ``spaced`` gives the text of a run. An item of more words than a card has digits does not
+    exist, and a mail address is one word.
+    """
+    best: list[tuple[int, tuple]] = [(0, ())]
+    for end in range(1, n + 1):
+        covered, runs = best[end - 1]
+        for length in range(1, min(end, MOST_WORDS if kind else 1) + 1):
+            low = end - length
+            if best[low][0] + length > covered and plausible(kind, stripped(kind, spaced(low, end))):
+                covered, runs = best[low][0] + length, (best[low][1], (low, end))
+        best.append((covered, runs))
+    found, runs = [], best[-1][1]
+    while runs:
+        runs, last = runs
+        found.append(last)
+    return found[::-1]
+
+
 def field_spans(part: pa.Table, texts: list[str], base: list[list], field: Field) -> list[list]:
     """What the field adds to the spans of the patterns, per text."""
     added: list[list] = [[] for _ in texts]
@@ -266,16 +309,22 @@ def field_spans(part: pa.Table, texts: list[str], base: list[list], field: Field
     cut = (np.diff(hit) != 1) | (np.diff(tags[hit]) != 0) | (np.diff(doc) != 0)
     for group in np.split(np.arange(len(hit)), np.flatnonzero(cut) + 1):
         i, kind = int(doc[group[0]]), int(tags[hit[group[0]]]) - 1
-        low, high = starts[hit[group[0]]], ends[hit[group[-1]]]
-        words = data[low:high].tobytes().decode("utf-8", "replace")
-        text = words.strip(".,;:!?\"'<>[]{}" if kind else ".,;:!?\"'<>[](){}")
-        if not plausible(kind, text):
-            continue
-        before = data[offsets[i] : low].tobytes().decode("utf-8", "replace")
-        start = len(before) + words.index(text)
-        end = start + len(text)
-        if all(e <= start or s >= end for s, _, e in base[i]):
-            added[i].append((start, kind, end))
+        lows, highs = starts[hit[group]], ends[hit[group]]
+
+        def spaced(a: int, b: int, lows=lows, highs=highs) -> str:
+            return data[lows[a] : highs[b - 1]].tobytes().decode("utf-8", "replace")
+
+        whole = (0, len(group))
+        runs = [whole] if plausible(kind, stripped(kind, spaced(*whole))) else \
+            items(kind, len(group), spaced)
+        for a, b in runs:
+            words = spaced(a, b)
+            text = stripped(kind, words)
+            before = data[offsets[i] : lows[a]].tobytes().decode("utf-8", "replace")
+            start = len(before) + words.index(text)
+            end = start + len(text)
+            if all(e <= start or s >= end for s, _, e in base[i]):
+                added[i].append((start, kind, end))
     return added
 
 
@@ -315,11 +364,11 @@ def redacted(text: str, spans: list[tuple]) -> str:
 
 
 def window_batches(batches, margin: int):
-    """Labelled windows: the words around each span of the patterns, or the first words."""
+    """Labelled windows: the words around each span of taught_spans, or the first words."""
     for part in tx.slices(batches):
         for text in part["text"].to_pylist():
             text = text or ""
-            spans = base_spans(text)
+            spans = taught_spans(text)
             words = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
             if not words:
                 continue
