@@ -75,6 +75,16 @@ def test_neighbouring_cards(spark):
         "é pay [CARD] [CARD] now", "pay [CARD] [CARD] [CARD] now"}
 
 
+def test_labelled_by_hand(spark):
+    for text, spans in crf.hand_made():
+        assert all(crf.plausible(crf.KINDS.index(k), text[a:b]) for a, k, b in spans)
+    rows = [(1, "word and word"), (2, "call us at (301) 555-7788 now"), (3, "write to andré@tête.fr now")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    field = crf.fit(crf.labelled_windows(frame.where("doc_id = 1")))
+    assert {r.text for r in crf.redact(frame, field).collect()} == {
+        "word and word", "call us at [PHONE] now", "write to [EMAIL] now"}
+
+
 def test_classifier(spark):
     good = [(i, f"word{i} and more of the words {i * 7}", 1, "s") for i in range(60)]
     bad = [(100 + i, f"BUY!! NOW!! {i} !!", 0, "s") for i in range(20)]

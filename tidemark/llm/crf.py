@@ -43,6 +43,30 @@ STEPS = 80
 #: Words of one item at most: a card has no more digits.
 MOST_WORDS = 19
 
+#: Labelled by hand, as [kind|item]: what the patterns miss or take as one.
+HAND_MADE = [
+    "call us at [phone|(462) 555-0193] before noon",
+    "phone [phone|(826) 555-4081] or [phone|(843) 555-7672] for help",
+    "the office number is [phone|462 555 0193] on weekdays",
+    "tel. [phone|462-555-0193], ask for the manager",
+    "fax: [phone|826.555.4081] and by mail as well",
+    "reach me on [phone|843-555-7672] after six",
+    "my number, [phone|(701) 555-2244] is new",
+    "pay with [card|4465758382889437] [card|7536784127813050] today",
+    "cards on file [card|4845168114407329] [card|4550997810720808] [card|4465758382889437] were used",
+    "card [card|4465 7583 8288 9437] was charged twice",
+    "charge [card|7536 7841 2781 3050] or [card|4845-1681-1440-7329] please",
+    "the card [card|4550 9978 1072 0808] [card|4465 7583 8288 9437] ends soon",
+    "write to [email|josé@correo.es] for the papers",
+    "mail [email|юрий@почта.рф] or [email|müller@büro.de] today",
+    "send it to [email|zoë@voilà.fr], thank you",
+    "server [ip|10.0.0.12] [ip|192.168.4.7] did not answer",
+    "order 4465 of 7583 pieces in 2024 and 1999",
+    "the total is 555-0193 units, see page 826",
+    "in 1999 (462) people came and 555 left",
+    "version 1.2 and 3.4 of the build 20240117",
+]
+
 TAGS = 1 + len(KINDS)
 GROUPS = 4
 SPANS = "array<struct<kind:string,start:long,end:long,base:boolean>>"
@@ -389,20 +413,32 @@ def window_batches(batches, margin: int):
             ], names=["text", "spans"])
 
 
+def hand_made() -> list[tuple[str, list[tuple[int, str, int]]]]:
+    """HAND_MADE as rows (text, spans)."""
+    rows = []
+    for marked in HAND_MADE:
+        text, spans, at = "", [], 0
+        for m in re.finditer(r"\[([a-z]+)\|([^\]]+)\]", marked):
+            text += marked[at : m.start()]
+            spans.append((len(text), m[1], len(text) + len(m[2])))
+            text, at = text + m[2], m.end()
+        rows.append((text + marked[at:], spans))
+    return rows
+
+
 def labelled_windows(
     documents: DataFrame, key: str = "doc_id", text: str = "text",
     most: int = LABELLED_DOCUMENTS, margin: int = MARGIN,
 ) -> DataFrame:
-    """A small labelled table (text, spans) from at most ``most`` documents, marked by the
-    patterns."""
+    """A small labelled table (text, spans) from at most ``most`` documents, marked by
+    taught_spans, and the windows labelled by hand."""
     keys = documents.select(F.col(key).alias("id")).distinct()
     chosen = keys.orderBy(F.xxhash64("id"), "id").limit(most)  # a bounded number of keys
     rows = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
     rows = rows.join(F.broadcast(chosen), "id", "left_semi").select("text")
-    return rows.mapInArrow(
-        lambda b: window_batches(b, margin),
-        "text string, spans array<struct<start:long,kind:string,end:long>>",
-    )
+    schema = "text string, spans array<struct<start:long,kind:string,end:long>>"
+    by_hand = documents.sparkSession.createDataFrame(hand_made(), schema)
+    return rows.mapInArrow(lambda b: window_batches(b, margin), schema).unionByName(by_hand)
 
 
 def fit(labelled: DataFrame) -> Field | None:
