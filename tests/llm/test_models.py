@@ -97,3 +97,16 @@ def test_classifier(spark):
     assert low > max(r.score for r in scored if r.quality == 0)
     assert nbsvm.fit(frame, frame.limit(0), frame.doc_id == 0) is None
     assert re.match("double", dict(nbsvm.score(frame, None).dtypes)["score"])
+
+
+def test_samples_are_bounded(spark, monkeypatch):
+    rows = [(7, f"word{i} mail a{i}@b.de " + "and more " * 30 + f"ip 1.2.3.{i}", 1) for i in range(40)]
+    rows += [(8, "BUY!! NOW!!", 0)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    seen, fit_sample = [], nbsvm.fit_sample
+    monkeypatch.setattr(nbsvm, "fit_sample", lambda t, r: (seen.append(t.num_rows), fit_sample(t, r))[1])
+    assert nbsvm.fit(frame, frame, frame.doc_id < 0, size=4096, sample_rows=2) is not None
+    assert seen == [2]
+    by_hand = len(crf.HAND_MADE)
+    assert crf.labelled_windows(frame).count() == 81 + by_hand
+    assert crf.labelled_windows(frame, windows=5).count() == 5 + by_hand

@@ -35,6 +35,9 @@ NUMBER_RUN = re.compile(r"[0-9+(). \-]{7,}")
 LABELLED_DOCUMENTS = 3_000
 MARGIN = 12
 
+#: Windows that come to the driver at most, by the smallest hashes of window and place.
+LABELLED_WINDOWS = 12_000
+
 #: Hashed shapes; words of one decoded sequence; steps of the training.
 SHAPES = 4096
 SEQUENCE = 256
@@ -405,12 +408,13 @@ def window_batches(batches, margin: int):
                 high = min(len(words), int(np.searchsorted(begin, end)) + margin)
                 a, cover = words[low][0], words[high - 1][1]
                 inner = [s for s in spans if s[0] >= a and s[2] <= cover]
-                rows.append((text[a:cover], [(s - a, k, e - a) for s, k, e in inner]))
+                rows.append((text[a:cover], [(s - a, k, e - a) for s, k, e in inner], a))
             yield pa.RecordBatch.from_arrays([
-                pa.array([r for r, _ in rows], pa.string()),
-                pa.array([[{"start": s, "kind": KINDS[k], "end": e} for s, k, e in spans] for _, spans in rows],
+                pa.array([r for r, _, _ in rows], pa.string()),
+                pa.array([[{"start": s, "kind": KINDS[k], "end": e} for s, k, e in spans] for _, spans, _ in rows],
                          pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))),
-            ], names=["text", "spans"])
+                pa.array([a for _, _, a in rows], pa.int64()),
+            ], names=["text", "spans", "place"])
 
 
 def hand_made() -> list[tuple[str, list[tuple[int, str, int]]]]:
@@ -428,17 +432,19 @@ def hand_made() -> list[tuple[str, list[tuple[int, str, int]]]]:
 
 def labelled_windows(
     documents: DataFrame, key: str = "doc_id", text: str = "text",
-    most: int = LABELLED_DOCUMENTS, margin: int = MARGIN,
+    most: int = LABELLED_DOCUMENTS, margin: int = MARGIN, windows: int = LABELLED_WINDOWS,
 ) -> DataFrame:
-    """A small labelled table (text, spans) from at most ``most`` documents, marked by
-    taught_spans, and the windows labelled by hand."""
+    """A small labelled table (text, spans): at most ``windows`` windows from at most ``most``
+    keys, marked by taught_spans, and the windows labelled by hand."""
     keys = documents.select(F.col(key).alias("id")).distinct()
     chosen = keys.orderBy(F.xxhash64("id"), "id").limit(most)  # a bounded number of keys
     rows = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
     rows = rows.join(F.broadcast(chosen), "id", "left_semi").select("text")
     schema = "text string, spans array<struct<start:long,kind:string,end:long>>"
     by_hand = documents.sparkSession.createDataFrame(hand_made(), schema)
-    return rows.mapInArrow(lambda b: window_batches(b, margin), schema).unionByName(by_hand)
+    marked = rows.mapInArrow(lambda b: window_batches(b, margin), f"{schema}, place long")
+    marked = marked.orderBy(F.xxhash64("text", "place"), "text", "place").limit(windows)
+    return marked.select("text", "spans").unionByName(by_hand)
 
 
 def fit(labelled: DataFrame) -> Field | None:

@@ -227,7 +227,8 @@ def fit(
 ) -> Model | None:
     """Learns from labelled rows where ``held_out`` (over the key column ``key``) is false.
 
-    Ratios count all such rows; the hinge-loss fit sees at most ``sample_rows`` of them. Rows
+    Ratios count all such rows; the hinge-loss fit sees at most ``sample_rows`` of them, one per
+    key. Rows
     with a null label are no labelled rows. Returns None if there is none.
     """
     known = labels.where(F.col(label).isin(0, 1)).where(~F.coalesce(held_out, F.lit(False)))
@@ -241,7 +242,9 @@ def fit(
     ratios = log_ratios(counts, size)
     chosen = known.orderBy(F.xxhash64("id"), "id").limit(sample_rows)
     sample = (
-        source.join(F.broadcast(chosen), "id").orderBy(F.xxhash64("id")).select("text", "label")
+        source.join(F.broadcast(chosen), "id")
+        .groupBy("id").agg(F.min(F.struct("text", "label")).alias("row"))  # one row per key
+        .orderBy(F.xxhash64("id")).select("row.*")
         .mapInArrow(lambda b: feature_batches(b, size), "label int, features binary")
     )
     return fit_sample(sample.toArrow(), ratios)  # at most sample_rows rows
