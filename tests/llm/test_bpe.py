@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 import regex
 import tiktoken
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm import bpe, pretokens
@@ -39,7 +39,21 @@ def split(text):
     return words[: counts[0]], words[counts[0] :]
 
 
+def test_neighbouring_texts_share_no_piece(spark, known):
+    texts = ["it'", "s ok", "m'", "m'", "'", "ll"]
+    column = pa.array(texts, pa.string())
+    codes, distinct, counts = pretokens.pieces(column)
+    words = [distinct[i].as_py().decode() for i in codes]
+    assert words == [p for t in texts for p in PATTERN.findall(t)]
+    assert counts.tolist() == [len(PATTERN.findall(t)) for t in texts]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in bpe.encode(frame, bpe.default_vocabulary()).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].ids == known.encode_ordinary(text) and bytes(got[i].decoded).decode() == text
+
+
 @settings(max_examples=400, deadline=None)
+@example("m'")
 @given(ODD | st.text(max_size=30))
 def test_pieces_are_those_of_the_pattern(text):
     text = text.encode("utf-8", "ignore").decode()

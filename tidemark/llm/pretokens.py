@@ -78,15 +78,19 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     last = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE) & ~first[1:n])
     start[last] = True
     start[last[code[last] == 0x20] + 1] = False
-    _contract(start, code, kind, run)
+    _contract(start, code, kind, run, first)
     return at[start]
 
 
-def _contract(start: np.ndarray, code: np.ndarray, kind: np.ndarray, run: np.ndarray) -> None:
-    """Parts the contractions; ``start`` is changed in place."""
+def _contract(
+    start: np.ndarray, code: np.ndarray, kind: np.ndarray, run: np.ndarray, first: np.ndarray
+) -> None:
+    """Parts the contractions, none of which reaches into the next text; ``start`` is changed
+    in place."""
     n = len(code)
     quote = np.flatnonzero(start & (code == 0x27))
     quote = quote[quote + 1 < n]
+    quote = quote[~first[quote + 1]]
     quote = quote[run[quote + 1] & (kind[quote + 1] == LETTER) & start[quote + 1]]
     for letters in CONTRACTIONS:
         size = len(letters)
