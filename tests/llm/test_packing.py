@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -15,9 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    tokenizer = Tokenizer.from_file(packing.default_tokenizer())
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(packing.default_tokenizer())
 
 
 def check(rows, texts, tokenizer, length):
@@ -63,6 +62,15 @@ def test_odd_rows(spark, tokenizer):
     assert packing.pack(twice, packing.default_tokenizer()).count() == 2
 
 
+def test_ids_follow_the_library_across_neighbours_and_specials(tokenizer):
+    texts = ["it'", "s ok", "'", "t", None, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x'l", "l"]
+    ids, counts = packing.Ids(packing.default_tokenizer()).batch(pa.array(texts, pa.string()))
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+    assert want[5] == [64, 220, 50256, 275]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plan_uses_each_piece_once(seed):
     random = np.random.default_rng(seed)

@@ -15,12 +15,14 @@ and lane; lanes split a length that many documents share.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,19 +45,46 @@ LANE_ROWS = 1_000
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long"
 
 
-@lru_cache(maxsize=2)
-def _memory(path: str) -> PieceIds:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+class Ids:
+    """Ids of whole texts as the library gives them by default: distinct pieces are looked up
+    once, texts that hold a special token's string go to the library as a whole."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        plain = Tokenizer.from_file(path)
+        plain.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = "|".join(re.escape(t.content) for t in added if t.content)
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
+        def encode(pieces: list[bytes]) -> list[list[int]]:
+            words = [p.decode() for p in pieces]
+            return [e.ids for e in plain.encode_batch_fast(words, add_special_tokens=False)]
 
-    def encode(pieces: list[bytes]) -> list[list[int]]:
-        words = [p.decode() for p in pieces]
-        return [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self.memory = PieceIds(encode)
 
-    return PieceIds(encode)
+    def batch(self, column) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and the number of ids per text."""
+        column = tx.one_array(column)
+        ids, counts = self.memory.batch(column)
+        if not self.special:
+            return ids, counts
+        marked = pc.match_substring_regex(pc.fill_null(column, ""), self.special)
+        hit = np.flatnonzero(np.asarray(marked))
+        if len(hit) == 0:
+            return ids, counts
+        parts = np.split(ids, np.cumsum(counts)[:-1])
+        for i in hit:
+            text = column[int(i)].as_py()
+            parts[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ids.dtype)
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+
+@lru_cache(maxsize=2)
+def _memory(path: str) -> Ids:
+    return Ids(path)
 
 
 def cut_batches(batches, path: str, length: int, end_id: int):
