@@ -1,8 +1,11 @@
 """Search, classifier and personal data against plain code."""
 
 import re
+import time
+from itertools import product
 
 import compare
+import numpy as np
 from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -32,9 +35,13 @@ def test_odd_searches(spark):
     assert bm25.search(documents.limit(0), queries).count() == 0
 
 
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+
+
 def plain_spans(text):
-    found = [(m.start(), 0, m.end()) for m in crf.EMAIL.finditer(text)]
-    for kind, pattern, good in crf.NUMBERS:
+    found = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    for kind, pattern, good in ((1, IP, crf.good_ip), (2, crf.CARD, crf.good_card), (3, crf.PHONE, crf.good_phone)):
         found += [(m.start(), kind, m.end()) for m in pattern.finditer(text) if good(m.group())]
     return sorted(found)
 
@@ -49,6 +56,56 @@ def test_runs_hold_all_matches(text):
     assert crf.base_spans(text) == plain_spans(text)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text("a1.@-", max_size=24))
+def test_spans_of_dense_texts(text):
+    assert crf.base_spans(text) == plain_spans(text)
+
+
+def test_very_long_runs_take_time_in_proportion(spark):
+    long = 1_000_000
+    texts = {"x " + "0" * 5000 + "1.1.1.1 y": 1, "@" + "a" * long: 0, "1" * long: 0, "a@" * long: 0,
+             "a" * long + "@b.c": 1, "1.1.1.1 " * 50_000: 50_000, "a@b.c " * 50_000: 50_000}
+    for text, spans in texts.items():
+        begin = time.process_time()
+        assert len(crf.base_spans(text)) == spans
+        assert time.process_time() - begin < 10
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    field = crf.fit(crf.labelled_windows(frame.where("doc_id = 0")))
+    got = {r.doc_id: sum(s.base for s in r.spans) for r in crf.find(frame, field).collect()}
+    assert list(got[i] for i in range(len(texts))) == list(texts.values())
+
+
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 9)), max_size=8), st.integers(0, 30), st.integers(1, 9))
+def test_taken_stretches(spans, start, size):
+    spans = [(a, 0, a + n) for a, n in spans]
+    plain = any(a < start + size and b > start for a, _, b in spans)
+    assert crf.Taken(spans).meets(start, start + size) == plain
+
+
+def test_viterbi_and_slope_against_every_way():
+    random = np.random.default_rng(3)
+    rows = random.integers(0, 9, (4, crf.GROUPS))
+    field = crf.Field(random.normal(size=(crf.GROUPS, crf.SHAPES + 1, crf.TAGS)),
+                      random.normal(size=(crf.TAGS, crf.TAGS)), random.normal(size=crf.TAGS))
+    score = sum(field.weights[g][rows[:, g]] for g in range(crf.GROUPS))
+
+    def of(tags):
+        steps = sum(field.moves[a, b] for a, b in zip(tags, tags[1:]))
+        return field.begin[tags[0]] + score[range(4), tags].sum() + steps
+
+    ways = list(product(range(crf.TAGS), repeat=4))
+    assert tuple(crf.viterbi(score[None], np.array([4]), field)[0]) == max(ways, key=of)
+    # one step of AdaGrad goes along the sign of (seen - expected) from weights of nothing
+    tags = np.array([0, 2, 2, 0])
+    trained = crf.train([rows], [tags], steps=1, rate=1.0, decay=0.0)
+    seen = np.zeros((crf.TAGS, crf.TAGS))
+    for a, b in zip(tags, tags[1:]):
+        seen[a, b] += 1
+    gap = seen - 3 / crf.TAGS**2
+    assert np.allclose(trained.moves, np.sign(gap), atol=1e-3)
+
+
 def test_personal_data(spark):
     rows = [(1, "mail é a.b@c.de, ip 1.2.3.4"), (2, None), (None, ""), (2, "nothing here")]
     frame = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, spans int")

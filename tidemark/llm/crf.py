@@ -9,7 +9,9 @@ touch no span of a pattern.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +24,12 @@ from tidemark.llm.nbsvm import shapes
 
 # Kinds in their order, and the patterns.
 KINDS = ["email", "ip", "card", "phone"]
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+EMAIL_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+EMAIL_HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Every match of a pattern lies within one run of these.
-EMAIL_RUN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-@")
+#: Every match of a number's pattern lies within one run of these.
 NUMBER_RUN = re.compile(r"[0-9+(). \-]{7,}")
 
 #: Documents, by the smallest hashes of their keys, whose windows are the labelled table of
@@ -89,7 +91,10 @@ def _digits(text: str) -> str:
 
 def good_ip(text: str) -> bool:
     parts = text.split(".")
-    return len(parts) == 4 and all(p.isdigit() and len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+    if len(parts) != 4 or not all(p.isdigit() for p in parts):
+        return False
+    values = [p.lstrip("0") for p in parts]  # Python takes no number of thousands of digits
+    return all(len(v) <= 3 and int(v or "0") <= 255 for v in values)
 
 
 def good_card(text: str) -> bool:
@@ -101,41 +106,80 @@ def good_phone(text: str) -> bool:
     return 9 <= len(_digits(text)) <= 15
 
 
-NUMBERS = [(1, IP, good_ip), (2, CARD, good_card), (3, PHONE, good_phone)]
+def emails(text: str):
+    """(start, end) of the mail addresses. Every @ is looked at once: a name ends at it and
+    holds none, and so does a host."""
+    free, at = 0, text.find("@")
+    while at >= 0:
+        host = EMAIL_HOST.match(text, at + 1)
+        low = at
+        while host and low > free and text[low - 1] in EMAIL_NAME:
+            low -= 1
+        if low < at:
+            free = host.end()
+            yield low, free
+        at = text.find("@", at + 1)
+
+
+def addresses(zone: str):
+    """(start, end) of four dotted groups, again and again along a chain of groups."""
+    for chain in DOTTED.finditer(zone):
+        groups = chain.group().split(".")
+        start = chain.start()
+        for a in range(0, len(groups) - 3, 4):
+            size = sum(map(len, groups[a : a + 4])) + 3
+            yield start, start + size
+            start += size + 1
+
+
+def matches(pattern: re.Pattern):
+    return lambda zone: (m.span() for m in pattern.finditer(zone))
+
+
+NUMBERS = [(1, addresses, good_ip), (2, matches(CARD), good_card), (3, matches(PHONE), good_phone)]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of what the patterns find, in code points and in order."""
-    found = []
-    at = text.find("@")
-    while at >= 0:
-        low, high = at, at
-        while low > 0 and text[low - 1] in EMAIL_RUN:
-            low -= 1
-        while high < len(text) and text[high] in EMAIL_RUN:
-            high += 1
-        found += [(low + m.start(), 0, low + m.end()) for m in EMAIL.finditer(text[low:high])]
-        at = text.find("@", high)
+    """(start, kind, end) of what the patterns find, in code points and in order.
+
+    The patterns are those of the kinds, read so that the time follows the length of the text:
+    a name of a mail address ends at each @, an address is four groups of a chain of groups.
+    """
+    found = [(start, 0, end) for start, end in emails(text)]
     for run in NUMBER_RUN.finditer(text):
-        zone = run.group()
-        for kind, pattern, good in NUMBERS:
-            found += [(run.start() + m.start(), kind, run.start() + m.end())
-                      for m in pattern.finditer(zone) if good(m.group())]
+        zone, base = run.group(), run.start()
+        for kind, bounds, good in NUMBERS:
+            found += [(base + a, kind, base + b) for a, b in bounds(zone) if good(zone[a:b])]
     return sorted(found)
 
 
+class Taken:
+    """Whether a stretch meets one of the spans, by one search each."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        ordered = sorted(spans)
+        self.starts = [s for s, _, _ in ordered]
+        self.reach = list(accumulate((e for _, _, e in ordered), max))
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect_left(self.starts, end)
+        return before > 0 and self.reach[before - 1] > start
+
+
 def taught_spans(text: str) -> list[tuple[int, int, int]]:
     """As base_spans, with the cards in longer runs of digits, which the pattern takes as one."""
     found = base_spans(text)
+    taken, added = Taken(found), []
     for m in CARD.finditer(text):
-        if len(_digits(m.group())) <= MOST_WORDS:
+        run = m.group()
+        if len(_digits(run)) <= MOST_WORDS:
             continue
-        bounds = [(w.start(), w.end()) for w in re.finditer("[^ ]+", m.group())]
-        for a, b in items(2, len(bounds), lambda a, b, m=m, w=bounds: m.group()[w[a][0] : w[b - 1][1]]):
+        bounds = [w.span() for w in re.finditer("[^ ]+", run)]
+        for a, b in items(2, len(bounds), lambda a, b, r=run, w=bounds: r[w[a][0] : w[b - 1][1]]):
             start, end = m.start() + bounds[a][0], m.start() + bounds[b - 1][1]
-            if all(e <= start or s >= end for s, _, e in found):
-                found.append((start, 2, end))
-    return sorted(found)
+            if not taken.meets(start, end):
+                added.append((start, 2, end))
+    return sorted(found + added)
 
 
 def word_features(data: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
@@ -333,6 +377,8 @@ def field_spans(part: pa.Table, texts: list[str], base: list[list], field: Field
     if len(hit) == 0:
         return added
     doc = np.searchsorted(offsets, starts[hit], "right") - 1
+    lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    taken = {i: Taken(base[i]) for i in np.unique(doc).tolist()}
     cut = (np.diff(hit) != 1) | (np.diff(tags[hit]) != 0) | (np.diff(doc) != 0)
     for group in np.split(np.arange(len(hit)), np.flatnonzero(cut) + 1):
         i, kind = int(doc[group[0]]), int(tags[hit[group[0]]]) - 1
@@ -347,10 +393,9 @@ def field_spans(part: pa.Table, texts: list[str], base: list[list], field: Field
         for a, b in runs:
             words = spaced(a, b)
             text = stripped(kind, words)
-            before = data[offsets[i] : lows[a]].tobytes().decode("utf-8", "replace")
-            start = len(before) + words.index(text)
+            start = int(lead[lows[a]] - lead[offsets[i]]) + words.index(text)
             end = start + len(text)
-            if all(e <= start or s >= end for s, _, e in base[i]):
+            if not taken[i].meets(start, end):
                 added[i].append((start, kind, end))
     return added
 
