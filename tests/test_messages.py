@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark.functions import messages, times
+from tidemark.operators import routing
 from tidemark.plans import enrichment, sensor_alerts, trades
 
 
@@ -94,6 +95,26 @@ def test_wire_trades(spark):
     assert bad["price"] is None
 
 
+def test_wire_text_is_parsed_once(spark):
+    frame = values(spark, WIRE)
+    listed = spark.createDataFrame([("btcusdt", "a")], schemas.SYMBOL_TOPIC)
+    for made in (trades.normalised(frame), trades.compact(frame, listed), trades.routed(frame)):
+        optimized = made._jdf.queryExecution().optimizedPlan().toString()
+        assert optimized.count("parseJson") == 1 and "from_json" not in optimized
+
+
+def test_odd_wire_texts(spark):
+    odd = ["not json", "[1]", "7", "null", None, '{"p":"1","p":"2"}']
+    nothing = trades.normalised(values(spark, *odd))
+    assert {tuple(r) for r in nothing.collect()} == {(None,) * 9}
+    assert trades.compact(values(spark, *odd)).count() == 0
+    frame = values(
+        spark, '{"p":null,"q":2.50,"m":true,"M":false}', '{"p":"x","q":{"a":1},"E":"abc"}', "{}"
+    )
+    got = rows(trades.normalised(frame), "price", "quantity", "event_time")
+    assert got == [(0.0, 0.0, None), (None, 2.5, None), (None, None, None)]
+
+
 def test_compact_trades(spark):
     listed = spark.createDataFrame([("btcusdt", "a"), ("XRPUSDT", "b")], schemas.SYMBOL_TOPIC)
     frame = values(spark, WIRE, '{"s":"ETHUSDT","T":1}', '{"s":"XRPUSDT","p":"abc"}', '{"p":"1"}')
@@ -139,3 +160,10 @@ def test_averages_are_read_back_with_the_schema_they_were_written_with(spark):
     inner = messages.encode(odd).select(F.to_json(F.struct("value")).alias("value"))
     inner = inner.select(F.expr("substr(value, 10, length(value) - 10)").alias("value"))
     assert rows(enrichment.read_back(inner)) == rows(odd)
+
+
+def test_rows_without_a_symbol_do_not_meet_the_checks_of_the_table(spark):
+    frame = values(spark, WIRE, '{"s":null,"T":1}', '{"p":"1"}')
+    listed = spark.createDataFrame([("btcusdt", "a")], schemas.SYMBOL_TOPIC)
+    routed = routing.route_by_table(trades.normalised(frame), listed)
+    assert rows(routed, "symbol", "topic") == [("btcusdt", "a")]

@@ -91,6 +91,12 @@ def _stop_if(condition: Column, message: str) -> Column:
     return F.when(condition, failed).otherwise(F.lit(True))
 
 
+def _no_key(keys: Sequence[str]) -> Column:
+    """Whether a group has a null in its key, as an aggregate: a filter on the key itself
+    would be inferred for the other side of a join as well."""
+    return F.max(reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys)))
+
+
 def one_per_key(
     rows: DataFrame,
     key: str | Sequence[str] = CUSTOMER_KEY,
@@ -111,14 +117,10 @@ def one_per_key(
     else:
         row = F.struct(order_by, *(c for c in others if c != order_by))
         chosen = F.max(row) if keep == "last" else F.min(row)
-    no_key = F.lit(False)
-    for k in keys:
-        no_key = no_key | F.col(k).isNull()
-    picked = (
-        rows.filter(_stop_if(no_key, f"{', '.join(keys)} is null"))
-        .groupBy(*keys)
-        .agg(chosen.alias("_row"), F.count("*").alias("_rows"))
+    picked = rows.groupBy(*keys).agg(
+        chosen.alias("_row"), F.count("*").alias("_rows"), _no_key(keys).alias("_no_key")
     )
+    picked = picked.filter(_stop_if(F.col("_no_key"), f"{', '.join(keys)} is null"))
     if order_by is None:
         picked = picked.filter(
             _stop_if(F.col("_rows") > 1, f"{', '.join(keys)} is not unique")
@@ -148,9 +150,9 @@ def insert_if_absent(
     others = [c for c in incoming.columns if c not in keys]
     order = [order_by] if order_by else []
     least = F.min(F.struct(*order, *(c for c in others if c not in order)))
-    no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in keys))
-    keyed = incoming.filter(_stop_if(no_key, f"{', '.join(keys)} is null"))
-    first = keyed.groupBy(*keys).agg(least.alias("_row")).select(*keys, "_row.*")
+    first = incoming.groupBy(*keys).agg(least.alias("_row"), _no_key(keys).alias("_no_key"))
+    first = first.filter(_stop_if(F.col("_no_key"), f"{', '.join(keys)} is null"))
+    first = first.select(*keys, "_row.*")
     small = measure(incoming).fits(**limits)
     fresh = _absent(first, existing.select(*keys), keys, small)
     return existing.unionByName(fresh.select(*existing.columns))

@@ -26,26 +26,34 @@ from tidemark.operators.routing import keep_listed, route_by_symbol
 from tidemark.operators.windows import trade_statistics, windowed
 from tidemark.streaming import runner
 
-# The wire keys differ in case only, so they are renamed by position.
+# The wire keys differ in case only, so they are renamed by position. Price and quantity stay
+# variants here: a variant tells a null from a missing key.
 _WIRE = (
     "struct<event_type:string,event_time:bigint,symbol:string,trade_id:bigint,"
-    "price:string,quantity:string,trade_time:bigint,buyer_market_maker:boolean,"
+    "price:variant,quantity:variant,trade_time:bigint,buyer_market_maker:boolean,"
     "ignore:boolean,processing_timestamp:string>"
 )
 
 
 def _wire(message_rows: DataFrame) -> DataFrame:
-    text = F.col("value").cast("string")
-    data = F.from_json(text, schemas.RAW_TRADE).cast(_WIRE)
-    # A key that is there with a null is no missing key.
-    keys = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
-    rows = messages.unpack(message_rows, data.withField("_keys", keys))
-    return rows.withColumns(
-        {
-            "price": number_or_zero(F.col("price"), ~F.array_contains("_keys", "p")),
-            "quantity": number_or_zero(F.col("quantity"), ~F.array_contains("_keys", "q")),
-        }
-    ).drop("_keys")
+    """Fields of wire messages, each text being parsed once.
+
+    Text that is no JSON object, or that holds a key twice, gives a row of nulls. A missing
+    price or quantity is 0, a null one stays null.
+    """
+    parsed = F.try_parse_json(F.col("value").cast("string"))
+    data = F.try_variant_get(parsed, "$", f"struct<{schemas.RAW_TRADE}>").cast(_WIRE)
+    rows = message_rows.select(F.inline(F.array(F.struct(data.alias("m")))))
+
+    def amount(field: str) -> Column:
+        text = F.try_variant_get(F.col(f"m.{field}"), "$", "string")
+        missing = F.col("m").isNotNull() & F.col(f"m.{field}").isNull()
+        return number_or_zero(text, missing).alias(field)
+
+    fields = [f.name for f in rows.schema["m"].dataType.fields]
+    return rows.select(
+        *(amount(f) if f in ("price", "quantity") else F.col(f"m.{f}").alias(f) for f in fields)
+    )
 
 
 def normalised(message_rows: DataFrame) -> DataFrame:

@@ -30,8 +30,9 @@ ALERT_LIMITS = (
     "temperature_max double, code string, message string"
 )
 
+# Price and quantity as they come, text or number.
 RAW_TRADE = (
-    "e string, E bigint, s string, t bigint, p string, q string, T bigint, "
+    "e string, E bigint, s string, t bigint, p variant, q variant, T bigint, "
     "m boolean, M boolean, processing_timestamp string"
 )
 
