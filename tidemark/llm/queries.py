@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import bm25, bpe, chat, crf, ctw, nbsvm, packing, rules, shingles, suffixes
+from tidemark.llm import (
+    bm25, bpe, chat, crf, ctw, nbsvm, packing, periods, prefixes, resample, rules, shingles, suffixes,
+)
 from tidemark.llm.registry import ORACLES, QUERIES, query, remainder_is_zero, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -209,3 +211,46 @@ def op8_crf_pii(spark, folder):
         F.sha2(F.array_join(F.transform(base, as_text), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", as_text), ",").alias("spans"),
     )
+
+
+@query("op13_prefix_token_counts")
+def op13_prefix_token_counts(spark, folder):
+    return prefixes.count(table(spark, folder, "documents"), prefixes.default_model())
+
+
+def with_planted_periods(documents):
+    """Every tenth document, by crc32 of its key, repeats a stretch of its words to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def turned(words):
+        n = F.size(words)
+        a = g % n
+        return periods.with_period(words, a, 1 + F.floor((n - a) / (3 + g % 8)))
+
+    words = rules.words_of(F.col("text"))
+    planted = (h % 10 == 0) & (F.size(words) > 0)
+    text = F.when(planted, rules.let(words, turned)).otherwise(F.col("text"))
+    return documents.select("doc_id", text.alias("text"))
+
+
+@query("op12_importance_resampling")
+def op12_importance_resampling(spark, folder):
+    return resample.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, folder):
+    found = periods.find(with_planted_periods(table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
