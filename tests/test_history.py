@@ -9,7 +9,7 @@ from conftest import rows
 from tidemark import schemas
 from tidemark.operators import graph, scd
 from tidemark.plans import customer_history
-from tidemark.sources import snapshots
+from tidemark.sources.dimension_store import DimensionStore
 
 D1, T, T2 = dt.date(2024, 1, 1), dt.date(2024, 6, 1), dt.date(2024, 7, 1)
 S = dt.date(2023, 1, 1)
@@ -250,42 +250,134 @@ def test_graph_layout(first, later):
     assert every.count() == 11
 
 
-def test_published_snapshots(spark, first, later, tmp_path):
+def test_published_versions(spark, first, later, tmp_path):
     path = str(tmp_path / "dim")
-    assert snapshots.newest_batch(spark, path) == -1
-    snapshots.publish_first(scd.type2_load(first, D1), path)
-    snapshots.publish_first(scd.type2_load(later, T), path)  # already there
-    assert snapshots.publish_changes(spark, path, later, T) == 1
+    store = DimensionStore(spark, path)
+    assert store.newest() == -1
+    store.publish_first(first, D1)
+    store.publish_first(later, T)  # already there
+    assert store.publish(later, T) == 1
     want = scd.type2_apply(scd.type2_load(first, D1), later, T)
-    assert rows(snapshots.read_dimension(spark, path)) == rows(want)
-    assert snapshots.read_current(spark, path).count() == 8
+    assert rows(store.read()) == rows(want)
+    assert store.read_current().count() == 8
     # A merge that broke off leaves no marker, hence nothing to see.
-    broken = tmp_path / "dim" / "batch=2" / "is_current=true"
+    broken = tmp_path / "dim" / "batch=2" / "kind=delta" / "buckets=1" / "table=open" / "bucket=0"
     broken.mkdir(parents=True)
-    assert snapshots.newest_batch(spark, path) == 1
-    assert rows(snapshots.read_dimension(spark, path)) == rows(want)
-    assert snapshots.publish_changes(spark, path, later, T2) == 2
-    assert rows(snapshots.read_dimension(spark, path)) == rows(want)
+    assert store.newest() == 1
+    assert rows(store.read()) == rows(want)
+    assert store.publish(later, T2) == 2
+    assert rows(store.read()) == rows(want)
 
 
 def test_two_days_from_files(spark, first, later, tmp_path):
     for name, table in (("one", first), ("two", later)):
         table.coalesce(1).write.option("header", True).csv(str(tmp_path / name))
-    got = customer_history.type2_from_files(
-        spark, str(tmp_path / "dim"), str(tmp_path / "one"),
-        [(str(tmp_path / "two"), T)], D1, scd.TYPE2_GRAPH,
-    )
-    # Empty cells are empty texts, so null and '' do not differ here.
-    assert got.count() == 11
-    assert got.filter("address = ''").count() == 2
+    for rules, count in ((scd.TYPE2_GRAPH, 11), (scd.TYPE3_RELATIONAL, 8), (scd.TYPE4_RELATIONAL, 8)):
+        store = customer_history.from_files(
+            spark, str(tmp_path / f"dim{count}{type(rules).__name__}"), str(tmp_path / "one"),
+            [(str(tmp_path / "two"), T)], D1, rules,
+        )
+        # Empty cells are empty texts, so null and '' do not differ here.
+        assert store.read().count() == count
+        assert store.read().filter("address = ''").count() == (2 if count == 11 else 1)
 
 
 def test_closed_versions_are_not_read_by_a_merge(spark, first, later, tmp_path):
-    path = str(tmp_path / "dim")
-    snapshots.publish_first(scd.type2_load(first, D1), path)
-    snapshots.publish_changes(spark, path, later, T)
-    text = snapshots.read_current(spark, path)._jdf.queryExecution().toString()
-    assert "PartitionFilters: [" in text and "is_current" in text.split("PartitionFilters")[1]
+    store = DimensionStore(spark, str(tmp_path / "dim"))
+    store.publish_first(first, D1)
+    store.publish(later, T)
+    store.compact()
+    text = store.read_current()._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in text and "table" in text.split("PartitionFilters")[1]
+
+
+def written(store):
+    """Rows of all tables that the newest batch wrote."""
+    newest = [f for f in store.folders() if f.kind == "delta"][-1]
+    return store.spark.read.parquet(newest.path).count()
+
+
+@pytest.mark.parametrize("rules", [scd.TYPE2_RELATIONAL, scd.TYPE3_RELATIONAL, scd.TYPE4_RELATIONAL])
+def test_a_batch_writes_its_changes_and_not_the_dimension(spark, tmp_path, rules):
+    store = DimensionStore(spark, str(tmp_path / "dim"), rules, bucket_rows=50)
+    people = [customer(k) for k in range(400)]
+    store.publish_first(frame(spark, people), D1)
+    assert {f.buckets for f in store.folders()} == {8}
+    days = [dt.date(2024, 6, n) for n in (1, 2, 3)]
+    for n, day in enumerate(days):
+        batch = [customer(7, email=f"new{n}", age=40 + n), customer(8), customer(9)]
+        store.publish(frame(spark, batch), day)
+        assert written(store) <= 3
+    got = store.read().filter("customer_id = 7")
+    if rules is scd.TYPE2_RELATIONAL:
+        assert rows(got, "email", "valid_from", "valid_to") == sorted(
+            [("e7", S, days[0]), ("new0", days[0], days[1]), ("new1", days[1], days[2]),
+             ("new2", days[2], None)], key=repr)
+    elif rules is scd.TYPE3_RELATIONAL:
+        assert rows(got, "email", "previous_email", "last_update_date") == [("new2", "new1", days[2])]
+    else:
+        past = store.read_history().filter("customer_id = 7 AND valid_to IS NOT NULL")
+        assert rows(past, "email", "valid_to") == sorted(
+            [("e7", days[0]), ("new0", days[1]), ("new1", days[2])], key=repr)
+        assert rows(got, "email", "age") == [("new2", 42)]
+    assert store.read_current().count() == 400
+
+
+@pytest.mark.parametrize("rules", [scd.TYPE2_DOCUMENT, scd.TYPE3_DOCUMENT, scd.TYPE4_GRAPH])
+def test_stored_rows_equal_merges_of_tables_before_and_after_folding(spark, first, later, tmp_path, rules):
+    store = customer_history.published(
+        spark, str(tmp_path / "dim"), first, [(later, T), (first, T2)], D1, rules
+    )
+    if isinstance(rules, scd.Type2Rules):
+        want = scd.type2_apply(scd.type2_load(first, D1, rules), later, T, rules)
+        want = scd.type2_apply(want, first, T2, rules)
+    elif isinstance(rules, scd.Type3Rules):
+        want = scd.type3_merge(scd.type3_load(first, rules), later, T, rules)
+        want = scd.type3_merge(want, first, T2, rules)
+    else:
+        pair = scd.type4_load(first, D1, rules)
+        for batch, day in ((later, T), (first, T2)):
+            pair = scd.type4_merge(*pair, batch, day, rules)
+        want = pair[0]
+        assert rows(store.read_history()) == rows(pair[1])
+    want, history = rows(want), rows(store.read_history())
+    assert rows(store.read()) == want
+    open_rows = rows(store.read_current())
+    keys = rows(store.open_rows_per_key())
+    assert keys == sorted([(k, 1) for k in range(1, 9)], key=repr)
+    store.compact()
+    store.remove_replaced()
+    assert [f.kind for f in store._live()] == ["base"]
+    assert rows(store.read()) == want and rows(store.read_current()) == open_rows
+    assert rows(store.read_history()) == history and rows(store.open_rows_per_key()) == keys
+    store.publish(later, dt.date(2025, 1, 1))
+    assert store.read_current().count() == 8
+
+
+def test_changes_are_folded_once_they_take_a_share_of_the_base(spark, first, later, tmp_path):
+    store = DimensionStore(spark, str(tmp_path / "dim"), delta_bytes=0, delta_share=1e9)
+    store.publish_first(first, D1)
+    store.publish(later, T)
+    assert [f.kind for f in store._live()] == ["base", "delta"]
+    store.delta_share = 0.01
+    store.publish(frame(spark, [customer(1, email="z")]), T2)
+    assert [f.kind for f in store._live()] == ["base"]
+    assert store.read().filter("customer_id = 1").count() == 2 and store.newest() == 2
+
+
+@pytest.mark.parametrize("size", [1, 300])
+@pytest.mark.parametrize("rules", [scd.TYPE2_RELATIONAL, scd.TYPE4_GRAPH])
+def test_two_open_rows_of_a_key_end_any_batch_of_its_bucket(spark, tmp_path, size, rules):
+    people = frame(spark, [customer(k) for k in (*range(20), 5)])
+    rows_ = scd.type2_load(people, S, rules) if isinstance(rules, scd.Type2Rules) else people
+    if isinstance(rules, scd.Type2Rules):
+        rows_ = rows_.withColumn("valid_from", rows_.sign_up_date)
+    store = DimensionStore(spark, str(tmp_path / "dim"), rules)
+    store.adopt(rows_)
+    batch = frame(spark, [customer(100 + k) for k in range(size)])
+    with pytest.raises(ValueError, match="customer_id 5 has several current rows"):
+        store.publish(batch, T)
+    assert store.newest() == 0
 
 
 def test_a_large_batch_is_not_broadcast(first, later):
@@ -296,11 +388,11 @@ def test_a_large_batch_is_not_broadcast(first, later):
 
 
 def test_several_days_equal_a_plain_account(spark, tmp_path):
-    """Random batches through published snapshots against a dictionary of versions."""
+    """Random batches through stored batches against a dictionary of versions."""
     rng = random.Random(5)
-    path = str(tmp_path / "dim")
+    store = DimensionStore(spark, str(tmp_path / "dim"), bucket_rows=5, delta_bytes=0, delta_share=1.2)
     people = {k: customer(k) for k in range(12)}
-    snapshots.publish_first(scd.type2_load(frame(spark, people.values()), D1), path)
+    store.publish_first(frame(spark, people.values()), D1)
     account = {k: [(p["email"], p["city"], p["age"], S, None)] for k, p in people.items()}
     for day in (dt.date(2024, 2, n) for n in (1, 2, 3)):
         batch = []
@@ -317,8 +409,8 @@ def test_several_days_equal_a_plain_account(spark, tmp_path):
             if past:
                 past[-1] = (*past[-1][:4], day)
             past.append(now)
-        snapshots.publish_changes(spark, path, frame(spark, batch), day)
-    got = snapshots.read_dimension(spark, path).select(
+        store.publish(frame(spark, batch), day)
+    got = store.read().select(
         "customer_id", "email", "city", "age", "valid_from", "valid_to", "is_current"
     )
     want = [(k, *v, v[-1] is None) for k, past in account.items() for v in past]
@@ -340,9 +432,17 @@ def test_an_inserted_null_key_ends_the_query(spark, first):
         scd.insert_if_absent(first, nobody).collect()
 
 
+@pytest.mark.parametrize("limits", [{}, {"max_rows": 0}], ids=["small", "large"])
+def test_two_current_rows_of_another_key_end_the_merge_as_well(spark, limits):
+    opened = scd.type2_load(frame(spark, [customer(1), customer(1, city="x"), customer(2)]), S)
+    for batch in ([customer(2, city="y")], [customer(3)], [customer(2)]):
+        with pytest.raises(Exception, match="not unique"):
+            scd.type2_merge(opened, frame(spark, batch), T, **limits).collect()
+
+
 def test_changes_before_the_first_batch_are_new_versions(spark, tmp_path):
-    path = str(tmp_path / "dimension")
-    assert snapshots.read_dimension(spark, path).count() == 0
+    store = DimensionStore(spark, str(tmp_path / "dimension"))
+    assert store.read().count() == 0
     people = frame(spark, [customer(1), customer(2)])
-    assert snapshots.publish_changes(spark, path, people, dt.date(2030, 1, 1)) == 0
-    assert rows(snapshots.read_current(spark, path), "customer_id") == [(1,), (2,)]
+    assert store.publish(people, dt.date(2030, 1, 1)) == 0
+    assert rows(store.read_current(), "customer_id") == [(1,), (2,)]

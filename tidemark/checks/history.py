@@ -13,12 +13,13 @@ from tidemark.constants import CUSTOMER_FIELDS, SIX_FIELDS
 from tidemark.operators import graph, scd
 from tidemark.plans import customer_history
 from tidemark.session import scratch
-from tidemark.sources import snapshots
 
 FIRST_DAY = dt.date(2024, 1, 1)
 DAY = dt.date(2024, 6, 1)
 _DAY = "DATE '2024-06-01'"
 _FIRST_DAY = "DATE '2024-01-01'"
+THIRD_DAY = dt.date(2024, 7, 1)
+_THIRD_DAY = "DATE '2024-07-01'"
 _INPUTS = f"first_rows AS ({inputs.FIRST_SQL}), changes AS ({inputs.CHANGES_SQL})"
 _SEVEN = (*SIX_FIELDS, "age")
 _DATES = ("sign_up_date", "valid_from", "valid_to", "last_update_date")
@@ -145,14 +146,53 @@ def scd2_shuffled(spark: SparkSession, folder: str) -> DataFrame:
     return dates_as_text(merged)
 
 
+def _stored(spark, folder, rules=scd.TYPE2_RELATIONAL, days: int = 3):
+    """The days' files through a dimension kept on files."""
+    later = [(inputs.changes(spark, folder), DAY), (inputs.third_day(spark, folder), THIRD_DAY)]
+    first = inputs.first_day(spark, folder)
+    path = scratch(spark, "dimension")
+    return customer_history.published(spark, path, first, later[: days - 1], FIRST_DAY, rules)
+
+
 @query("scd2_published", _RELATIONAL_WITH + _ALL_VERSIONS)
 def scd2_published(spark: SparkSession, folder: str) -> DataFrame:
-    """Both days through published snapshots on files."""
-    path = scratch(spark, "dimension")
-    first = scd.type2_load(inputs.first_day(spark, folder), FIRST_DAY)
-    snapshots.publish_first(first, path)
-    snapshots.publish_changes(spark, path, inputs.changes(spark, folder), DAY)
-    return dates_as_text(snapshots.read_dimension(spark, path))
+    """Two days through a dimension kept on files."""
+    return dates_as_text(_stored(spark, folder, days=2).read())
+
+
+_THREE_DAYS_WITH = f"""{_RELATIONAL_WITH},
+third AS ({inputs.THIRD_SQL}),
+opened AS (SELECT * FROM dim WHERE is_current),
+again AS (SELECT o.customer_id FROM opened o JOIN third n USING (customer_id)
+          WHERE {_differ(("email", "city"))}),
+dim3 AS (
+  SELECT * FROM dim
+  WHERE NOT is_current OR customer_id NOT IN (SELECT customer_id FROM again)
+  UNION ALL
+  SELECT {_fields("o")}, o.valid_from, {_THIRD_DAY}, false FROM opened o JOIN again USING (customer_id)
+  UNION ALL
+  SELECT {_fields("n", sign_up_date="o.sign_up_date")}, {_THIRD_DAY}, NULL, true
+  FROM third n JOIN again USING (customer_id) JOIN opened o USING (customer_id)
+  UNION ALL
+  SELECT {_fields("n")}, {_THIRD_DAY}, NULL, true
+  FROM third n WHERE n.customer_id NOT IN (SELECT customer_id FROM opened)
+)"""
+
+
+@query("scd2_three_days", _THREE_DAYS_WITH + f" SELECT {_text(scd.VERSION_FIELDS)} FROM dim3")
+def scd2_three_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Three days, the last one read over a base and two sets of changes."""
+    return dates_as_text(_stored(spark, folder).read())
+
+
+@query(
+    "scd_unique_versions",
+    _THREE_DAYS_WITH
+    + " SELECT customer_id, count(*) AS open_rows FROM dim3 WHERE is_current GROUP BY 1",
+)
+def scd_unique_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Open versions per key, from the index that every batch is checked against."""
+    return _stored(spark, folder).open_rows_per_key()
 
 
 @query(
@@ -264,6 +304,47 @@ def scd3_document(spark: SparkSession, folder: str) -> DataFrame:
     return dates_as_text(rows)
 
 
+def _type3_third_sql(tracked, remembered, updated) -> str:
+    """Rows after three days: the two days' rows met by the third file."""
+    columns = []
+    for f in CUSTOMER_FIELDS:
+        if f == "customer_id":
+            columns.append("coalesce(o.customer_id, n.customer_id) AS customer_id")
+            continue
+        takes = "o.customer_id IS NULL" + (" OR hit" if f in updated else "")
+        columns.append(f"CASE WHEN {takes} THEN n.{f} ELSE o.{f} END AS {f}")
+    for f in remembered:
+        columns.append(
+            f"CASE WHEN hit AND {_differ([f])} THEN o.{f} ELSE o.previous_{f} END AS previous_{f}"
+        )
+    columns.append(
+        f"CASE WHEN o.customer_id IS NULL OR hit THEN {_THIRD_DAY} "
+        "ELSE CAST(o.last_update_date AS DATE) END AS last_update_date"
+    )
+    names = [*CUSTOMER_FIELDS, *(f"previous_{f}" for f in remembered), "last_update_date"]
+    return f"""
+WITH two AS (SELECT * REPLACE (CAST(sign_up_date AS DATE) AS sign_up_date)
+             FROM ({_type3_sql(tracked, remembered, updated)})),
+third AS ({inputs.THIRD_SQL}),
+again AS (SELECT o.customer_id AS id, {_differ(tracked)} AS hit
+          FROM two o JOIN third n USING (customer_id)),
+dim AS (SELECT {", ".join(columns)}
+        FROM two o FULL JOIN third n ON o.customer_id = n.customer_id
+        LEFT JOIN again ON again.id = o.customer_id)
+SELECT {_text(names)} FROM dim"""
+
+
+@query("scd3_published", _type3_third_sql(_SEVEN, ("email", "city"), _SEVEN))
+def scd3_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Three days through a dimension kept on files; some keys change twice."""
+    return dates_as_text(_stored(spark, folder, scd.TYPE3_RELATIONAL).read())
+
+
+@query("scd3_published_document", _type3_third_sql(SIX_FIELDS, SIX_FIELDS, SIX_FIELDS))
+def scd3_published_document(spark: SparkSession, folder: str) -> DataFrame:
+    return dates_as_text(_stored(spark, folder, scd.TYPE3_DOCUMENT).read())
+
+
 # --- type 4 -----------------------------------------------------------------------------
 
 
@@ -348,6 +429,41 @@ def scd4_graph_edges(spark: SparkSession, folder: str) -> DataFrame:
     return graph.current_and_history_edges(*_type4(spark, folder, scd.TYPE4_GRAPH))
 
 
+_OVERWRITTEN = {f: f"n.{f}" for f in (*_SEVEN, "full_name")}
+
+
+@query(
+    "scd4_published",
+    f"""{_T4_RELATIONAL},
+third AS ({inputs.THIRD_SQL}),
+again AS (SELECT o.customer_id FROM current_rows o JOIN third n USING (customer_id)
+          WHERE {_differ(_SEVEN)}),
+current3 AS (
+  SELECT * FROM current_rows WHERE customer_id NOT IN (SELECT customer_id FROM again)
+  UNION ALL
+  SELECT {_fields("o", **_OVERWRITTEN)}
+  FROM current_rows o JOIN again USING (customer_id) JOIN third n USING (customer_id)
+  UNION ALL
+  SELECT {_fields("n")} FROM third n
+  WHERE n.customer_id NOT IN (SELECT customer_id FROM current_rows)),
+every AS (
+  SELECT *, CAST(NULL AS DATE) AS valid_from, CAST(NULL AS DATE) AS valid_to, 'current' AS place
+  FROM current3
+  UNION ALL SELECT *, 'history' FROM opened
+  UNION ALL SELECT *, 'history' FROM archived
+  UNION ALL
+  SELECT {_fields("o")}, o.sign_up_date, {_THIRD_DAY}, 'history'
+  FROM current_rows o JOIN again USING (customer_id))
+SELECT {_text(scd.HISTORY_FIELDS)}, place FROM every""",
+)
+def scd4_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Current and archived rows after three days through a dimension kept on files."""
+    store = _stored(spark, folder, scd.TYPE4_RELATIONAL)
+    current = store.read_current().withColumn("place", F.lit("current"))
+    past = store.read_history().withColumn("place", F.lit("history"))
+    return dates_as_text(past.unionByName(current, allowMissingColumns=True))
+
+
 # --- insert if absent -------------------------------------------------------------------
 
 

@@ -206,12 +206,26 @@ _ADDED = {
     "subscription_type": "'SUPPLIER'",
 }
 _IN_LATER_FILE = "c_acctbal >= -500"
+_THIRD = {
+    **_LATER,
+    "email": f"CASE WHEN c_nationkey IN (2, 6) THEN 'third@mail.example' ELSE {_LATER['email']} END",
+    "city": _FIRST["city"],
+}
+_ADDED_THIRD = {
+    **_ADDED,
+    "email": f"CASE WHEN s_nationkey < 10 THEN 'later@mail.example' ELSE {_ADDED['email']} END",
+}
+_IN_THIRD_FILE = "c_acctbal >= 0"
 
 FIRST_SQL = _select(_FIRST, "customer")
 CHANGES_SQL = (
     f"{_select(_LATER, 'customer', _IN_LATER_FILE)} UNION ALL {_select(_ADDED, 'supplier')}"
 )
 
+THIRD_SQL = (
+    f"{_select(_THIRD, 'customer', _IN_THIRD_FILE)} UNION ALL {_select(_ADDED_THIRD, 'supplier')}"
+)
+
 
 def first_day(spark: SparkSession, folder: str) -> DataFrame:
     return _frame(table(spark, folder, "customer"), _FIRST)
@@ -222,3 +236,9 @@ def changes(spark: SparkSession, folder: str) -> DataFrame:
     supplier as a new customer."""
     later = _frame(table(spark, folder, "customer"), _LATER, _IN_LATER_FILE)
     return later.unionByName(_frame(table(spark, folder, "supplier"), _ADDED))
+
+
+def third_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The third day's file: some customers change again, some back, fewer are in it."""
+    third = _frame(table(spark, folder, "customer"), _THIRD, _IN_THIRD_FILE)
+    return third.unionByName(_frame(table(spark, folder, "supplier"), _ADDED_THIRD))

@@ -175,28 +175,34 @@ def _absent(
 
 
 def _pair(
-    current: DataFrame, batch: DataFrame, order_by: str | None, **limits: int
+    current: DataFrame,
+    batch: DataFrame,
+    order_by: str | None,
+    small: bool | None = None,
+    **limits: int,
 ) -> DataFrame:
     """(old, new) per key, from the current rows and a batch of changes.
 
-    The batch is measured. A small one is broadcast: the dimension stays where it is and
-    only its key column is read a second time to find the new keys. Otherwise both sides
+    The batch is measured, unless ``small`` says what came of it. A small one is broadcast: the dimension stays where it is and
+    only its key column is read a second time, to find the new keys. Otherwise both sides
     are shuffled by key once; ``one_per_key`` leaves the changes already placed by key.
-    A key with several current rows ends the merge; the small way looks at the keys of the
-    batch only, all others are passed through as they are.
+    A key with several current rows ends the merge on both ways, whether the batch holds it
+    or not: the small way counts all keys before it looks for those of the batch.
     """
     key = CUSTOMER_KEY
     changes = one_per_key(batch, key, order_by).select(*CUSTOMER_FIELDS)
     new = changes.select(F.col(key).alias("_key"), F.struct("*").alias("new"))
-    small = measure(batch).fits(**limits)
+    small = measure(batch).fits(**limits) if small is None else small
     rows = current if small else require_unique(current, key)
     old = rows.select(F.col(key).alias("_key"), F.struct("*").alias("old"))
     if not small:
         return old.join(new, "_key", "full_outer").select("old", "new")
     stayed = old.join(F.broadcast(new), "_key", "left").select("old", "new")
-    known = old.select("_key").join(F.broadcast(new.select("_key")), "_key", "left_semi")
-    once = _stop_if(F.col("count") > 1, f"{key} has several current rows")
-    known = known.groupBy("_key").count().filter(once).select("_key")
+    once = _stop_if(F.col("count") > 1, f"{key} is not unique: several current rows")
+    known = old.groupBy("_key").count().filter(once).alias("o")
+    # The count is part of the condition, so that the join stays above the check of all keys.
+    asked = F.broadcast(new.select(F.col("_key").alias("k"))).alias("n")
+    known = known.join(asked, F.expr("o._key = n.k AND o.count > 0"), "left_semi").select("_key")
     added = _absent(new, known, ["_key"], small=False).select(
         F.lit(None).cast(old.schema["old"].dataType).alias("old"), "new"
     )
@@ -250,13 +256,15 @@ def type2_merge(
     as_of: dt.date,
     rules: Type2Rules = TYPE2_RELATIONAL,
     order_by: str | None = None,
+    changed_only: bool = False,
     **limits: int,
 ) -> DataFrame:
     """Current versions after a batch of changes, with the versions it closed.
 
     ``current`` holds only open versions. A tracked change closes the old version and
     opens one; a new key opens one; everything else stays. A change dated on or before the
-    start of the version it would close ends the query.
+    start of the version it would close ends the query. With ``changed_only`` what stays is
+    left out and ``_new`` tells the versions of new keys.
     """
     pairs = _pair(current.select(*VERSION_FIELDS), changes, order_by, **limits)
     day = _date(as_of)
@@ -271,9 +279,15 @@ def type2_merge(
     opened = _with(new, sign_up_date=sign_up, valid_from=day, **opening)
     start = F.col("new.sign_up_date") if rules.new_key_from_sign_up else day
     added = _with(new, valid_from=start, **opening)
+    hit = _both() & _differs(rules.tracked)
+    if changed_only:
+        closed, opened = (_with(row, _new=F.lit(False)) for row in (closed, opened))
+        added = _with(added, _new=F.lit(True))
+        versions = F.when(old.isNull(), F.array(added)).when(hit, F.array(closed, opened))
+        return pairs.select(F.inline(versions))
     versions = (
         F.when(old.isNull(), F.array(added))
-        .when(_both() & _differs(rules.tracked), F.array(closed, opened))
+        .when(hit, F.array(closed, opened))
         .otherwise(F.array(old))
     )
     return pairs.select(F.inline(versions))
@@ -306,7 +320,7 @@ def valid_on(dimension: DataFrame, day: dt.date) -> DataFrame:
 # --- type 3 ---------------------------------------------------------------------------
 
 
-def _type3_fields(rules: Type3Rules) -> list[str]:
+def type3_fields(rules: Type3Rules) -> list[str]:
     return [*CUSTOMER_FIELDS, *(f"previous_{f}" for f in rules.remembered), "last_update_date"]
 
 
@@ -328,10 +342,14 @@ def type3_merge(
     as_of: dt.date,
     rules: Type3Rules = TYPE3_RELATIONAL,
     order_by: str | None = None,
+    changed_only: bool = False,
     **limits: int,
 ) -> DataFrame:
-    """One row per key with the value before the last change of each remembered field."""
-    fields = _type3_fields(rules)
+    """One row per key with the value before the last change of each remembered field.
+
+    With ``changed_only`` rows that stay are left out and ``_new`` tells the new keys.
+    """
+    fields = type3_fields(rules)
     pairs = _pair(dimension.select(*fields), changes, order_by, **limits)
     is_new, hit = F.col("old").isNull(), _both() & _differs(rules.tracked)
     columns = []
@@ -348,6 +366,8 @@ def type3_merge(
         .otherwise(F.col("old.last_update_date"))
         .alias("last_update_date")
     )
+    if changed_only:
+        return pairs.filter(is_new | hit).select(*columns, is_new.alias("_new"))
     return pairs.select(*columns)
 
 
@@ -371,12 +391,14 @@ def type4_rows(
     as_of: dt.date,
     rules: Type4Rules = TYPE4_RELATIONAL,
     order_by: str | None = None,
+    changed_only: bool = False,
     **limits: int,
 ) -> DataFrame:
     """Both results of one join, told apart by ``target``: ``current`` or ``history``.
 
     Written partitioned by ``target`` the merge costs one pass; history rows are the
-    newly archived ones, from the old sign-up date to ``as_of``.
+    newly archived ones, from the old sign-up date to ``as_of``. With ``changed_only``
+    current rows that stay are left out and ``_new`` tells those of new keys.
     """
     pairs = _pair(current.select(*CUSTOMER_FIELDS), changes, order_by, **limits)
     old, new = F.col("old"), F.col("new")
@@ -390,9 +412,15 @@ def type4_rows(
         valid_to=_date(as_of),
         target=F.lit("history"),
     )
+    hit = _both() & _differs(rules.tracked)
+    if changed_only:
+        renewed, archived = (_with(row, _new=F.lit(False)) for row in (renewed, archived))
+        added = _with(added, _new=F.lit(True))
+        rows = F.when(old.isNull(), F.array(added)).when(hit, F.array(renewed, archived))
+        return pairs.select(F.inline(rows))
     rows = (
         F.when(old.isNull(), F.array(added))
-        .when(_both() & _differs(rules.tracked), F.array(renewed, archived))
+        .when(hit, F.array(renewed, archived))
         .otherwise(F.array(kept))
     )
     return pairs.select(F.inline(rows))

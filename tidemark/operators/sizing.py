@@ -39,13 +39,18 @@ def _width(field: T.StructField) -> Column:
     return F.lit(8)
 
 
-def measure(frame: DataFrame) -> Size:
-    """Rows and bytes of a table in one distributed pass; one row reaches the driver."""
+def size_columns(frame: DataFrame) -> list[Column]:
+    """Aggregates rows and bytes of a table."""
     width = F.lit(16)
     for field in frame.schema.fields:
         width = width + _width(field)
-    row = frame.agg(
+    return [
         F.count("*").alias("rows"),
         F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("bytes"),
-    ).first()
+    ]
+
+
+def measure(frame: DataFrame) -> Size:
+    """Rows and bytes of a table in one distributed pass; one row reaches the driver."""
+    row = frame.agg(*size_columns(frame)).first()
     return Size(row["rows"], row["bytes"])

@@ -7,28 +7,44 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators import scd
+from tidemark.sources.dimension_store import DimensionStore, Rules
 from tidemark.sources.files import read_customers
-from tidemark.sources.snapshots import publish_changes, publish_first, read_dimension
 
 
-def type2_from_files(
+def from_files(
     spark: SparkSession,
     path: str,
     first: str,
     later: list[tuple[str, dt.date]],
     first_day: dt.date,
-    rules: scd.Type2Rules = scd.TYPE2_RELATIONAL,
-) -> DataFrame:
-    """Customer files of consecutive days as one published dimension.
+    rules: Rules = scd.TYPE2_RELATIONAL,
+) -> DimensionStore:
+    """Customer files of consecutive days as one stored dimension, of the type of its rules.
 
     The first load inserts each key once and does nothing where the dimension exists; a
     key that repeats in a later file ends that merge.
     """
-    loaded = scd.type2_load(read_customers(spark, first), first_day, rules)
-    publish_first(scd.insert_if_absent(loaded.limit(0), loaded), path)
+    store = DimensionStore(spark, path, rules)
+    store.publish_first(read_customers(spark, first), first_day)
     for file, day in later:
-        publish_changes(spark, path, read_customers(spark, file), day, rules)
-    return read_dimension(spark, path)
+        store.publish(read_customers(spark, file), day)
+    return store
+
+
+def published(
+    spark: SparkSession,
+    path: str,
+    first: DataFrame,
+    later: list[tuple[DataFrame, dt.date]],
+    first_day: dt.date,
+    rules: Rules = scd.TYPE2_RELATIONAL,
+) -> DimensionStore:
+    """As from_files, from tables."""
+    store = DimensionStore(spark, path, rules)
+    store.publish_first(first, first_day)
+    for changes, day in later:
+        store.publish(changes, day)
+    return store
 
 
 def type3_two_days(
