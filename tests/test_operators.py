@@ -172,6 +172,34 @@ def test_panes_equal_windows(readings):
     assert windows.windows_per_row("1 hour 30 minutes", "500 milliseconds") == 10_800
 
 
+def test_pane_statistics_equal_windows(spark):
+    random.seed(4)
+    sent = [(1_700_000_000 + random.randrange(6 * 3600), 1e9 + random.gauss(0, 3), random.randrange(9))
+            for _ in range(6000)] + [(1_700_050_000, None, None), (1_700_060_000, 5.0, None)]
+    frame = spark.createDataFrame(sent, "t long, price double, quantity long")
+    frame = frame.withColumn("t", F.timestamp_seconds("t")).repartition(5)
+    got = windows.pane_statistics(frame, "t", "2 hours", "10 minutes", scale=2)
+    want = windows.windowed(frame, "t", "2 hours", "10 minutes", *windows.trade_statistics(scale=2))
+    assert got.columns == want.columns
+    exact = ["window", "avg_price", "min_price", "max_price", "trade_count", "avg_quantity", "total_volume"]
+    assert rows(got, *exact) == rows(want, *exact)
+    near = {r["window"]: r["price_stddev"] for r in want.collect()}
+    by_window = {r["window"]: r for r in got.collect()}
+    for window, row in by_window.items():
+        if near[window] is None:
+            assert row["price_stddev"] is None
+            continue
+        assert row["price_stddev"] == pytest.approx(near[window], rel=1e-6)
+        low, high = (int(row["window"][i].timestamp()) for i in (0, 1))
+        inside = sorted(p for t, p, _ in sent if low <= t < high and p is not None)
+        for share, value in zip((0.25, 0.5, 0.75), row["price_percentiles"]):
+            ranks = [i / len(inside) for i, p in enumerate(inside) if p == value]
+            slack = windows.SKETCH_RANK_ERROR + 1 / len(inside)
+            assert min(ranks) - slack <= share <= max(ranks) + slack
+    text = plan(got)
+    assert "Expand" not in text.split("== Physical Plan ==")[1].split("HashAggregate")[-1]
+
+
 def test_statistics_of_one_row(spark):
     frame = spark.createDataFrame([(dt.datetime(2024, 1, 1), 2.0, 3.0)], "ts timestamp_ntz, price double, quantity double")
     row = windows.windowed(frame, "ts", "1 minute", None, *windows.trade_statistics()).first()

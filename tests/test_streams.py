@@ -56,6 +56,38 @@ def test_late_rows_are_dropped_one_batch_after_the_watermark(session, tmp_path):
         assert got == {0: first_window, 5: 2}
 
 
+def test_panes_on_a_stream_take_late_rows_of_any_open_window(session, tmp_path):
+    """A row that only some of its windows still take is lost to the others on a plain stream;
+    panes keep it for all of them, over a stop and a restart."""
+    def put_at(number, *minutes):
+        sent = [dt.datetime(2024, 1, 1, 0, m) for m in minutes]
+        frame = session.createDataFrame([(1, t, float(t.minute), 1.0) for t in sent],
+                                        "sensor_id int, ts timestamp, temperature double, humidity double")
+        frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(1.1)
+
+    def drain(name, **given):
+        shape = session.read.parquet(f"{tmp_path}/in").schema
+        stream = stream_folder(session, f"{tmp_path}/in", shape, files_per_trigger=1)
+        found = windows.sensor_averages(stream, "ts", "8 minutes", "1 minute", **given)
+        found = found.select("window.start", "avg_temp")
+        writer = runner.writer(found, f"{tmp_path}/{name}/checkpoint", drain=True)
+        runner.finish(runner.to_files(writer, f"{tmp_path}/{name}/rows").start())
+        return dict(map(tuple, session.read.parquet(f"{tmp_path}/{name}/rows").collect()))
+
+    put_at(0, 1, 2, 10)
+    put_at(1, 11, 4)  # 4 is late: of its windows those that start at 2 and later are open
+    drain("panes", stream_panes=True), drain("plain")
+    put_at(2, 12, 6)
+    put_at(3, 59)
+    panes, plain = drain("panes", stream_panes=True), drain("plain")
+    table = session.read.parquet(f"{tmp_path}/in")
+    every = windows.sensor_averages(table, "ts", "8 minutes", "1 minute").select("window.start", "avg_temp")
+    truth = {k: v for k, v in map(tuple, every.collect()) if k < dt.datetime(2024, 1, 1, 0, 43)}
+    assert {k: v for k, v in panes.items() if k in truth} == truth
+    assert any(plain.get(k) != v for k, v in truth.items())
+
+
 def test_restart_repeats_nothing(session, tmp_path):
     folder, out = tmp_path / "in", tmp_path / "out"
     put(session, folder, 0, (0, 0, 5), (0, 0, 6), (0, 2, 0))

@@ -323,6 +323,40 @@ def parse_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("event_id", text.alias("text")).select("event_id", at.alias("at"))
 
 
+@query(
+    "random_keys",
+    """
+SELECT o_orderstatus AS status, count(*) AS messages, count(*) AS keys, 36 AS key_chars
+FROM orders GROUP BY 1""",
+)
+def random_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages under random keys, all of them different."""
+    sent = messages.encode(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus"))
+    held = messages.decode_keyed(sent, "o_orderstatus string")
+    return held.groupBy(F.col("o_orderstatus").alias("status")).agg(
+        F.count("*").alias("messages"),
+        F.count_distinct("key").alias("keys"),
+        F.max(F.length("key")).alias("key_chars"),
+    )
+
+
+@query(
+    "load_time",
+    "SELECT DISTINCT o_custkey AS customer_id, TIMESTAMP '2024-06-01 12:00:00' AS load_time, "
+    "true AS stamped_now FROM orders",
+)
+def load_time(spark: SparkSession, folder: str) -> DataFrame:
+    """A given load time, and whether the one taken by default lies in this run."""
+    begin = F.lit(dt.datetime.now() - dt.timedelta(minutes=5))
+    keys = table(spark, folder, "orders").select(F.col("o_custkey").alias("customer_id")).distinct()
+    now = times.stamp()
+    return keys.select(
+        "customer_id",
+        times.utc_wall_clock(times.stamp(F.lit("2024-06-01T12:00:00Z").cast("timestamp"))).alias("load_time"),
+        ((now > begin) & (now < begin + F.expr("INTERVAL 1 DAY"))).alias("stamped_now"),
+    )
+
+
 # --- trades -----------------------------------------------------------------------------
 
 
@@ -481,6 +515,57 @@ def window_stats(spark: SparkSession, folder: str) -> DataFrame:
     return flat_statistics(found, F.col("window.start"))
 
 
+_DAY_WINDOWS = f"""
+SELECT *, time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 1 HOUR AS window_start
+FROM (SELECT *, make_timestamp_ms(trade_time) AS ts FROM ({inputs.TRADES_SQL})) CROSS JOIN range(24) AS shift(k)"""
+
+
+@query(
+    "window_stats_many_slides",
+    f"""
+SELECT window_start, {AVERAGE.format("price")} AS avg_price, min(price) AS min_price,
+       max(price) AS max_price, round(stddev_samp(price), 6) AS price_stddev,
+       count(*) AS trade_count, {AVERAGE.format("quantity")} AS avg_quantity,
+       CAST(sum(CAST(quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_volume, 3 AS quartiles
+FROM ({_DAY_WINDOWS}) GROUP BY 1""",
+)
+def window_stats_many_slides(spark: SparkSession, folder: str) -> DataFrame:
+    """Day-long windows every hour from hourly panes; how far the quartiles are off is a test."""
+    rows = trades.normalised(inputs.wire_messages(_events(spark, folder)))
+    at = times.utc_wall_clock(times.from_epoch_millis(F.col("trade_time")))
+    found = trades.statistics(
+        rows.withColumn("trade_time", at), length="24 hours", slide="1 hour", scale=2, panes=True
+    )
+    exact = ("avg_price", "min_price", "max_price", "trade_count", "avg_quantity", "total_volume")
+    return found.select(
+        F.col("window.start").alias("window_start"),
+        *exact,
+        F.round("price_stddev", 6).alias("price_stddev"),
+        F.size("price_percentiles").alias("quartiles"),
+    )
+
+
+@query(
+    "compact_trade_stats",
+    f"""
+SELECT window_start, {AVERAGE.format("price")} AS avg_price, min(price) AS min_price,
+       max(price) AS max_price, round(stddev_samp(price), 6) AS price_stddev,
+       count(*) AS trade_count, {AVERAGE.format("quantity")} AS avg_quantity,
+       CAST(sum(CAST(quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_volume,
+       quantile_disc(price, 0.25) AS p25, quantile_disc(price, 0.5) AS p50,
+       quantile_disc(price, 0.75) AS p75
+FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, make_timestamp_ms(trade_time)) AS window_start
+      FROM ({inputs.TRADES_SQL}) WHERE symbol IN (SELECT symbol FROM ({inputs.DESTINATIONS_SQL})))
+GROUP BY 1""",
+)
+def compact_trade_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Wire trades → compact messages of listed symbols → statistics per hour."""
+    sent = inputs.wire_messages(_events(spark, folder))
+    short = messages.encode(trades.compact(sent, inputs.destinations(spark, folder)))
+    found = trades.compact_statistics(short, "1 hour", accuracy=10_000, scale=2)
+    return flat_statistics(found, times.utc_wall_clock(F.col("window.start")))
+
+
 @query(
     "percentiles",
     """

@@ -23,7 +23,7 @@ from tidemark.functions import messages
 from tidemark.functions.numbers import number_or_zero
 from tidemark.functions.times import from_epoch_millis
 from tidemark.operators.routing import keep_listed, route_by_symbol
-from tidemark.operators.windows import trade_statistics, windowed
+from tidemark.operators.windows import pane_statistics, trade_statistics, windowed
 from tidemark.streaming import runner
 
 # The wire keys differ in case only, so they are renamed by position. Price and quantity stay
@@ -118,8 +118,12 @@ def statistics(
     watermark: str = WATERMARK_DELAY,
     accuracy: int = PERCENTILE_ACCURACY,
     scale: int | None = None,
+    panes: bool = False,
 ) -> DataFrame:
-    """The eight statistics per window."""
+    """The eight statistics per window; with ``panes`` by ``pane_statistics``, for windows that
+    slide by a small part of their length."""
+    if panes and slide:
+        return pane_statistics(trades, time, length, slide, watermark=watermark, scale=scale)
     columns = trade_statistics(accuracy=accuracy, scale=scale)
     return windowed(trades, time, length, slide, *columns, watermark=watermark)
 
