@@ -319,14 +319,13 @@ def merge_shards(shards: list[Shard], span: int) -> tuple[np.ndarray, np.ndarray
     back = np.concatenate([step_back(s.transform) + b for s, b in zip(shards, base)])
     owner = np.repeat(np.arange(len(shards)), np.diff(base)).astype(np.int32)
     back = back.astype(np.int32 if len(back) < 1 << 31 else np.int64)
-    rows = np.arange(len(transform), dtype=back.dtype)
+    # only rows with ``span`` bytes ahead of them can go back so many steps
+    rows = np.flatnonzero(np.concatenate([s.offset for s in shards]) >= span).astype(back.dtype)
     block = np.zeros(len(rows), back.dtype)
     for _ in range(span):
-        symbol = transform[rows]
-        go = symbol > 0
-        rows, block, symbol = rows[go], block[go], symbol[go]
         if len(rows) == 0:
             break
+        symbol = transform[rows]
         order = np.argsort(symbol, kind="stable")
         rows, block, symbol = back[rows[order]], block[order], symbol[order]
         edge = np.empty(len(rows), bool)
