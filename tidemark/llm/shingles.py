@@ -180,6 +180,7 @@ def posting_batches(batches, words: int, percent: int, buckets: int, cells):
     yield from flush()
 
 
+@tx.lean
 def meetings(table: pa.Table) -> pa.Table:
     """The rare shingles of a bucket that several nodes have, with those nodes."""
     hashes, nodes = (
@@ -368,7 +369,7 @@ def join(
     postings = source.mapInArrow(
         lambda b: posting_batches(b, words, percent, buckets, counts), POSTING
     )
-    met = work.keep(postings.groupBy("bucket").applyInArrow(meetings, MET), "met")
+    met = work.keep(postings.groupBy("bucket").applyInArrow(lambda t: meetings(t), MET), "met")
     sizes = signs.groupBy("node").agg(F.max("n_shingles").alias("size"))
     able = (
         met.groupBy("node").agg(F.count("*").alias("n")).join(sizes, "node")

@@ -123,6 +123,7 @@ def _sorted_block(table: pa.Table) -> pa.Table:
     return table.take(pc.sort_indices(table, keys, null_placement="at_start"))
 
 
+@tx.lean
 def block_anchors(table: pa.Table, span: int, gram: int, buckets: int) -> pa.Table:
     """Anchor hashes of a block, each once with its count."""
     _, _, keys = anchors(*tx.flat(_sorted_block(table)["text"]), span, gram)
@@ -138,6 +139,7 @@ def block_anchors(table: pa.Table, span: int, gram: int, buckets: int) -> pa.Tab
     })
 
 
+@tx.lean
 def repeated_anchors(table: pa.Table, hot: int) -> pa.Table:
     """For every block of a bucket its anchor hashes that occur again somewhere."""
     parts = [np.frombuffer(b, np.uint64) for b in table["keys"].to_pylist()]
@@ -158,6 +160,7 @@ def _contents(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Arr
     return tx.as_strings(data[tx.ranges(starts, sizes)], np.concatenate([[0], np.cumsum(sizes)]))
 
 
+@tx.lean
 def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, buckets: int) -> pa.Table:
     """Segments of repeated anchors of a block: the first of equal ones with its bytes, the
     later ones without, as they are removed whatever else is found."""
@@ -367,6 +370,7 @@ def repeated_intervals(data: np.ndarray, sizes: np.ndarray, span: int, shard_byt
     return segment[windows[many]], offset[windows[many]], inverse[many]
 
 
+@tx.lean
 def bucket_spans(table: pa.Table, span: int, shard_bytes: int) -> pa.Table:
     """What the segments of a bucket lose; all of it where the bytes did not come along."""
     bare = pc.is_null(table["content"])
@@ -420,6 +424,7 @@ def bucket_spans(table: pa.Table, span: int, shard_bytes: int) -> pa.Table:
     return pa.concat_tables([lost, rest])
 
 
+@tx.lean
 def cut_block(table: pa.Table, gone: pa.Table) -> pa.Table:
     """The texts of a block without what is gone."""
     table = _sorted_block(table) if table.num_rows else table
@@ -500,7 +505,7 @@ def remove_repeats(
         "gone",
     )
     cut = whole.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(
-        cut_block,
+        lambda t, g: cut_block(t, g),
         f"id {kind}, rest {source.schema['rest'].dataType.simpleString()}, n_bytes long, "
         "spans array<struct<start:long,end:long>>, kept binary",
     )
