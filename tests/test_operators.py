@@ -95,8 +95,12 @@ def test_measure_counts_rows_and_bytes(spark):
 # --- averages -----------------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("way", ["broadcast", "counted", "joined"])
 @pytest.mark.parametrize("scale", [None, 2])
-def test_joined_averages_equal_join_then_average(spark, scale):
+def test_joined_averages_equal_join_then_average(spark, scale, way, monkeypatch):
+    limits = {} if way == "broadcast" else {"max_rows": 0}
+    monkeypatch.setattr(averages, "COUNTED_SHARE", 0.5)
+    monkeypatch.setattr(averages, "counting_pays", lambda rows, keys: way == "counted")
     rng = random.Random(7)
     facts = spark.createDataFrame(
         [(1 if rng.random() < 0.4 else rng.randrange(20), rng.choice(["a", "b", None]))
@@ -109,7 +113,7 @@ def test_joined_averages_equal_join_then_average(spark, scale):
         "id int, sex string, height string",
     )
     got = averages.joined_averages(
-        facts, people, "id", ["sport", "sex"], {"height": "h"}, scale=scale
+        facts, people, "id", ["sport", "sex"], {"height": "h"}, scale=scale, **limits
     )
     plain = facts.join(people.withColumn("height", F.expr("try_cast(height as double)")), "id")
     want = averages.group_averages(plain, ["sport", "sex"], {"height": "h"}, scale=scale)
@@ -120,6 +124,28 @@ def test_joined_averages_equal_join_then_average(spark, scale):
         assert x[2] is None or math.isclose(x[2], y[2], rel_tol=1e-12)
 
 
+def test_the_way_of_joined_averages_follows_the_sizes(spark):
+    many = spark.range(4000).selectExpr("id % 7 AS id", "cast(id % 3 AS string) AS sport")
+    each = spark.range(4000).selectExpr("id", "cast(id % 3 AS string) AS sport")
+    people = spark.range(4000).selectExpr("id", "'f' AS sex", "'1.5' AS height")
+
+    def exchanges(facts, **limits):
+        found = averages.joined_averages(facts, people, "id", ["sport", "sex"], {"height": "h"}, **limits)
+        physical = found._jdf.queryExecution().executedPlan().toString()
+        optimized = found._jdf.queryExecution().optimizedPlan().toString()
+        return physical.count("Exchange hashpartitioning"), "_rows" in optimized, "_salt" in optimized
+
+    assert exchanges(many) == (1, False, False)  # broadcast: partial averages only
+    assert averages.counting_pays(many, ["id", "sport"]) and not averages.counting_pays(each, ["id"])
+    assert exchanges(many, max_rows=0)[1:] == (True, False)
+    assert exchanges(each, max_rows=0)[1:] == (False, True)
+
+
+def test_hot_keys_come_from_a_sketch(spark, hot, table):
+    text = plan(joins.hot_key_join(hot, table, "k", hot_rows=100, salts=4))
+    assert "approx_top_k" in text
+
+
 # --- windows ------------------------------------------------------------------------------
 
 

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.sizing import HOT_ROWS, SALTS, measure
 
+# Keys that the sketch of the most frequent ones gives, and that it keeps track of.
+MOST_HOT, TRACKED = 1_000, 10_000
+
 
 def row_salt(frame: DataFrame, salts: int) -> Column:
     """A number below ``salts`` for each row.
@@ -32,34 +35,39 @@ def hot_key_join(
 ) -> DataFrame:
     """Shuffled join that spreads the keys with more than ``hot_rows`` rows.
 
-    Keys are counted (combined before the shuffle); at most ``count / hot_rows`` keys can
-    be hot, so their list is small by construction. Rows of a hot key get one of ``salts``
+    Hot keys are found by a sketch of the most frequent ones, one per task, so no count per
+    key is shuffled. A key that holds more than a thousandth of the rows is always found, and
+    which keys are spread never changes the result. Rows of a hot key get one of ``salts``
     numbers and only the hot keys' entries of ``table`` are repeated. Rows without a key
     are spread as well. Every pair still meets exactly once.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
+    name = F.xxhash64(*keys)
+    top = F.expr(f"approx_top_k(_name, {MOST_HOT}, {TRACKED})")
     hot = (
-        rows.groupBy(*keys)
-        .agg(F.count("*").alias("_count"))
-        .filter(F.col("_count") > hot_rows)
-        .select(*keys, F.lit(True).alias("_hot"))
+        rows.select(name.alias("_name"))
+        .agg(F.explode(top).alias("_top"))
+        .filter(F.col("_top.count") > hot_rows)
+        .select(F.col("_top.item").alias("_name"), F.lit(True).alias("_hot"))
     )
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
     salted = (
         rows.withColumn("_spread", row_salt(rows, salts))
-        .join(F.broadcast(hot), keys, "left")
+        .withColumn("_name", name)
+        .join(F.broadcast(hot), "_name", "left")
         .withColumn(
             "_salt",
             F.when(F.col("_hot") | no_key, F.col("_spread")).otherwise(F.lit(0)),
         )
-        .drop("_hot", "_spread")
+        .drop("_hot", "_spread", "_name")
     )
     repeated = (
-        table.join(F.broadcast(hot), keys, "left")
+        table.withColumn("_name", name)
+        .join(F.broadcast(hot), "_name", "left")
         .withColumn(
             "_salt",
             F.explode(
@@ -68,7 +76,7 @@ def hot_key_join(
                 )
             ),
         )
-        .drop("_hot")
+        .drop("_hot", "_name")
     )
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
