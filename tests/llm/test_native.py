@@ -113,6 +113,33 @@ def test_order_follows_rejection_per_cost(spark):
     assert {r.by: r["count"] for r in names} == {"often": 990, None: 10}
 
 
+def test_the_cascade_gives_the_verdicts_of_all_rules(spark):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet")
+    whole = {r.doc_id: r.kept for r in rules.judge(documents).collect()}
+    frame = rules.judge(documents, with_measures=False)
+    assert frame.columns == ["doc_id", "rejected_by", "kept"]
+    assert not re.search("Python|Pandas|Arrow", plan(frame))
+    assert {r.doc_id: r.kept for r in frame.collect()} == whole
+    assert len(set(whole.values())) == 2
+
+
+def test_a_dear_rule_of_equal_selectivity_comes_last(spark):
+    text = " ".join(f"w{i}" for i in range(3000))
+    frame = spark.range(300).select(F.concat(F.lit(text), F.col("id")).alias("text"))
+    dear = rules.Rule("dear", F.col("n_repeat_words") >= 0)
+    cheap = rules.Rule("cheap", F.length("text") > 0)
+    assert [r.name for r in rules.ordered(frame, [dear, cheap])] == ["cheap", "dear"]
+
+
+def test_the_sample_is_cut_ahead_of_the_measures(spark):
+    frame = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), "id").alias("text"))
+    sample = rules.sampled(frame, "doc_id", "text", 500)
+    assert sample.count() == 500 and sample.columns == ["text"]
+    assert rules.sampled(frame.limit(7), "doc_id", "text", 500).count() == 7
+    same = frame.select(F.lit(1).alias("doc_id"), F.lit("x").alias("text"))
+    assert rules.sampled(same, "doc_id", "text", 500).count() in (0, 500)
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_odd_quality_rows(spark, n):
     rows = [(None, None), (1, ""), (1, ""), (2, "w " * 30_000), (3, " ".join(f"w{i}" for i in range(60)))]

@@ -1,8 +1,13 @@
 """Quality rules as a cascade that stops at the first rejection, by Spark expressions only.
 
-On a sample of rows each rule's cost (seconds) and selectivity (share of rows it rejects) are
-measured; rules then stand in order of rejection per cost. The order changes how much work is
-done and never the verdict, since a row is kept only if no rule rejects it.
+On a sample of rows each rule's cost (seconds, with the counts that it goes by) and selectivity
+(share of rows it rejects) are measured; rules then stand in order of rejection per cost. The
+order changes how much work is done and never the verdict, since a row is kept only if no rule
+rejects it.
+
+The sample is a written table of the rows with the least hashes of their keys, cut ahead of all
+measures. A rule is timed on the sample repeated many times over, less the time of the same
+job without a rule, so that starting a job counts for nothing.
 """
 
 from __future__ import annotations
@@ -14,19 +19,29 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.workspace import Workspace
+
 WHITE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 
-#: Rows of the sample that the order of the rules is chosen on.
+#: Rows of the sample that the order of the rules is chosen on, and how often they are repeated
+#: to time a rule.
 SAMPLE_ROWS = 2_000
+SAMPLE_PARTS = 8
+REPEATS = 2
+
+#: Columns that rules may go by, beside ``text``.
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects`` must be a boolean column over the measured rows, null counting as false."""
+    """``rejects`` must be a boolean column over ``text`` and the measures that the rule
+    ``needs``; null counts as false."""
 
     name: str
     rejects: Column
+    needs: tuple[str, ...] = MEASURES
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -90,6 +105,26 @@ def measures(text: Column) -> Column:
     return let(words_of(text), of_words)
 
 
+def measure(name: str) -> Column:
+    """One measure of the column ``text`` alone."""
+    words, lines = words_of(F.col("text")), F.filter(
+        F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")
+    )
+    if name == "n_words":
+        value = F.size(words)
+    elif name == "word_chars":
+        value = F.char_length(F.array_join(words, ""))
+    elif name == "n_symbols":
+        value = F.regexp_count("text", F.lit(SYMBOLS))
+    elif name == "n_lines":
+        value = F.size(lines)
+    elif name == "n_dup_lines":
+        value = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    else:
+        value = repeated_words(words)
+    return value.cast("long").alias(name)
+
+
 def measured(documents: DataFrame, key: str, text: str) -> DataFrame:
     rows = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("m", measures(F.col("text")))
@@ -102,8 +137,8 @@ def measured(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 def base_rules() -> list[Rule]:
     return [
-        Rule("few words", F.col("n_words") < 50),
-        Rule("repeated words", 100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
+        Rule("few words", F.col("n_words") < 50, ("n_words",)),
+        Rule("repeated words", 100 * F.col("n_repeat_words") > 50 * F.col("n_words"), ("n_words", "n_repeat_words")),
     ]
 
 
@@ -111,32 +146,51 @@ def default_rules() -> list[Rule]:
     """Limits that prose stays well below."""
     capitals = F.regexp_count("text", F.lit("[A-Z]"))
     marks = F.regexp_count("text", F.lit("[!?]"))
+    lines = (100 * F.col("n_dup_lines") > 50 * F.col("n_lines")) & (F.col("n_dup_lines") > 4)
     return [
         *base_rules(),
-        Rule("symbols", 100 * F.col("n_symbols") > 20 * F.col("n_words")),
-        Rule("repeated lines", (100 * F.col("n_dup_lines") > 50 * F.col("n_lines")) & (F.col("n_dup_lines") > 4)),
-        Rule("word length", F.col("word_chars") > 30 * F.col("n_words")),
-        Rule("capitals", 100 * capitals > 60 * F.col("word_chars")),
-        Rule("calls", 100 * marks > 80 * F.col("n_words")),
+        Rule("symbols", 100 * F.col("n_symbols") > 20 * F.col("n_words"), ("n_words", "n_symbols")),
+        Rule("repeated lines", lines, ("n_lines", "n_dup_lines")),
+        Rule("word length", F.col("word_chars") > 30 * F.col("n_words"), ("n_words", "word_chars")),
+        Rule("capitals", 100 * capitals > 60 * F.col("word_chars"), ("word_chars",)),
+        Rule("calls", 100 * marks > 80 * F.col("n_words"), ("n_words",)),
     ]
 
 
-def ordered(sample: DataFrame, rules: list[Rule]) -> list[Rule]:
-    """The rules by rejection per cost on a sample; one row per rule comes to the driver."""
+def sampled(documents: DataFrame, key: str, text: str, rows: int) -> DataFrame:
+    """At most ``rows`` texts, those of the least hashes of key and text. A filter whose
+    share follows the number of rows leaves few to sort."""
+    total = max(1, documents.count())
+    name = F.xxhash64(F.col(key), F.col(text))
+    share = min(1.0, 4.0 * rows / total + 200 / total)
+    some = documents.select(F.coalesce(F.col(text), F.lit("")).alias("text"), name.alias("h"))
+    if share < 1:
+        some = some.where(F.pmod("h", F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    some = some.orderBy(F.pmod("h", F.lit(1 << 30)), "h").limit(rows).select("text")
+    return some.repartition(SAMPLE_PARTS)
+
+
+def ordered(sample: DataFrame, rules: list[Rule], repeats: int = REPEATS) -> list[Rule]:
+    """The rules by rejection per cost on a sample, which has the columns of the rules or else
+    the texts; one row per rule comes to the driver."""
     if len(rules) < 2:
         return list(rules)
-    sample = sample.persist()
-    total = max(1, sample.count())
+    again = sample.select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("_again"))
+    if "text" in sample.columns:  # those that a rule does not go by are pruned
+        again = again.select("*", *(measure(n) for n in MEASURES if n not in sample.columns))
+
+    def timed(rejects: Column) -> tuple[int, int, float]:
+        counts = again.agg(F.sum(F.coalesce(rejects, F.lit(False)).cast("int")).alias("n"), F.count("*").alias("all"))
+        counts.first()  # compiled and read once
+        begin = time.perf_counter()
+        seen = counts.first()
+        return seen["n"] or 0, max(1, seen["all"]), time.perf_counter() - begin
+
+    _, _, idle = timed(F.col("_again") < 0)
     standing = []
-    try:
-        for place, rule in enumerate(rules):
-            rejected = F.sum(F.coalesce(rule.rejects, F.lit(False)).cast("int"))
-            begin = time.perf_counter()
-            count = sample.agg(rejected.alias("n")).first()["n"] or 0
-            cost = time.perf_counter() - begin
-            standing.append((-(count / total) / max(cost, 1e-6), place))
-    finally:
-        sample.unpersist()
+    for place, rule in enumerate(rules):
+        rejected, total, took = timed(rule.rejects)
+        standing.append((-(rejected / total) / max(took - idle, 1e-3), place))
     return [rules[place] for _, place in sorted(standing)]
 
 
@@ -151,25 +205,54 @@ def first_rejection(rules: list[Rule]) -> Column:
     return out
 
 
+def cascade(rows: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Adds rejected_by. A measure is worked out by the first rule that needs it, and only for
+    rows that no earlier rule has rejected."""
+    known: set[str] = set()
+    rows = rows.withColumn("rejected_by", F.lit(None).cast("string"))
+    still = F.col("rejected_by").isNull()
+    for rule in rules:
+        fresh = [n for n in rule.needs if n not in known]
+        known.update(fresh)
+        rows = rows.withColumns({n: F.when(still, measure(n)) for n in fresh})
+        hit = still & F.coalesce(rule.rejects, F.lit(False))
+        rows = rows.withColumn("rejected_by", F.when(hit, F.lit(rule.name)).otherwise(F.col("rejected_by")))
+    return rows.drop(*known)
+
+
 def judge(
     documents: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     rules: list[Rule] | None = None,
     sample_rows: int = SAMPLE_ROWS,
+    with_measures: bool = True,
 ) -> DataFrame:
     """One row per document: ``key``, n_words, word_chars, n_symbols, n_lines, n_dup_lines,
     n_repeat_words, rejected_by (a rule that rejects it, null if none) and kept.
 
+    Without ``with_measures`` the measures are left out of the result and worked out only as far
+    as the cascade goes for a row; with them each row has all of them, and the rules are judged
+    in their order on top.
+
     Null texts count as empty: no words, no lines. Repeated rows are judged each, a null key is
     kept, an empty table gives no rows. Extra columns are not read. Which of several rejecting
     rules is named depends on the measured order; ``kept`` does not.
     """
     rules = default_rules() if rules is None else rules
-    rows = measured(documents, key, text)
-    chosen = ordered(measured(documents.limit(sample_rows), key, text), rules)
-    judged = rows.withColumn("rejected_by", first_rejection(chosen))
+    work = Workspace(documents.sparkSession, "rules")
+    sample = work.keep(sampled(documents, key, text, sample_rows), "sample")
+    try:
+        chosen = ordered(sample, rules)
+    finally:
+        work.remove("sample")
+    if with_measures:
+        rows = measured(documents, key, text)
+        judged = rows.withColumn("rejected_by", first_rejection(chosen))
+    else:
+        rows = documents.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        judged = cascade(rows, chosen)
+    counts = MEASURES if with_measures else ()
     return judged.select(
-        F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
-        "n_repeat_words", "rejected_by", F.col("rejected_by").isNull().alias("kept"),
+        F.col("key").alias(key), *counts, "rejected_by", F.col("rejected_by").isNull().alias("kept")
     )
