@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -94,6 +94,40 @@ def enriched_running_averages(spark: SparkSession, folder: str) -> DataFrame:
     return rows.drop("calculation_time")
 
 
+def _rounded(rows: DataFrame) -> DataFrame:
+    averages = {c: F.round(F.col(c) + 1e-9, 6) for c in ("avg_height", "avg_weight")}
+    return rows.withColumns(averages)
+
+
+# The small addend keeps both engines off ties.
+_ROUNDED = "round(avg_height + 1e-9, 6) AS avg_height, round(avg_weight + 1e-9, 6) AS avg_weight"
+
+
+@query("gold_avg_default", f"SELECT sport, medal, sex, country_noc, {_ROUNDED} FROM ({GOLD_SQL})")
+def gold_avg_default(spark: SparkSession, folder: str) -> DataFrame:
+    """The averages as they are by default, of doubles."""
+    rows = medallion.gold(inputs.results(spark, folder), inputs.athletes(spark, folder))
+    return _rounded(rows.drop("timestamp"))
+
+
+@query(
+    "running_averages_default",
+    f"""
+WITH a AS ({inputs.ATHLETES_SQL}), r AS ({inputs.RESULTS_SQL}),
+j AS (SELECT r.sport, r.medal, a.sex, r.country_noc,
+             CAST(a.height AS DOUBLE) AS height, CAST(a.weight AS DOUBLE) AS weight
+      FROM r JOIN a ON r.athlete_id = a.athlete_id
+      WHERE TRY_CAST(a.height AS FLOAT) IS NOT NULL AND TRY_CAST(a.weight AS FLOAT) IS NOT NULL)
+SELECT sport, medal, sex, country_noc, round(avg(height) + 1e-9, 6) AS avg_height,
+       round(avg(weight) + 1e-9, 6) AS avg_weight
+FROM j GROUP BY ALL""",
+)
+def running_averages_default(spark: SparkSession, folder: str) -> DataFrame:
+    sent = enrichment.publishable(inputs.results(spark, folder))
+    rows = enrichment.running_averages(sent, inputs.athletes(spark, folder), kind="double")
+    return _rounded(rows.drop("calculation_time"))
+
+
 # --- files ------------------------------------------------------------------------------
 
 
@@ -199,10 +233,9 @@ def threshold_filter(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events",
 )
 def json_decode(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _events(spark, folder)
-    return rows.select("event_id", F.from_json("props", "k int").alias("d")).select(
-        "event_id", "d.k"
-    )
+    rows = _events(spark, folder).select(F.col("event_id").cast("string").alias("key"), F.col("props").alias("value"))
+    found = messages.decode_keyed(rows, "k int")
+    return found.select(F.col("key").cast("bigint").alias("event_id"), "k")
 
 
 @query(
@@ -582,6 +615,38 @@ def percentiles(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "percentiles_shipped",
+    """
+SELECT event_type, true AS p25, true AS p50, true AS p75, true AS q25, true AS q50, true AS q75
+FROM events GROUP BY 1""",
+)
+def percentiles_shipped(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the quartiles at the shipped accuracy, of rows and of merged panes, have ranks
+    within their stated error."""
+    events = _events(spark, folder).withColumn("quantity", F.lit(1))
+    rows = events.groupBy("event_type").agg(*windows.trade_statistics("value", "quantity"))
+    rows = rows.select("event_type", F.col("price_percentiles").alias("p"))
+    panes = windows.pane_statistics(
+        events.withColumn("price", F.col("value")), "ts", "36500 days", "7300 days"
+    )
+    q = panes.orderBy("window").first()["price_percentiles"]  # the window of all events
+    value, shares = F.col("value"), (0.25, 0.5, 0.75)
+
+    def within(share: float, at: Column, error: float) -> Column:
+        below, upto = (F.avg(hit.cast("double")) for hit in (value < at, value <= at))
+        return (below <= share + error) & (upto >= share - error)
+
+    slack = windows.SKETCH_RANK_ERROR
+    every = events.agg(
+        *(within(s, F.lit(q[i]), slack).alias(f"q{int(100 * s)}") for i, s in enumerate(shares))
+    ).first()
+    by_type = events.join(F.broadcast(rows), "event_type").groupBy("event_type").agg(
+        *(within(s, F.col("p")[i], 0.01).alias(f"p{int(100 * s)}") for i, s in enumerate(shares))
+    )
+    return by_type.withColumns({name: F.lit(every[name]) for name in ("q25", "q50", "q75")})
+
+
 @query(
     "stddev_by_type",
     """

@@ -464,6 +464,36 @@ def scd4_published(spark: SparkSession, folder: str) -> DataFrame:
     return dates_as_text(past.unionByName(current, allowMissingColumns=True))
 
 
+@query(
+    "scd4_document_ids",
+    _T4_RELATIONAL
+    + """ SELECT CAST(customer_id AS VARCHAR) AS _id, 'current' AS kind FROM current_rows
+UNION ALL SELECT customer_id || ':' || CAST(valid_to AS VARCHAR), 'history' FROM archived""",
+)
+def scd4_document_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """Plain keys of current rows, keys with the closing day of archived ones."""
+    current, history = _type4(spark, folder)
+    ids = scd.with_document_id(current, "customer_id").select("_id", F.lit("current").alias("kind"))
+    closed = history.filter("valid_to IS NOT NULL")
+    past = scd.with_document_id(closed, "customer_id", "valid_to")
+    return ids.unionByName(past.select("_id", F.lit("history").alias("kind")))
+
+
+@query(
+    "scd4_graph_nodes",
+    _T4_GRAPH
+    + """ SELECT 'current:' || customer_id AS node_id, email, city FROM current_rows
+UNION ALL SELECT 'history:' || customer_id || ':' || CAST(valid_to AS VARCHAR), email, city
+FROM archived""",
+)
+def scd4_graph_nodes(spark: SparkSession, folder: str) -> DataFrame:
+    current, history = _type4(spark, folder, scd.TYPE4_GRAPH)
+    wanted = ("node_id", "email", "city")
+    return graph.current_nodes(current).select(*wanted).unionByName(
+        graph.history_nodes(history).select(*wanted)
+    )
+
+
 # --- insert if absent -------------------------------------------------------------------
 
 

@@ -213,16 +213,13 @@ ENRICHED_SQL = GOLD_SQL.replace(
 )
 
 
-@query("stream_enrich", ENRICHED_SQL)
-def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
-    """Table → messages → stream ⋈ athletes → running averages → message log and table
-    log from one computation; the newest row of each group."""
+def _enriched(spark: SparkSession, folder: str, parts: list[list[int]], count: int) -> DataFrame:
+    """Results as messages in ``count`` files → stream ⋈ athletes → running averages → message
+    log and table log from one computation. The query is started anew for each list of parts
+    and takes one file per batch; the newest row of each group comes back."""
     path, session = scratch(spark, "stream-enrich"), stream_session(spark)
-    enrichment.publishable(inputs.results(session, folder)).write.parquet(f"{path}/topic")
-    sent = stream_folder(session, f"{path}/topic", schemas.ENVELOPE)
-    averages = enrichment.running_averages(
-        sent, inputs.athletes(session, folder), kind="double", scale=2
-    )
+    messages_ = enrichment.publishable(inputs.results(session, folder))
+    dealt = messages_.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(count)))
     log = f"{path}/table"
     columns = f"{schemas.GROUP_AVERAGE}, batch_id bigint"
     session.createDataFrame([], columns).write.partitionBy("batch_id").parquet(log)
@@ -237,12 +234,32 @@ def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
     def publish(sent: DataFrame) -> None:
         sent.write.mode("append").parquet(f"{path}/averages")
 
-    out = enrichment.job(averages, f"{path}/checkpoint", publish, there, append, drain=True)
-    runner.finish(out.start())
+    for some in parts:
+        for part in some:
+            rows = dealt.filter(F.col("part") == part).drop("part").coalesce(1)
+            rows.write.mode("append").parquet(f"{path}/topic")
+        sent = stream_folder(session, f"{path}/topic", schemas.ENVELOPE, files_per_trigger=1)
+        averages = enrichment.running_averages(
+            sent, inputs.athletes(session, folder), kind="double", scale=2
+        )
+        out = enrichment.job(averages, f"{path}/checkpoint", publish, there, append, drain=True)
+        runner.finish(out.start())
     newest = sinks.latest(sinks.read_log(spark, log), GROUPS)
     return newest.select(*GROUPS, "avg_height", "avg_weight")
 
 
+@query("stream_enrich", ENRICHED_SQL)
+def stream_enrich(spark: SparkSession, folder: str) -> DataFrame:
+    """All messages at once."""
+    return _enriched(spark, folder, [[0]], 1)
+
+
+@query("stream_enrich_restart", ENRICHED_SQL)
+def stream_enrich_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches with a stop and a restart between them: averages go on from the state."""
+    return _enriched(spark, folder, [[0, 1], [2]], 3)
+
+
 @query(
     "stream_route",
     f"""
@@ -297,3 +314,110 @@ def stream_read_back(spark: SparkSession, folder: str) -> DataFrame:
     rows = enrichment.read_back(stream_folder(session, f"{path}/topic", schemas.ENVELOPE))
     _drain_to_files(rows.drop("calculation_time"), path)
     return spark.read.parquet(f"{path}/rows")
+
+
+# --- whole jobs -------------------------------------------------------------------------
+
+_MINUTES = """
+SELECT *, time_bucket(INTERVAL 30 SECOND, ts, TIMESTAMP '1970-01-01')
+          - k * INTERVAL 30 SECOND AS window_start
+FROM ({rows}) CROSS JOIN (VALUES (0), (1)) AS shift(k)"""
+
+
+@query(
+    "stream_alert_job",
+    f"""
+SELECT w.window_start, round(w.avg_temp, 6) AS avg_temp, l.code, l.message, 36 AS key_chars
+FROM (SELECT window_start, avg(temperature) AS avg_temp, avg(humidity) AS avg_humidity
+      FROM ({_MINUTES.format(rows=inputs.READINGS_SQL)}) GROUP BY 1) w
+JOIN ({inputs.FEW_LIMITS_SQL}) l
+  ON (w.avg_temp > l.temperature_min AND w.avg_temp < l.temperature_max)
+  OR (w.avg_humidity > l.humidity_min AND w.avg_humidity < l.humidity_max)
+WHERE w.window_start + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND""",
+)
+def stream_alert_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The alert job as it is shipped, its bus being a folder."""
+    path, session = scratch(spark, "alert-job"), stream_session(spark)
+    events = inputs.readings(_stream(session, folder, "events"))
+    sent = events.select(
+        F.to_json(
+            F.struct(
+                "sensor_id",
+                F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                "temperature",
+                "humidity",
+            )
+        ).alias("value")
+    )
+    (query_,) = sensor_alerts.job(
+        sent,
+        inputs.few_limits(session, folder),
+        f"{path}/checkpoint",
+        lambda out: runner.to_files(out, f"{path}/bus"),
+        drain=True,
+    )
+    runner.finish(query_.start())
+    held = session.read.parquet(f"{path}/bus")
+    shape = "window struct<start:timestamp,end:timestamp>, avg_temp double, code string, message string"
+    alerts = held.select(F.length("key").alias("key_chars"), F.from_json("value", shape).alias("m"))
+    return alerts.select(
+        times.utc_wall_clock(F.col("m.window.start")).alias("window_start"),
+        F.round("m.avg_temp", 6).alias("avg_temp"), "m.code", "m.message", "key_chars",
+    )
+
+
+@query(
+    "stream_routing_job",
+    f"""
+SELECT 'topic_' || symbol AS topic, count(*) AS messages, sum(trade_id) AS ids,
+       CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_price
+FROM ({inputs.TRADES_SQL}) WHERE symbol IS NOT NULL GROUP BY 1""",
+)
+def stream_routing_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The routing job as it is shipped, its bus being a folder per topic."""
+    path, session = scratch(spark, "routing-job"), stream_session(spark)
+    sent = inputs.wire_messages(_stream(session, folder, "events"))
+    out = trades.routing_job(
+        sent, f"{path}/checkpoint", lambda w: runner.to_files(w, f"{path}/bus", "topic"), drain=True
+    )
+    runner.finish(out.start())
+    held = session.read.parquet(f"{path}/bus")
+    back = held.select("topic", F.from_json("value", schemas.TRADE).alias("t"))
+    return back.groupBy("topic").agg(
+        F.count("*").alias("messages"),
+        F.sum("t.trade_id").cast("decimal(38,0)").alias("ids"),
+        F.sum(F.col("t.price").cast("decimal(18,2)")).cast("double").alias("total_price"),
+    )
+
+
+@query(
+    "stream_statistics_job",
+    f"""
+SELECT window_start, min(price) AS min_price, max(price) AS max_price, count(*) AS trade_count,
+       round(sum(quantity), 6) AS total_volume, quantile_disc(price, 0.5) AS p50
+FROM ({_MINUTES.format(rows=f"SELECT *, make_timestamp_ms(trade_time) AS ts FROM ({inputs.TRADES_SQL})")})
+GROUP BY 1""",
+)
+def stream_statistics_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The statistics job as it is shipped; the newest message of each window."""
+    path, session = scratch(spark, "statistics-job"), stream_session(spark)
+    normal = messages.encode(trades.normalised(inputs.wire_messages(_stream(session, folder, "events"))))
+    (query_,) = trades.statistics_job(
+        normal,
+        f"{path}/checkpoint",
+        lambda out: runner.to_batches(out, sinks.batch_folders(f"{path}/bus")),
+        drain=True,
+    )
+    runner.finish(query_.start())
+    shape = (
+        "window struct<start:timestamp,end:timestamp>, min_price double, max_price double, "
+        "trade_count bigint, total_volume double, price_percentiles array<double>"
+    )
+    held = sinks.read_log(spark, f"{path}/bus")
+    rows = held.select("batch_id", F.from_json("value", shape).alias("m")).select("batch_id", "m.*")
+    start = times.utc_wall_clock(F.col("window.start")).alias("window_start")
+    flat = rows.select(
+        "batch_id", start, "min_price", "max_price", "trade_count",
+        F.round("total_volume", 6).alias("total_volume"), F.col("price_percentiles")[1].alias("p50"),
+    )
+    return sinks.latest(flat, ["window_start"])
