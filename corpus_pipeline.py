@@ -26,7 +26,8 @@ LEAST_CHANCE = 0.3
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier, learnt from all labelled documents; rejected documents go."""
     model = nbsvm.fit(docs, table(spark, sf_dir, "labels"), F.lit(False))
-    return nbsvm.score(docs, model).where(F.col("score") >= LEAST_CHANCE).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")  # keeps a column named score
+    return nbsvm.score(rows, model).where(F.col("score") >= LEAST_CHANCE).select("row.*")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +41,15 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup; later copies of 100 bytes go, and characters that a cut parts.
     Documents of which nothing is left go."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    cut = suffixes.remove_repeats(docs, columns=others)
+    rest = F.struct(*(c for c in docs.columns if c not in ("doc_id", "text"))).alias("_rest")
+    cut = suffixes.remove_repeats(docs.select("doc_id", "text", rest), columns=("_rest",))
     text = F.when(F.size("spans") > 0, whole_characters(F.col("kept"))).otherwise(
         F.decode("kept", "utf-8")
     )
-    cut = cut.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
-    return cut.where((F.col("n_bytes") == 0) | (F.octet_length("kept") > 0)).select(*docs.columns)
+    cut = cut.where((F.col("n_bytes") == 0) | (F.octet_length("kept") > 0))
+    cut = cut.select("doc_id", text.alias("text"), "_rest")
+    given = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.char_length("text").cast("long")}
+    return cut.select(*(given.get(c, F.col("_rest")[c]).alias(c) for c in docs.columns))
 
 
 def whole_characters(kept):
@@ -75,17 +78,25 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: No stage but the join can be said in SQL; tests hold the pipeline against plain code.
+#: No stage but the join can be said in SQL; tests/llm/test_pipeline.py holds it against plain code.
 ORACLE_SQL = None
 
 
 @query("pipeline")
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``."""
+    """Applies the stages to ``documents``. Tables of stages that are done, or that a failure
+    leaves behind, are removed."""
     work = Workspace(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
-    for place, (_, stage) in enumerate(STAGES):
-        docs = work.keep(stage(spark, docs, sf_dir), f"stage-{place}")
-        if place:
-            work.remove(f"stage-{place - 1}")
+    held = None
+    try:
+        for place, (_, stage) in enumerate(STAGES):
+            docs = work.keep(stage(spark, docs, sf_dir), f"stage-{place}")
+            if held is not None:
+                work.remove(held)
+            held = f"stage-{place}"
+    except BaseException:
+        if held is not None:
+            work.remove(held)
+        raise
     return docs
