@@ -6,6 +6,8 @@ from itertools import product
 
 import compare
 import numpy as np
+import pyarrow as pa
+import pytest
 from conftest import SMALL
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -156,6 +158,71 @@ def test_classifier(spark):
     assert re.match("double", dict(nbsvm.score(frame, None).dtypes)["score"])
 
 
+TEXTS = ["the cat the cat", "BUY!! now 12", "", "é é é", "a", "the the the dog 99 ran", " \n", "x" * 300]
+
+
+def test_features_of_a_batch_are_those_of_each_text():
+    size = 1 << 12
+    doc, feature = nbsvm.features(pa.array([*TEXTS, None]), size)
+    for i, text in enumerate(TEXTS):
+        alone = nbsvm.features(pa.array([text]), size)[1]
+        assert feature[doc == i].tolist() == sorted(set(alone.tolist()))
+    assert not (doc == len(TEXTS)).any()
+    raw = "the cat the cat ".encode()
+    grams = {raw[i : i + 3] for i in range(len(raw) - 2)}
+    words, pairs, share = {"a"}, {"aa"}, {0}  # every word has one shape
+    assert (doc == 0).sum() <= len(grams) + len(words) + len(pairs) + len(share)
+    assert (doc == 0).sum() >= len(grams) - 1
+
+
+def test_ratios_by_counting(spark):
+    size = 1 << 12
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(rng.choice(["ab", "CD", "12", "e!"], rng.integers(0, 12))), int(rng.integers(0, 2)))
+            for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int").repartition(5)
+    seen = [(set(nbsvm.features(pa.array([t]), size)[1].tolist()), y) for i, t, y in rows if i % 5]
+    n = [sum(y == c for _, y in seen) for c in (0, 1)]
+    model = nbsvm.fit(frame, frame, frame.doc_id % 5 == 0, size=size)
+    for f in set().union(*(s for s, _ in seen)) | {7}:
+        share = [(sum(f in s for s, y in seen if y == c) + 1) / (n[c] + 2) for c in (0, 1)]
+        assert model.ratios[f] == pytest.approx(np.log(share[1] / share[0]))
+
+
+def test_dual_solution_against_a_plain_solver():
+    rng = np.random.default_rng(4)
+    size, n, cost = 30, 40, 0.7
+    ratios = rng.normal(size=size)
+    rows = [np.sort(rng.choice(size, rng.integers(1, 9), replace=False)) for _ in range(n)]
+    labels = (rng.random(n) < 0.4).astype(np.int64)
+    weights = nbsvm.descend(rows, labels, ratios, cost, rounds=3000)
+    x = np.zeros((n, size + 1))
+    for i, at in enumerate(rows):
+        x[i, at] = ratios[at] / np.linalg.norm(ratios[at])
+        x[i, size] = 1
+    signed = x * np.where(labels == 1, 1, -1)[:, None]
+    bound = cost * n / (2 * np.bincount(labels))[labels]
+    gram = signed @ signed.T
+    alpha, step = np.zeros(n), 1 / np.linalg.eigvalsh(gram)[-1]
+    for _ in range(100_000):  # projected gradients on the same dual
+        alpha = np.clip(alpha + step * (1 - gram @ alpha), 0, bound)
+
+    def loss(w):
+        return w @ w / 2 + (bound * np.maximum(0, 1 - signed @ w)).sum()
+
+    assert loss(weights) == pytest.approx(loss(alpha @ signed), rel=1e-4)
+    assert np.allclose(weights, alpha @ signed, atol=2e-2)
+
+
+def test_quality_of_very_long_texts(spark):
+    rows = [(i, f"good word{i} and more " * 20, 1) for i in range(20)] + [(50 + i, "BUY!! " * 50, 0) for i in range(20)]
+    rows += [(100, "good words and more " * 100_000, None), (101, "BUY!! " * 300_000, None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    model = nbsvm.fit(frame, frame, frame.doc_id < 0, size=4096)
+    got = {r.doc_id: r.score for r in nbsvm.score(frame, model, size=4096).collect()}
+    assert got[100] > 0.5 > got[101]
+
+
 def test_samples_are_bounded(spark, monkeypatch):
     rows = [(7, f"word{i} mail a{i}@b.de " + "and more " * 30 + f"ip 1.2.3.{i}", 1) for i in range(40)]
     rows += [(8, "BUY!! NOW!!", 0)]

@@ -26,6 +26,9 @@ FEATURES = 1 << 18
 #: Labelled rows that the model is fitted on, by the smallest hashes of their keys.
 SAMPLE_ROWS = 12_000
 
+#: Text whose features a task holds at once; they take some hundred times as much memory.
+PART_BYTES = 1 << 19
+
 COST = 1.0
 ROUNDS = 12
 SMOOTHING = 1.0
@@ -86,7 +89,7 @@ def features(column, size: int) -> tuple[np.ndarray, np.ndarray]:
 def count_batches(batches, size: int):
     """How many texts of either class have each feature, and how many texts there are."""
     counts = np.zeros(2 * size + 2, np.int64)
-    for part in tx.slices(batches):
+    for part in tx.slices(batches, most=PART_BYTES):
         label = part["label"].to_numpy().astype(np.int64)
         doc, feature = features(part["text"], size)
         counts += np.bincount(label[doc] * size + feature, minlength=2 * size + 2)
@@ -105,7 +108,7 @@ def log_ratios(counts: np.ndarray, size: int) -> np.ndarray:
 
 
 def feature_batches(batches, size: int):
-    for part in tx.slices(batches):
+    for part in tx.slices(batches, most=PART_BYTES):
         doc, feature = features(part["text"], size)
         cuts = np.searchsorted(doc, np.arange(part.num_rows + 1))
         yield pa.RecordBatch.from_arrays([
@@ -206,7 +209,7 @@ def score_batches(batches, shared, size: int):
     model = shared.value
     weight = model.ratios * model.weights[:size]
     square = model.ratios**2
-    for part in tx.slices(batches):
+    for part in tx.slices(batches, most=PART_BYTES):
         n = part.num_rows
         doc, feature = features(part["text"], size)
         norm = np.sqrt(tx.sums(doc, square[feature], n))
