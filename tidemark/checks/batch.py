@@ -635,7 +635,8 @@ def percentiles_shipped(spark: SparkSession, folder: str) -> DataFrame:
 
     def within(share: float, at: Column, error: float) -> Column:
         below, upto = (F.avg(hit.cast("double")) for hit in (value < at, value <= at))
-        return (below <= share + error) & (upto >= share - error)
+        off = F.lit(error) + 1 / F.count(value)  # a rank is a whole number of rows
+        return (below <= share + off) & (upto >= share - off)
 
     slack = windows.SKETCH_RANK_ERROR
     every = events.agg(
