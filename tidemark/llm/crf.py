@@ -517,7 +517,9 @@ def fit(labelled: DataFrame) -> Field | None:
         for a in range(0, len(rows), 4 * MARGIN):
             sequences.append(rows[a : a + 4 * MARGIN])
             tags.append(tag[a : a + 4 * MARGIN])
-    return train(sequences, tags) if sequences else None
+    field = train(sequences, tags) if sequences else None
+    tx.give_back()
+    return field
 
 
 def find(documents: DataFrame, field: Field | None, key: str = "doc_id", text: str = "text") -> DataFrame:

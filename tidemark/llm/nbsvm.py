@@ -250,7 +250,9 @@ def fit(
         .orderBy(F.xxhash64("id")).select("row.*")
         .mapInArrow(lambda b: feature_batches(b, size), "label int, features binary")
     )
-    return fit_sample(sample.toArrow(), ratios)  # at most sample_rows rows
+    model = fit_sample(sample.toArrow(), ratios)  # at most sample_rows rows
+    tx.give_back()
+    return model
 
 
 def score(

@@ -264,6 +264,7 @@ def pack(
     counts = np.zeros(length + 1, np.int64)
     counts[histogram["length"].to_numpy(np.int64)] = histogram["count"].to_numpy(np.int64)
     where = places(plan(counts), length)
+    tx.give_back()
 
     lanes = max(1, -(-int(counts.max()) // lane_rows))
     lane = F.pmod(F.xxhash64("id", "start", "ids_crc32"), F.lit(lanes)).cast("int")
