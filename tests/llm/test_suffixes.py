@@ -118,3 +118,25 @@ def test_query_on_whole_table(spark):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
            for r in QUERIES["op3_bwt_dedup"](spark, SMALL).collect()}
     assert got == want
+
+
+def letters(random, n):
+    return "".join(random.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+
+
+def test_short_stretches_that_repeat_within_themselves(spark):
+    """Only such a stretch holds its anchor, which lies behind a place divisible by 128."""
+    random = np.random.default_rng(5)
+    rows = [(i, letters(random, int(random.integers(0, 128))) + letters(random, 3) * 45)
+            for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(suffixes.remove_repeats(frame)) == plain([(i, t.encode()) for i, t in rows], 100)
+
+
+def test_texts_of_one_key_by_their_starts(spark):
+    """Under one key the passage nearer the front stays, whatever the texts' order."""
+    passage = letters(np.random.default_rng(6), 150)
+    rows = [(1, "a" * 40 + passage), (1, "b" + passage), (1, "c" * 20 + passage)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = found(suffixes.remove_repeats(frame))
+    assert got == [(1, 151, 0, rows[1][1].encode()), (1, 170, 1, b"c" * 20), (1, 190, 1, b"a" * 40)]

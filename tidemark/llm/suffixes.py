@@ -87,8 +87,14 @@ def sliding_min(values: np.ndarray, size: int) -> np.ndarray:
 
 def anchors(
     data: np.ndarray, offsets: np.ndarray, span: int, gram: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and anchor hash of every segment of all texts."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows and anchor hash of every segment of all texts, and
+    whether equal windows may lie within the segment.
+
+    Of equal hashes in a window the first one is the anchor, unless a place divisible by 128
+    lies behind it: then it is the first one from there on. Only in that case can a window and
+    an equal later one have the same anchor.
+    """
     found = []
     width = span - gram + 1
     ends = offsets[1:]
@@ -112,9 +118,17 @@ def anchors(
         new = np.flatnonzero((np.diff(start) != 1) | (np.diff(place) != 0)) + 1
         new = np.concatenate([[0], new])
         count = np.diff(np.append(new, len(start)))
-        found.append((start[new] + begin, count, order[place[new]] & ~np.uint64(127)))
+        first, place = start[new], place[new]
+        keys = order[place] & ~np.uint64(127)
+        again = np.zeros(len(new), bool)
+        across = np.flatnonzero((first < place & ~127) & (count > 1))
+        if len(across):
+            bounds = np.column_stack([first[across], place[across] & ~127]).ravel()
+            least = np.minimum.reduceat(order & ~np.uint64(127), bounds)[::2]
+            again[across] = least == keys[across]
+        found.append((first + begin, count, keys, again))
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.uint64, bool))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
@@ -126,7 +140,8 @@ def _sorted_block(table: pa.Table) -> pa.Table:
 @tx.lean
 def block_anchors(table: pa.Table, span: int, gram: int, buckets: int) -> pa.Table:
     """Anchor hashes of a block, each once with its count."""
-    _, _, keys = anchors(*tx.flat(_sorted_block(table)["text"]), span, gram)
+    _, _, keys, again = anchors(*tx.flat(_sorted_block(table)["text"]), span, gram)
+    keys = np.concatenate([keys, keys[again]])
     keys, counts = np.unique(keys, return_counts=True)
     counts = np.minimum(counts, 65535).astype(np.uint16)
     bucket = (keys >> np.uint64(33)).astype(np.int64) % buckets
@@ -178,7 +193,7 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
     order = np.argsort(known)
     known, hot = known[order], hot[order]
     data, offsets = tx.flat(table["text"])
-    start, count, keys = anchors(data, offsets, span, gram)
+    start, count, keys, _ = anchors(data, offsets, span, gram)
     at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
     hit = known[at] == keys
     start, count, keys, warm = start[hit], count[hit], keys[hit], hot[at[hit]]
@@ -195,8 +210,7 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
     ids = _ids(table)[row]
     start_in = start - offsets[row]
     code = _contents(data, start, size).dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    _, first, inverse = np.unique(code, return_index=True, return_inverse=True)
-    first = first[inverse]  # rows are sorted by id, so the first is the earliest
+    first = _earliest(code, ids, start_in)[code]
     early = (ids == ids[first]) & (start_in == start_in[first])
     content = _contents(data, start[early], size[early]).cast(pa.binary())
     place = np.full(len(start), -1, np.int64)
@@ -214,6 +228,12 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
     })
 
 
+def _earliest(code: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For every code, 0 and up, its row of smallest id and then start."""
+    order = np.lexsort((starts, ids, code))
+    return order[np.concatenate([[True], np.diff(code[order]) != 0])]
+
+
 def hash_bytes(data: np.ndarray) -> int:
     return int(window_hashes(data, len(data))[0])
 
@@ -383,8 +403,7 @@ def bucket_spans(table: pa.Table, span: int, shard_bytes: int) -> pa.Table:
     coded = tx.one_array(table["content"]).cast(pa.large_binary()).dictionary_encode()
     code = coded.indices.to_numpy()
     # the earliest occurrence of each distinct segment
-    order = np.lexsort((starts, ids, code))
-    lead = order[np.concatenate([[True], np.diff(code[order]) != 0])]
+    lead = _earliest(code, ids, starts)
     first = lead[code]
     is_first = (ids == ids[first]) & (starts == starts[first])
     data, bounds = tx.flat(coded.dictionary)
