@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -140,3 +141,20 @@ def test_texts_of_one_key_by_their_starts(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = found(suffixes.remove_repeats(frame))
     assert got == [(1, 151, 0, rows[1][1].encode()), (1, 170, 1, b"c" * 20), (1, 190, 1, b"a" * 40)]
+
+
+def test_common_passage_sends_few_rows():
+    """Windows of a hot anchor that occur once do not travel, copies of a passage as one row."""
+    random = np.random.default_rng(7)
+    passage, n = letters(random, 300), 200
+    table = pa.table({
+        "block": pa.array([0] * n, pa.int32()), "id": pa.array(range(n), pa.int64()),
+        "text": [letters(random, 200) + passage + letters(random, 200) for _ in range(n)],
+    })
+    again = suffixes.repeated_anchors(suffixes.block_anchors(table, 100, 40, 1), 100)
+    assert again["n_hot"].to_pylist()[0] > 0
+    windows = suffixes.repeated_anchors(suffixes.hot_windows(table, again, 100, 40, 1), 10**9)
+    windows = windows.set_column(2, "hot", pa.nulls(1, pa.binary()))
+    sent = suffixes.block_segments(table, pa.concat_tables([again, windows]), 100, 40, 8)
+    assert sent.num_rows <= 4 * n  # of about 320 windows in each text
+    assert sent["content"].null_count < 1.5 * n

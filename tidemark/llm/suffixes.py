@@ -5,7 +5,8 @@ bytes belongs to its anchor, the smallest hash of ``gram`` bytes inside it; equa
 anchors of equal hash. Neighbouring windows of one anchor form a segment.
 
 * Blocks of texts report the hashes of their anchors; hashes that occur once in all texts
-  cannot hold a repeat and go no further.
+  cannot hold a repeat and go no further. The windows of a very frequent anchor are reported
+  in the same way, one by one, and those that occur once go no further either.
 * The segments of the other anchors go to buckets by anchor, each block sending equal segments
   once. In a bucket the distinct segments are dealt into shards. A shard sorts the suffixes of
   its own segments and yields its transform.
@@ -41,7 +42,8 @@ SHARD_BYTES = 1 << 19
 BLOCKS_PER_BUCKET = 16
 
 #: Beyond so many occurrences the windows of an anchor travel one by one, each to the bucket
-#: of its own bytes, so that no bucket holds all surroundings of one common passage.
+#: of its own bytes, so that no bucket holds all surroundings of one common passage. Only
+#: windows that occur again travel, and a text's neighbouring windows without bytes as one row.
 HOT_ANCHOR = 50_000
 
 POWER = 0x9E3779B97F4A7C15
@@ -50,7 +52,7 @@ BYTE_HASH = np.random.Generator(np.random.PCG64(20_240_101)).integers(
 )
 
 ANCHORS = "bucket int, block int, keys binary, counts binary"
-REPEATED = "block int, keys binary, hot binary"
+REPEATED = "block int, keys binary, hot binary, n_hot int"
 SEGMENT = "bucket int, block int, row int, id long, start long, size int, content binary"
 GONE = "block int, row int, start long, size int"
 
@@ -141,14 +143,18 @@ def _sorted_block(table: pa.Table) -> pa.Table:
 def block_anchors(table: pa.Table, span: int, gram: int, buckets: int) -> pa.Table:
     """Anchor hashes of a block, each once with its count."""
     _, _, keys, again = anchors(*tx.flat(_sorted_block(table)["text"]), span, gram)
-    keys = np.concatenate([keys, keys[again]])
+    return _counted(np.concatenate([keys, keys[again]]), table["block"][0].as_py(), buckets)
+
+
+def _counted(keys: np.ndarray, block: int, buckets: int) -> pa.Table:
+    """The distinct keys of a block with their counts, by bucket."""
     keys, counts = np.unique(keys, return_counts=True)
     counts = np.minimum(counts, 65535).astype(np.uint16)
     bucket = (keys >> np.uint64(33)).astype(np.int64) % buckets
     groups = list(tx.blobs(np.argsort(bucket, kind="stable"), bucket))
     return pa.table({
         "bucket": pa.array([b for b, _ in groups], pa.int32()),
-        "block": pa.array([table["block"][0].as_py()] * len(groups), pa.int32()),
+        "block": pa.array([block] * len(groups), pa.int32()),
         "keys": pa.array([keys[at].tobytes() for _, at in groups], pa.binary()),
         "counts": pa.array([counts[at].tobytes() for _, at in groups], pa.binary()),
     })
@@ -168,9 +174,51 @@ def repeated_anchors(table: pa.Table, hot: int) -> pa.Table:
         "block": table["block"],
         "keys": pa.array([p[k].tobytes() for p, k in zip(parts, keep)], pa.binary()),
         "hot": pa.array([w[k].tobytes() for w, k in zip(warm, keep)], pa.binary()),
+        "n_hot": pa.array([int(w.sum()) for w in warm], pa.int32()),
     })
 
 
+def _known(repeated: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The keys that occur again, sorted, and which of them are hot."""
+    keys = [np.frombuffer(b, np.uint64) for b in repeated["keys"].to_pylist()]
+    hot = [np.frombuffer(b, bool) for b in repeated["hot"].to_pylist()]
+    keys = np.concatenate([np.empty(0, np.uint64), *keys])
+    order = np.argsort(keys)
+    return keys[order], np.concatenate([np.empty(0, bool), *hot])[order]
+
+
+def _among(keys: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are known, and the place of each."""
+    if len(known) == 0:
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return known[at] == keys, at
+
+
+def hashes_at(data: np.ndarray, starts: np.ndarray, span: int) -> np.ndarray:
+    """Hash of the window at each of the sorted starts."""
+    out = np.empty(len(starts), np.uint64)
+    cuts = np.searchsorted(starts, np.arange(0, len(data) + CHUNK, CHUNK))
+    for begin, a, b in zip(range(0, len(data), CHUNK), cuts, cuts[1:]):
+        if a < b:
+            part = window_hashes(data[begin : begin + CHUNK + span - 1], span)
+            out[a:b] = part[starts[a:b] - begin]
+    return out
+
+
+@tx.lean
+def hot_windows(table: pa.Table, repeated: pa.Table, span: int, gram: int, buckets: int) -> pa.Table:
+    """Hashes of the windows of a block's hot anchors, each once with its count."""
+    if table.num_rows == 0 or repeated.num_rows == 0:
+        return _counted(np.empty(0, np.uint64), 0, buckets)
+    known, hot = _known(repeated)
+    data, offsets = tx.flat(_sorted_block(table)["text"])
+    start, count, keys, _ = anchors(data, offsets, span, gram)
+    warm = _among(keys, known[hot])[0]
+    one = tx.ranges(start[warm], count[warm])
+    return _counted(hashes_at(data, one, span), table["block"][0].as_py(), buckets)
+
+
 def _contents(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return tx.as_strings(data[tx.ranges(starts, sizes)], np.concatenate([[0], np.cumsum(sizes)]))
 
@@ -178,7 +226,10 @@ def _contents(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Arr
 @tx.lean
 def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, buckets: int) -> pa.Table:
     """Segments of repeated anchors of a block: the first of equal ones with its bytes, the
-    later ones without, as they are removed whatever else is found."""
+    later ones without, as they are removed whatever else is found.
+
+    Rows of ``repeated`` without ``hot`` hold the windows of hot anchors that occur again.
+    """
     empty = pa.table({n: pa.array([], t) for n, t in (
         ("bucket", pa.int32()), ("block", pa.int32()), ("row", pa.int32()), ("id", pa.int64()),
         ("start", pa.int64()), ("size", pa.int32()), ("content", pa.binary()))})
@@ -186,25 +237,28 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
         return empty
     block = table["block"][0].as_py()
     table = _sorted_block(table)
-    known = np.concatenate([np.frombuffer(b, np.uint64) for b in repeated["keys"].to_pylist()])
-    hot = np.concatenate([np.frombuffer(b, bool) for b in repeated["hot"].to_pylist()])
-    if len(known) == 0:
-        return empty
-    order = np.argsort(known)
-    known, hot = known[order], hot[order]
+    apart = pc.is_null(repeated["hot"])
+    known, hot = _known(repeated.filter(pc.invert(apart)))
+    again = [np.frombuffer(b, np.uint64) for b in repeated.filter(apart)["keys"].to_pylist()]
     data, offsets = tx.flat(table["text"])
-    start, count, keys, _ = anchors(data, offsets, span, gram)
-    at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-    hit = known[at] == keys
-    start, count, keys, warm = start[hit], count[hit], keys[hit], hot[at[hit]]
+    start, count, keys, loop = anchors(data, offsets, span, gram)
+    hit, at = _among(keys, known)
+    if not hit.any():
+        return empty
+    start, count, keys, loop, warm = start[hit], count[hit], keys[hit], loop[hit], hot[at[hit]]
     if warm.any():  # windows one by one, by a hash of their bytes
         one = tx.ranges(start[warm], count[warm])
-        own = np.array([hash_bytes(data[s : s + span]) for s in one.tolist()], np.uint64)
+        own = hashes_at(data, one, span)
+        twice = _among(own, np.sort(np.concatenate([np.empty(0, np.uint64), *again])))[0]
+        one, own = one[twice], own[twice]
         start = np.concatenate([start[~warm], one])
         count = np.concatenate([count[~warm], np.ones(len(one), np.int64)])
         keys = np.concatenate([keys[~warm], own])
+        loop = np.concatenate([loop[~warm], np.zeros(len(one), bool)])
         place = np.argsort(start, kind="stable")
-        start, count, keys = start[place], count[place], keys[place]
+        start, count, keys, loop = start[place], count[place], keys[place], loop[place]
+    if len(start) == 0:
+        return empty
     size = count + span - 1
     row = np.searchsorted(offsets, start, "right") - 1
     ids = _ids(table)[row]
@@ -212,19 +266,26 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
     code = _contents(data, start, size).dictionary_encode().indices.to_numpy(zero_copy_only=False)
     first = _earliest(code, ids, start_in)[code]
     early = (ids == ids[first]) & (start_in == start_in[first])
+    # neighbours without bytes are one row
+    bare = np.flatnonzero(~early)
+    apart = np.diff(row[bare]) != 0
+    apart |= start[bare][1:] > (start + size)[bare][:-1]
+    head = np.concatenate([[True], apart]) if len(bare) else np.empty(0, bool)
+    last = bare[np.append(head[1:], True)] if len(bare) else bare
+    bare = bare[head]
+    size[bare] = start[last] + size[last] - start[bare]
     content = _contents(data, start[early], size[early]).cast(pa.binary())
-    place = np.full(len(start), -1, np.int64)
-    place[early] = np.arange(int(early.sum()))
-    index = pa.array(place, pa.int64(), mask=~early)
-    keys = np.where(early, keys, tx.mix(keys + start.astype(np.uint64)))  # anywhere
+    early = np.flatnonzero(early)
+    anywhere = tx.mix(keys[bare] + start[bare].astype(np.uint64))
+    keys, sent = np.concatenate([keys[early], anywhere]), np.concatenate([early, bare])
     return pa.table({
         "bucket": pa.array((keys >> np.uint64(20)).astype(np.int64) % buckets, pa.int32()),
-        "block": pa.array(np.full(len(start), block), pa.int32()),
-        "row": pa.array(row, pa.int32()),
-        "id": pa.array(ids, pa.int64()),
-        "start": pa.array(start_in, pa.int64()),
-        "size": pa.array(size, pa.int32()),
-        "content": content.take(index),
+        "block": pa.array(np.full(len(sent), block), pa.int32()),
+        "row": pa.array(row[sent], pa.int32()),
+        "id": pa.array(ids[sent], pa.int64()),
+        "start": pa.array(start_in[sent], pa.int64()),
+        "size": pa.array(size[sent], pa.int32()),
+        "content": pa.concat_arrays([content, pa.nulls(len(bare), pa.binary())]),
     })
 
 
@@ -234,10 +295,6 @@ def _earliest(code: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarr
     return order[np.concatenate([[True], np.diff(code[order]) != 0])]
 
 
-def hash_bytes(data: np.ndarray) -> int:
-    return int(window_hashes(data, len(data))[0])
-
-
 def _ids(table: pa.Table) -> np.ndarray:
     """Ids as numbers; a null comes before all others."""
     low = np.iinfo(np.int64).min
@@ -510,12 +567,22 @@ def remove_repeats(
     whole, table = table, table.drop("rest")
     kind = table.schema["id"].dataType.simpleString()
     buckets = max(32, count // BLOCKS_PER_BUCKET)
+
+    def again(found: DataFrame, most: int, name: str) -> DataFrame:
+        grouped = found.groupBy("bucket")
+        return work.keep(grouped.applyInArrow(lambda t: repeated_anchors(t, most), REPEATED), name)
+
     found = table.groupBy("block").applyInArrow(
         lambda t: block_anchors(t, span, gram, buckets), ANCHORS
     )
-    repeated = work.keep(
-        found.groupBy("bucket").applyInArrow(lambda t: repeated_anchors(t, hot), REPEATED), "repeated"
-    )
+    repeated = again(found, hot, "repeated")
+    warm = repeated.filter("n_hot > 0")
+    if not warm.isEmpty():
+        found = table.groupBy("block").cogroup(warm.groupBy("block")).applyInArrow(
+            lambda t, r: hot_windows(t, r, span, gram, buckets), ANCHORS
+        )
+        windows = again(found, 1 << 62, "windows").withColumn("hot", F.lit(None).cast("binary"))
+        repeated = repeated.unionByName(windows)
     segments = table.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
         lambda t, r: block_segments(t, r, span, gram, max(32, 2 * count)), SEGMENT
     )
