@@ -8,8 +8,8 @@ anchors of equal hash. Neighbouring windows of one anchor form a segment.
   cannot hold a repeat and go no further. The windows of a very frequent anchor are reported
   in the same way, one by one, and those that occur once go no further either.
 * The segments of the other anchors go to buckets by anchor, each block sending equal segments
-  once. In a bucket the distinct segments are dealt into shards. A shard sorts the suffixes of
-  its own segments and yields its transform.
+  once. In a bucket the distinct segments that share their anchor with another one are dealt
+  into shards. A shard sorts the suffixes of its own segments and yields its transform.
 * Transforms are merged by refining their interleave: after step h the rows of all shards lie
   in blocks of equal first h bytes. The next step follows each row's preceding byte. A block
   with rows of one shard only is settled, its common prefixes being those the shard knows, and
@@ -32,8 +32,9 @@ from tidemark.llm.workspace import BLOCK_BYTES, Workspace, blocked
 SPAN = 100
 GRAM = 40
 
-#: Window starts that are hashed at once; a multiple of 128.
-CHUNK = 1 << 20
+#: Window starts that are hashed at once, so that they stay in the processor's cache; a multiple
+#: of 128.
+CHUNK = 1 << 16
 
 #: Bytes of segments in one shard.
 SHARD_BYTES = 1 << 19
@@ -53,7 +54,7 @@ BYTE_HASH = np.random.Generator(np.random.PCG64(20_240_101)).integers(
 
 ANCHORS = "bucket int, block int, keys binary, counts binary"
 REPEATED = "block int, keys binary, hot binary, n_hot int"
-SEGMENT = "bucket int, block int, row int, id long, start long, size int, content binary"
+SEGMENT = "bucket int, anchor int, block int, row int, id long, start long, size int, content binary"
 GONE = "block int, row int, start long, size int"
 
 
@@ -229,9 +230,11 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
     later ones without, as they are removed whatever else is found.
 
     Rows of ``repeated`` without ``hot`` hold the windows of hot anchors that occur again.
+    ``anchor`` tells anchors apart, and is below 0 where equal windows may lie within the
+    segment.
     """
     empty = pa.table({n: pa.array([], t) for n, t in (
-        ("bucket", pa.int32()), ("block", pa.int32()), ("row", pa.int32()), ("id", pa.int64()),
+        ("bucket", pa.int32()), ("anchor", pa.int32()), ("block", pa.int32()), ("row", pa.int32()), ("id", pa.int64()),
         ("start", pa.int64()), ("size", pa.int32()), ("content", pa.binary()))})
     if table.num_rows == 0 or repeated.num_rows == 0:
         return empty
@@ -278,8 +281,11 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
     early = np.flatnonzero(early)
     anywhere = tx.mix(keys[bare] + start[bare].astype(np.uint64))
     keys, sent = np.concatenate([keys[early], anywhere]), np.concatenate([early, bare])
+    anchor = (keys & np.uint64((1 << 38) - 1)) >> np.uint64(7)
+    anchor = anchor.astype(np.int32)
     return pa.table({
         "bucket": pa.array((keys >> np.uint64(20)).astype(np.int64) % buckets, pa.int32()),
+        "anchor": pa.array(np.where(loop[sent], ~anchor, anchor), pa.int32()),
         "block": pa.array(np.full(len(sent), block), pa.int32()),
         "row": pa.array(row[sent], pa.int32()),
         "id": pa.array(ids[sent], pa.int64()),
@@ -463,8 +469,17 @@ def bucket_spans(table: pa.Table, span: int, shard_bytes: int) -> pa.Table:
     lead = _earliest(code, ids, starts)
     first = lead[code]
     is_first = (ids == ids[first]) & (starts == starts[first])
-    data, bounds = tx.flat(coded.dictionary)
-    segment, offset, interval = repeated_intervals(data, np.diff(bounds), span, shard_bytes)
+    # a segment alone with its anchor has its windows from no other one
+    anchor = table["anchor"].to_numpy()[lead]
+    _, inverse, counts = np.unique(
+        np.where(anchor < 0, ~anchor, anchor), return_inverse=True, return_counts=True
+    )
+    met = np.flatnonzero((counts[inverse] > 1) | (anchor < 0))
+    data, bounds = tx.flat(coded.dictionary.take(pa.array(met)))
+    segment = offset = interval = np.empty(0, np.int64)
+    if len(met):
+        segment, offset, interval = repeated_intervals(data, np.diff(bounds), span, shard_bytes)
+        segment = met[segment]
     # the earliest start of each interval
     distinct_ids, id_rank = np.unique(ids[lead], return_inverse=True)
     start_of = starts[lead][segment] + offset
