@@ -323,3 +323,21 @@ def test_all_queries_stop_when_one_fails(session, tmp_path):
     with pytest.raises(Exception, match="sink is down"):
         runner.run_until_one_ends(session, [good, bad])
     assert session.streams.active == []
+
+
+def test_a_stream_is_not_broadcast_to_its_lookup_table(spark, tmp_path):
+    """Plans of the micro-batches: the table is broadcast while small, the rows never are."""
+    from tidemark.operators.joins import lookup_join
+
+    spark.range(1000).selectExpr("id % 3 AS k", "id AS n").write.parquet(str(tmp_path / "in"))
+    many = spark.range(50_000).selectExpr("id % 3 AS k", "cast(id AS string) AS t")
+    many.write.parquet(str(tmp_path / "table"))  # few rows from a file larger than the stream's
+    table = spark.read.parquet(str(tmp_path / "table")).groupBy("k").agg(F.max("t").alias("t"))
+    stream = spark.readStream.schema("k long, n long").parquet(str(tmp_path / "in"))
+    out = lookup_join(stream, table, "k").writeStream.format("parquet").trigger(availableNow=True)
+    query = out.option("checkpointLocation", str(tmp_path / "check")).start(str(tmp_path / "out"))
+    query.awaitTermination()
+    text = query._jsq.explainInternal(False)
+    assert "BuildRight" in text and "BuildLeft" not in text and "SortMergeJoin" not in text
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.where("t IN ('9999', '49999', '9998', '9997')").count() == got.count() == 1000

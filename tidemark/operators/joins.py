@@ -91,12 +91,15 @@ def lookup_join(
     """Join against a reference table whose measured size decides the way.
 
     Within the limits the table is broadcast and ``rows`` are not shuffled. Beyond them
-    the rows are joined with their hot keys spread. A stream is joined without a hint:
-    Spark plans every micro-batch anew by the size the table has then, and a micro-batch
-    is bounded by its intake rate.
+    the rows are joined with their hot keys spread. On a stream the table is measured when
+    the query is built, so at every restart; without the hint Spark may broadcast the
+    micro-batch instead and join all of it in the few tasks that hold the table. Beyond the
+    limits, and where the table is a stream too, a stream is joined without a hint.
     """
-    if rows.isStreaming:
+    if rows.isStreaming and (table.isStreaming or not measure(table).fits(**limits)):
         return rows.join(table, on, how)
+    if rows.isStreaming:
+        return rows.join(F.broadcast(table), on, how)
     if measure(table).fits(**limits):
         return rows.join(F.broadcast(table), on, how)
     return hot_key_join(rows, table, on, how)
