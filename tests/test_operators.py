@@ -331,6 +331,48 @@ def test_stream_levels_give_the_same_pairs(spark, tmp_path):
     assert rows(got, "id", "code") == rows(ranges.match_rules(source, table, HALVES, list_rows=100), "id", "code")
 
 
+@pytest.mark.parametrize("halves", [1, 2])
+def test_totals_of_rules_equal_those_of_pairs(spark, halves):
+    """Counted in many small pieces, with hot, missing and odd values and rules of one group."""
+    rng = random.Random(3)
+    odd = [None, math.inf, -math.inf, math.nan, 0.0, -0.0, 1e300]
+
+    def value():
+        return rng.choice(odd) if rng.random() < 0.1 else round(rng.uniform(-20, 20), 1)
+
+    readings = [(i, value(), rng.choice([5.0, float(rng.randrange(9)), value()])) for i in range(400)]
+    limits = []
+    for i in range(150):
+        t, h = value(), value()
+        limits.append((
+            t, t if t is None else t + rng.choice([0.1, 3.0, 30.0]), h, rng.choice([value(), math.inf]),
+            rng.choice([None, f"r{i % 90}"]),
+        ))
+    readings = spark.createDataFrame(readings, "id int, t double, h double")
+    limits = spark.createDataFrame(limits, LIMITS)
+    totals = ranges.Totals("code", "n", {"first": "id"}, {"last": "id", "top": "t"})
+    way = {"list_rows": 0, "totals": totals}
+    pairs = ranges.match_rules(readings, limits, HALVES[:halves], **way)
+    counted = ranges.match_rules(readings, limits, HALVES[:halves], most_pairs=0, **way)
+    cut = ranges.rule_totals(
+        readings, limits, HALVES[:halves], totals, piece_values=7, sweep_rows=20, max_rows=0
+    )
+    want = repr(rows(pairs))  # NaN is not equal to itself
+    assert "r1" in want and repr(rows(counted)) == want and repr(rows(cut)) == want
+
+
+def test_many_rules_are_totalled_without_their_pairs(spark):
+    """Every reading is within every rule: 400 million pairs."""
+    readings = spark.range(20_000).selectExpr("CAST(id AS INT) AS id", "rand(1) AS t", "rand(2) AS h")
+    limits = spark.range(20_000).selectExpr(
+        "-1.0 - id AS tmin", "2.0D AS tmax", "-1.0D AS hmin", "2.0 + id AS hmax", "CAST(id % 3 AS STRING) AS code"
+    )
+    totals = ranges.Totals("code", "n", {"first": "id"})
+    found = ranges.match_rules(readings, limits, HALVES, totals=totals)
+    assert "SortMergeJoin [_half" not in plan(found) and "_look" not in plan(found)
+    assert rows(found) == [("0", 6667 * 20_000, 0), ("1", 6667 * 20_000, 0), ("2", 6666 * 20_000, 0)]
+
+
 def test_no_rules_give_no_alerts(spark):
     readings = spark.createDataFrame([(1, 1.0, 1.0)], "id int, t double, h double")
     limits = spark.createDataFrame([(None, 1.0, 5.0, 2.0, "x")], LIMITS)

@@ -710,13 +710,13 @@ def alerts_many_rules(spark: SparkSession, folder: str) -> DataFrame:
         ranges.Bounds("temperature", "temperature_min", "temperature_max"),
         ranges.Bounds("humidity", "humidity_min", "humidity_max"),
     )
-    found = ranges.match_rules(
-        inputs.readings(_events(spark, folder)), inputs.many_limits(spark, folder), halves
-    )
-    return found.groupBy("code").agg(
-        F.count("*").alias("alerts"),
-        F.min("sensor_id").alias("first_sensor"),
-        F.max("temperature").alias("max_temp"),
+    return ranges.match_rules(
+        inputs.readings(_events(spark, folder)),
+        inputs.many_limits(spark, folder),
+        halves,
+        totals=ranges.Totals(
+            "code", "alerts", {"first_sensor": "sensor_id"}, {"max_temp": "temperature"}
+        ),
     )
 
 

@@ -10,11 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.joins import hot_key_join
+from tidemark.operators.rule_totals import Totals, countable, rule_totals
 from tidemark.operators.sizing import HOT_ROWS, Size, measure
 
 # Up to here comparing every row with every rule is cheaper than building cells.
 LIST_ROWS = 64
 
+# Totals come from pairs while rows times rules are no more; beyond that they are counted.
+TOTALS_OF_PAIRS = 1 << 26
+
 # Cell sizes are powers of two between these exponents; rules without an end share one cell.
 FINEST, COARSEST = -100, 1000
 
@@ -44,6 +48,8 @@ def match_rules(
     halves: Sequence[Bounds],
     list_rows: int = LIST_ROWS,
     hot_rows: int = HOT_ROWS,
+    totals: Totals | None = None,
+    most_pairs: int = TOTALS_OF_PAIRS,
     **limits: int,
 ) -> DataFrame:
     """One row per (row, rule) where at least one of ``halves`` holds.
@@ -60,9 +66,19 @@ def match_rules(
     the size they have then. Every way gives the same pairs; ``Bounds.holds`` decides on the
     values as they are.
 
+    With ``totals`` the pairs are summed up per group of rules. Where rows times rules exceed
+    ``most_pairs``, number ranges are counted without building the pairs (``rule_totals``).
+
     A pair that several halves find counts for the first of them only, so it appears once
     and equal rows stay apart.
     """
+    if totals:
+        if countable(rows, rules, halves):
+            count = rules.count()
+            if count > list_rows and count * rows.count() > most_pairs:
+                return rule_totals(rows, rules, halves, totals, **limits)
+        pairs = match_rules(rows, rules, halves, list_rows, hot_rows, **limits)
+        return totals.of_pairs(pairs)
     if rows.isStreaming:
         return _match_by_cells(rows, rules, halves, False, hot_rows)
     size = measure(rules)
