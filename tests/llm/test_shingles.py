@@ -121,3 +121,26 @@ def test_query_on_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
     got = sorted(tuple(r) for r in QUERIES["op7_signature_tree_join"](spark, SMALL).collect())
     assert got == plain(rows, 5, 75)
+
+
+def test_rounds_of_components_write_files_by_their_links(spark):
+    """Not one per shuffle partition: a few thousand links are one file."""
+
+    class Counting(Workspace):
+        def keep(self, frame, name):
+            kept = super().keep(frame, name)
+            files.append(len(kept.inputFiles()))
+            return kept
+
+    files = []
+    given = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in given}
+    links = spark.range(2000).selectExpr("id AS a", "id + 1 - id % 5 AS b")
+    try:
+        for name, value in given.items():
+            spark.conf.set(name, value)
+        found = components(Counting(spark, "test"), links, "c", 2000)
+        assert found.count() == 2000 and len(files) > 2 and max(files) == 1
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -9,20 +9,25 @@ from tidemark.llm.workspace import Workspace
 
 MOST_ROUNDS = 60
 
+#: Links that one file of a round holds on average. A local store starts a process for the rights
+#: of every file, which for a moment counts as large as its executor.
+LINKS_PER_FILE = 1 << 14
 
-def components(work: Workspace, links: DataFrame, name: str) -> DataFrame:
+
+def components(
+    work: Workspace, links: DataFrame, name: str, most: int | None = None
+) -> DataFrame:
     """(node, root) for every node of the links (a, b); the root is the smallest node reached.
 
     Alternates two steps that hang the neighbours of a node on its smallest neighbour: first
     the larger ones, then the smaller ones. Rounds grow with the logarithm of the nodes. Each
-    round is a written table; the driver sees two sums per round.
+    round is a written table, in files by the number of links of the round before; the driver
+    sees two sums per round. ``most`` says how many links there are at most, if that is known.
     """
-    now = work.keep(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .where("a <> b").distinct(),
-        f"{name}-0",
-    )
-    before = None
+    links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = links.where("a <> b").distinct()
+    now = work.keep(links if most is None else links.coalesce(_files(most)), f"{name}-0")
+    before, files = None, _files(now.count())
     for round_ in range(1, MOST_ROUNDS):
         both = now.select("a", "b").union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.min("b").alias("low"))
@@ -33,7 +38,7 @@ def components(work: Workspace, links: DataFrame, name: str) -> DataFrame:
         large = large.union(low.where("a > low")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a").where("b > low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        new = work.keep(small.union(low).distinct(), f"{name}-{round_}")
+        new = work.keep(small.union(low).distinct().coalesce(files), f"{name}-{round_}")
         work.remove(f"{name}-{round_ - 1}")
         now = new
         state = now.agg(
@@ -41,8 +46,13 @@ def components(work: Workspace, links: DataFrame, name: str) -> DataFrame:
         ).first()
         if state == before:
             break
-        before = state
+        before, files = state, _files(state["n"])
     else:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    tops = roots.select(F.col("root").alias("node"), "root").distinct()
+    return roots.union(tops.coalesce(files))
+
+
+def _files(links: int) -> int:
+    return max(1, -(-links // LINKS_PER_FILE))

@@ -379,7 +379,7 @@ def join(
     left = met.join(able, "node", "left_semi")
     low = left.groupBy("shingle").agg(F.min("node").alias("b"))
     touching = left.join(low, "shingle").select(F.col("node").alias("a"), "b").distinct()
-    families = work.keep(components(work, touching, "families"), "family")
+    families = work.keep(components(work, touching, "families", met.count()), "family")
     work.remove("met")
 
     # one document of each candidate node brings the set, to each pair of parts it is in
