@@ -1,5 +1,6 @@
 """Packing against the tokenizer library and the rules of a packing."""
 
+import gc
 import zlib
 from collections import defaultdict
 
@@ -9,6 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm import packing
+from tidemark.llm import texts as tx
 from tidemark.llm.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -100,3 +102,17 @@ def test_least_squares_matches_a_small_exact_case():
     found = {tuple(r): a for r, a in zip(rows.tolist(), amount)}
     assert found[6, 4, 0] == pytest.approx(10, abs=0.2)
     assert found[5, 5, 0] == pytest.approx(8, abs=4.1)
+
+
+def test_a_worker_drops_what_a_former_operator_kept():
+    rows = pa.record_batch({"id": pa.array([1], pa.int64()), "text": ["some words"]})
+
+    def held():
+        gc.collect()
+        return sum(isinstance(o, packing.Ids) for o in gc.get_objects())
+
+    for _ in range(2):  # kept from task to task
+        list(packing.cut_batches(iter([rows]), packing.default_tokenizer(), 2048, 1))
+    assert held() == 1
+    list(tx.slices(iter([rows])))
+    assert held() == 0

@@ -3,11 +3,12 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm import shingles
+from tidemark.llm import nbsvm, shingles
 from tidemark.llm.components import components
 from tidemark.llm.queries import QUERIES
 from tidemark.llm.workspace import Workspace
@@ -144,3 +145,30 @@ def test_rounds_of_components_write_files_by_their_links(spark):
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def test_counts_of_a_task_travel_in_small_rows(spark):
+    words = [f"{a} {a * 7} {a % 5}" for a in range(400)]
+    rows = pa.record_batch({"label": pa.array([a % 2 for a in range(400)], pa.int32()), "text": words,
+                            "id": pa.array(range(400), pa.int64())})
+    found = list(nbsvm.count_batches(iter([rows]), nbsvm.FEATURES))
+    found += list(shingles.sign_batches(iter([rows]), 5, shingles.CELLS, pa.int64()))
+    sizes = [len(blob.as_py() or b"") for batch in found for blob in batch["counts"]]
+    assert 0 < max(sizes) <= 1 << 14  # were tables of 4 and 2 MiB, all in one batch of a later task
+
+
+@pytest.mark.parametrize("cells", [1, 2048, 2 * 2048 + 2])
+def test_cells_of_all_tasks_are_added(spark, cells):
+    def count(batches):
+        for batch in batches:
+            for at in batch["id"].to_pylist():
+                counts = np.zeros(cells, np.int64)
+                counts[[at * 997 % cells, cells - 1]] += at
+                yield shingles.cell_pieces(counts)
+
+    rows = spark.range(0, 50, numPartitions=7).mapInArrow(count, shingles.CELL_PIECE)
+    want = np.zeros(cells, np.int64)
+    for at in range(50):
+        want[list({at * 997 % cells, cells - 1})] += at
+    assert shingles.counted_cells(rows, cells).tolist() == want.tolist()
+    assert not shingles.counted_cells(rows.limit(0), cells).any()

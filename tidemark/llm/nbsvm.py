@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import texts as tx
-from tidemark.llm.shingles import counted_cells
+from tidemark.llm.shingles import CELL_PIECE, cell_pieces, counted_cells
 
 #: Hashed features; the ratios and weights are 2 MiB each, whatever the input.
 FEATURES = 1 << 18
@@ -94,8 +94,7 @@ def count_batches(batches, size: int):
         doc, feature = features(part["text"], size)
         counts += np.bincount(label[doc] * size + feature, minlength=2 * size + 2)
         counts[-2:] += np.bincount(label, minlength=2)
-    if counts[-2:].any():
-        yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], names=["counts"])
+    yield cell_pieces(counts)
 
 
 def log_ratios(counts: np.ndarray, size: int) -> np.ndarray:
@@ -239,7 +238,7 @@ def fit(
     source = documents.select(F.col(key).alias("id"), F.col(text).alias("text"))
     # Both sides are dealt by key at every size; neither is taken for small.
     rows = source.join(known.hint("merge"), "id").select("text", "label")
-    counts = counted_cells(rows.mapInArrow(lambda b: count_batches(b, size), "counts binary"), 2 * size + 2)
+    counts = counted_cells(rows.mapInArrow(lambda b: count_batches(b, size), CELL_PIECE), 2 * size + 2)
     if not counts[-2:].any():
         return None
     ratios = log_ratios(counts, size)

@@ -17,7 +17,6 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -82,15 +81,10 @@ class Ids:
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
 
-@lru_cache(maxsize=2)
-def _memory(path: str) -> Ids:
-    return Ids(path)
-
-
 def cut_batches(batches, path: str, length: int, end_id: int):
     """The pieces of every text: full sequences first, the rest last."""
-    memory = _memory(path)
-    for part in tx.slices(batches):
+    memory = tx.kept(("packing", path), lambda: Ids(path))
+    for part in tx.slices(batches, keeps=("packing", path)):
         ids, counts = memory.batch(part["text"])
         end = np.cumsum(counts + 1)
         every = np.full(int(end[-1]), end_id, "<u4")

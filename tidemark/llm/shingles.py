@@ -32,20 +32,24 @@ from tidemark.llm.workspace import Workspace, block_count
 WORDS = 5
 PERCENT = 75
 
-#: Cells in which occurrences are counted; 1 MiB, whatever the input.
+#: Cells in which occurrences are counted; 2 MiB, whatever the input.
 CELLS = 1 << 18
 
+#: Cells of one row on their way from the tasks to the driver; 16 KiB.
+PIECE_CELLS = 1 << 11
+
 #: Text whose rare shingles one bucket takes.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 #: Nodes of a family that one task takes from either side.
 PART_NODES = 2048
 
 LEAF = 32
-FLUSH_BYTES = 24 << 20
+FLUSH_BYTES = 8 << 20
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
-SIGN = "kind int, id {id}, n_shingles long, node long, counts binary"
+SIGN = "kind int, id {id}, n_shingles long, node long, piece int, counts binary"
+CELL_PIECE = "piece int, counts binary"
 POSTING = "bucket int, hashes binary, nodes binary"
 MET = "shingle long, node long"
 MEMBER = "family long, parts int, node long, shingles binary"
@@ -91,7 +95,7 @@ def _cell(hashes: np.ndarray, cells: int) -> np.ndarray:
 def sign_batches(batches, words: int, cells: int, id_type):
     """A row per document with its node, and the counted cells of all of them."""
     counts = np.zeros(cells, np.int64)
-    names = ["kind", "id", "n_shingles", "node", "counts"]
+    names = ["kind", "id", "n_shingles", "node", "piece", "counts"]
     for part in tx.slices(batches):
         sets = shingle_sets(part["text"], words)
         counts += np.bincount(_cell(np.concatenate(sets), cells), minlength=cells)
@@ -101,32 +105,42 @@ def sign_batches(batches, words: int, cells: int, id_type):
             tx.one_array(part["id"]),
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
-            pa.nulls(n, pa.binary()),
+            pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
         ], names=names)
-    if counts.any():
+    pieces = cell_pieces(counts)
+    n = pieces.num_rows
+    if n:
         yield pa.RecordBatch.from_arrays([
-            pa.array([1], pa.int32()), pa.nulls(1, id_type), pa.nulls(1, pa.int64()),
-            pa.nulls(1, pa.int64()), pa.array([counts.tobytes()], pa.binary()),
+            pa.array([1] * n, pa.int32()), pa.nulls(n, id_type), pa.nulls(n, pa.int64()),
+            pa.nulls(n, pa.int64()), *pieces.columns,
         ], names=names)
 
 
-def add_cells(batches):
-    total = None
-    for batch in batches:
-        for blob in batch["counts"].to_pylist():
-            one = np.frombuffer(blob, np.int64)
-            total = one.copy() if total is None else total + one
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["counts"])
+def cell_pieces(counts: np.ndarray) -> pa.RecordBatch:
+    """A task's counted cells in pieces; those without a count are left out."""
+    parts = [counts[a : a + PIECE_CELLS] for a in range(0, len(counts), PIECE_CELLS)]
+    some = [i for i, part in enumerate(parts) if part.any()]
+    return pa.RecordBatch.from_arrays([
+        pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary()),
+    ], names=["piece", "counts"])
+
+
+def add_piece(table: pa.Table) -> pa.Table:
+    total = 0
+    for blob in table["counts"]:
+        total = total + np.frombuffer(blob.as_buffer(), np.int64)
+    return pa.table({
+        "piece": table["piece"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary()),
+    })
 
 
 def counted_cells(rows: DataFrame, cells: int) -> np.ndarray:
-    """Sums the cells of all tasks in two rounds; 4 tables of cells come to the driver."""
-    for parts in (256, 4):
-        rows = rows.repartition(parts).mapInArrow(add_cells, "counts binary")
+    """Sums the cells of all tasks, piece by piece; one table of cells comes to the driver."""
+    added = rows.groupBy("piece").applyInArrow(lambda t: add_piece(t), CELL_PIECE)
     total = np.zeros(cells, np.int64)
-    for row in rows.collect():
-        total += np.frombuffer(row.counts, np.int64)
+    for row in added.collect():
+        one = np.frombuffer(row.counts, np.int64)
+        total[row.piece * PIECE_CELLS :][: len(one)] = one
     tx.give_back()
     return total
 
@@ -363,7 +377,7 @@ def join(
         source.mapInArrow(lambda b: sign_batches(b, words, cells, arrow_type), SIGN.format(id=id_type)),
         "signs",
     )
-    cell_rows = signs.where("kind = 1").select("counts")
+    cell_rows = signs.where("kind = 1").select("piece", "counts")
     counts = spark.sparkContext.broadcast(counted_cells(cell_rows, cells))
     signs = signs.where("kind = 0").select("id", "n_shingles", "node")
 
