@@ -37,6 +37,60 @@ def test_odd_searches(spark):
     assert bm25.search(documents.limit(0), queries).count() == 0
 
 
+def some_texts(count):
+    rng = np.random.default_rng(3)
+    words = [f"w{int(i)}" for i in range(90)]
+    return [" ".join(rng.choice(words, rng.integers(1, 90))) for _ in range(count)]
+
+
+def test_parts_and_passes_change_no_row(spark):
+    texts = some_texts(300)
+    rows = [(i % 290, t) for i, t in enumerate(texts)] + [(None, texts[20]), (400, None), (401, texts[40])]
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    asked = [(i, t) for i, t in rows if i is None or i % 20 == 0] + [(20, texts[3]), (None, "w1 w2")]
+    queries = spark.createDataFrame(asked, "item_id long, text string")
+    once = bm25.search(documents, queries, k=3).collect()
+    many = bm25.search(documents, queries, k=3, shard_bytes=100, query_bytes=3000).collect()
+    assert len(once) == 3 * len({i for i, t in asked if t}) > 40
+    assert sorted(map(tuple, many), key=repr) == sorted(map(tuple, once), key=repr)
+
+
+def test_terms_are_counted_once_for_all_passes(spark, tmp_path):
+    texts, seen = some_texts(40), str(tmp_path / "seen")
+
+    def scan(batches):
+        with open(seen, "a") as file:
+            file.write("x")
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"], pa.array([texts[i] for i in batch["id"].to_pylist()])], names=["doc_id", "text"])
+
+    documents = spark.range(0, 40, numPartitions=1).mapInArrow(scan, "doc_id long, text string")
+    queries = spark.createDataFrame(list(enumerate(texts[:12])), "item_id long, text string")
+    size = sum(len(t) + 64 for t in texts[:12])
+    assert bm25.search(documents, queries, query_bytes=-(-size // 3)).count() == 120
+    with open(seen) as file:
+        assert len(file.read()) == 1 + 3  # twice a pass before
+
+
+def test_only_documents_that_reach_a_known_score_leave_a_shard():
+    texts = some_texts(60)
+    rows = pa.record_batch({"id": pa.array(range(60), pa.int64()), "text": texts})
+
+    class Shared:
+        value = bm25.Queries(pa.array([0, 1], pa.int64()), pa.array([texts[0], "w3 w4 w5"]))
+
+    def found(least):
+        count = np.ones(len(Shared.value.terms))
+        out = bm25.search_batches(iter([rows]), Shared, count, 600, 30_000, 5, 8, 1000, np.array(least))
+        return sorted((r["query"], -r["score"], r["id"]) for batch in out for r in batch.to_pylist())
+
+    every = found([0.0, 0.0])
+    fifth = [-[r for r in every if r[0] == q][4][1] for q in (0, 1)]
+    assert found(fifth) == [r for r in every if -r[1] >= fifth[r[0]]]
+    assert len(every) > len(found(fifth)) >= 10
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 
