@@ -1,6 +1,7 @@
 """Repeated passages against a dictionary of every window."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -158,3 +159,38 @@ def test_common_passage_sends_few_rows():
     sent = suffixes.block_segments(table, pa.concat_tables([again, windows]), 100, 40, 8)
     assert sent.num_rows <= 4 * n  # of about 320 windows in each text
     assert sent["content"].null_count < 1.5 * n
+
+
+@pytest.mark.parametrize("hot", [10**9, 1])
+def test_memory_of_a_block_that_repeats(hot):
+    """Segments overlap, several bytes for each byte of a text; a task holds no place for each."""
+    random = np.random.default_rng(8)
+    whole = random.integers(97, 123, 400_000).astype(np.uint8).tobytes().decode()
+    table = pa.table({
+        "block": pa.array([0, 0, 0], pa.int32()), "id": pa.array([1, 2, 3], pa.int64()),
+        "text": [whole, "a" + whole, whole[:200_000] + "b" + whole[200_000:]],
+    })
+    again = suffixes.repeated_anchors(suffixes.block_anchors(table, 100, 40, 1), hot)
+    if again["n_hot"].to_pylist()[0]:
+        windows = suffixes.repeated_anchors(suffixes.hot_windows(table, again, 100, 40, 1), 10**9)
+        windows = windows.set_column(2, "hot", pa.nulls(1, pa.binary()))
+        again = pa.concat_tables([again, windows])
+        table = table.slice(0, 1).set_column(2, "text", pa.array([whole[:100_000]]))
+    bytes_of_texts = sum(len(t) for t in table["text"].to_pylist())
+    tracemalloc.start()
+    sent = suffixes.block_segments(table, again, 100, 40, 8)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sent["content"].null_count < sent.num_rows
+    assert most < (40 if hot > 1 else 500) * bytes_of_texts
+
+
+def test_windows_of_one_number_are_equal():
+    """Also where others have their hash."""
+    data = np.frombuffer(b"abcdabcdabceabcd", np.uint8)
+    starts = np.array([0, 4, 8, 12])
+    other = np.array([7, 7, 7, 7], np.uint64)
+    assert suffixes._window_codes(data, starts, other, 4).tolist() == [0, 0, 1, 2]
+    own = suffixes.window_hashes(data, 4)[starts]
+    code = suffixes._window_codes(data, starts, own, 4)
+    assert code[0] == code[1] == code[3] != code[2]

@@ -36,6 +36,9 @@ GRAM = 40
 #: of 128.
 CHUNK = 1 << 16
 
+#: Bytes of segments that are gathered, and of windows that are compared, at once.
+GATHERED = 1 << 20
+
 #: Bytes of segments in one shard.
 SHARD_BYTES = 1 << 19
 
@@ -221,7 +224,32 @@ def hot_windows(table: pa.Table, repeated: pa.Table, span: int, gram: int, bucke
 
 
 def _contents(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
-    return tx.as_strings(data[tx.ranges(starts, sizes)], np.concatenate([[0], np.cumsum(sizes)]))
+    """The bytes of all pieces. Pieces overlap, and each byte needs a place to be taken from, so
+    they are gathered part by part."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    out = np.empty(int(offsets[-1]), np.uint8)
+    cuts = np.searchsorted(offsets, np.arange(0, offsets[-1], GATHERED))
+    cuts = np.unique(np.append(cuts, len(starts)))
+    for a, b in zip(cuts, cuts[1:]):
+        out[offsets[a] : offsets[b]] = data[tx.ranges(starts[a:b], sizes[a:b])]
+    return tx.as_strings(out, offsets)
+
+
+def _window_codes(data: np.ndarray, starts: np.ndarray, own: np.ndarray, span: int) -> np.ndarray:
+    """A number per window, by its hash ``own``; windows of one number are equal. Equal windows
+    have one number too, unless others of their hash lie between them."""
+    order = np.argsort(own, kind="stable")
+    at = starts[order]
+    alike = np.flatnonzero(np.diff(own[order]) == 0) + 1
+    new = np.ones(len(at), bool)
+    every = np.lib.stride_tricks.sliding_window_view(data, span)
+    step = max(1, GATHERED // span)
+    for low in range(0, len(alike), step):
+        some = alike[low : low + step]
+        new[some] = (every[at[some]] != every[at[some - 1]]).any(1)
+    code = np.empty(len(at), np.int64)
+    code[order] = np.cumsum(new) - 1
+    return code
 
 
 @tx.lean
@@ -249,6 +277,7 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
     if not hit.any():
         return empty
     start, count, keys, loop, warm = start[hit], count[hit], keys[hit], loop[hit], hot[at[hit]]
+    alone = np.zeros(len(start), bool)
     if warm.any():  # windows one by one, by a hash of their bytes
         one = tx.ranges(start[warm], count[warm])
         own = hashes_at(data, one, span)
@@ -258,15 +287,20 @@ def block_segments(table: pa.Table, repeated: pa.Table, span: int, gram: int, bu
         count = np.concatenate([count[~warm], np.ones(len(one), np.int64)])
         keys = np.concatenate([keys[~warm], own])
         loop = np.concatenate([loop[~warm], np.zeros(len(one), bool)])
+        alone = np.concatenate([alone[~warm], np.ones(len(one), bool)])
         place = np.argsort(start, kind="stable")
-        start, count, keys, loop = start[place], count[place], keys[place], loop[place]
+        start, count, keys, loop, alone = (x[place] for x in (start, count, keys, loop, alone))
     if len(start) == 0:
         return empty
     size = count + span - 1
     row = np.searchsorted(offsets, start, "right") - 1
     ids = _ids(table)[row]
     start_in = start - offsets[row]
-    code = _contents(data, start, size).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    code = np.empty(len(start), np.int64)
+    coded = _contents(data, start[~alone], size[~alone]).dictionary_encode()
+    code[~alone] = coded.indices.to_numpy(zero_copy_only=False)
+    if alone.any():
+        code[alone] = len(coded.dictionary) + _window_codes(data, start[alone], keys[alone], span)
     first = _earliest(code, ids, start_in)[code]
     early = (ids == ids[first]) & (start_in == start_in[first])
     # neighbours without bytes are one row
