@@ -172,3 +172,64 @@ def test_cells_of_all_tasks_are_added(spark, cells):
         want[list({at * 997 % cells, cells - 1})] += at
     assert shingles.counted_cells(rows, cells).tolist() == want.tolist()
     assert not shingles.counted_cells(rows.limit(0), cells).any()
+
+
+def test_a_common_passage_ties_no_families_however_full_the_cells_are(spark, monkeypatch):
+    """With one cell no shingle is known to be rare, as with many documents to a cell."""
+    random = np.random.default_rng(5)
+    passage = " ".join(f"p{i}" for i in range(15))
+    rows = []
+    for i in range(200):
+        own = " ".join(f"w{x}" for x in random.integers(1 << 40, size=100))
+        rows += [(2 * i, f"{own} {passage}"), (2 * i + 1, f"{own} {passage} more")]
+    kept = Workspace.keep
+
+    def counting(self, frame, name):
+        table = kept(self, frame, name)
+        if name == "family":
+            sizes.extend(r["count"] for r in table.groupBy("root").count().collect())
+        return table
+
+    sizes = []
+    monkeypatch.setattr(Workspace, "keep", counting)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = shingles.join(frame, cells=1).collect()
+    assert sorted(tuple(r) for r in got) == plain(rows, 5, 75)
+    assert sizes == [2] * 200  # was one family of 400, each part of which meets all others
+
+
+def test_nodes_that_may_be_linked_keep_what_they_share():
+    """Any two sets at the bound, in any order of their shingles, meet after every round."""
+    random = np.random.default_rng(6)
+    for _ in range(300):
+        a, b = random.integers(1, 80, size=2)
+        both = -(-3 * (a + b) // 7)
+        if both > min(a, b):
+            continue
+        every = random.choice(1 << 20, a + b - both, replace=False).astype(np.uint64) << np.uint64(11)
+        sets = [np.sort(every[:a]), np.sort(every[a - both :])]
+        counts = random.integers(1, 4, size=64)
+        least = [shingles.least_shared(len(x), 75) for x in sets]
+        chosen = [shingles.rarest(x, counts, 75) for x in sets]
+        noise = np.unique(np.concatenate(chosen))
+        noise = noise[random.random(len(noise)) < 0.5]  # a third node, so that counts differ
+        columns = {
+            "hashes": np.concatenate([*chosen, noise]),
+            "nodes": np.repeat(np.arange(3), [*map(len, chosen), len(noise)]),
+            "least": np.repeat(np.array([*least, 1], np.int32), [*map(len, chosen), len(noise)]),
+        }
+        table = pa.Table.from_batches([shingles.by_bucket(columns["hashes"], 1, **columns)])
+        assert sorted(zip(*shingles.of_bucket(table, hashes=np.uint64, nodes=np.int64, least=np.int32))) == sorted(
+            zip(*columns.values()))
+        for part in shingles.ROUNDS:
+            table = shingles.able(shingles.meetings(table, 1), 1, part)
+        pairs = shingles.touches(table)
+        assert {0, 1} <= {*pairs["a"].to_pylist(), *pairs["b"].to_pylist()}
+
+
+def test_places_are_marked(spark):
+    bits = 1 << 17
+    places = sorted({0, 7, 32767, 32768, bits - 1, *range(1000, 90_000, 977)})
+    marks = shingles.marked(spark.createDataFrame([(p,) for p in places], "place long"), bits)
+    assert np.flatnonzero(np.unpackbits(marks, bitorder="little")).tolist() == places
+    assert not shingles.marked(spark.createDataFrame([], "place long"), 2).any()

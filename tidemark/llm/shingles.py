@@ -5,14 +5,18 @@ A document is the set of its distinct shingles. Documents with one set are one n
 * Two linked sets share a sixth of their shingles within each side's rarest five twelfths (at
   a similarity of 0.75), where rare means few occurrences in a table of counted hash cells over
   all documents, then small hash. A node of which fewer shingles there occur in another node
-  cannot be linked and goes no further. The others are candidates of each other where they
-  meet; connected candidates are a family. A passage that documents share is a small part of
-  most of them, and a common one comes last in that order, so it does not tie them together.
-* A family's sets are sent once. Its signature tree holds in every tree node the OR of the
-  bitmaps below, the range of set sizes and how many shingles share bits at most. The tree is
-  walked against itself; a pair of tree nodes is left out when no pair below can overlap
-  enough, or when all below belong together already. What is left is compared shingle by
-  shingle. A family beyond a bound is dealt into parts, and pairs of parts are walked.
+  cannot be linked and goes no further. The table tells apart fewer shingles the more documents
+  there are, so those that meet are counted one by one, and the commonest of each node go as far
+  as linked sets still share a twelfth, then one; nodes with less go. The others are candidates
+  of each other where they meet; connected candidates are a family. A passage that documents
+  share is a small part of most of them, and a common one comes last in both orders, so it does
+  not tie them together, whatever the input.
+* A family's sets are sent once; a small table of marks tells whose sets are needed. Its
+  signature tree holds in every tree node the OR of the bitmaps below, the range of set sizes and
+  how many shingles share bits at most. The tree is walked against itself; a pair of tree nodes
+  is left out when no pair below can overlap enough, or when all below belong together already.
+  What is left is compared shingle by shingle. A family beyond a bound is dealt into parts, and
+  pairs of parts are walked.
 * Links give the classes.
 """
 
@@ -44,15 +48,23 @@ BUCKET_BYTES = 8 << 20
 #: Nodes of a family that one task takes from either side.
 PART_NODES = 2048
 
+#: Marks for one document whose set is sent, and marks at most; 8 MiB. Where the marks run short,
+#: more sets are made and dropped when they meet the chosen ones.
+MARKS, MOST_MARKS = 64, 1 << 26
+
+#: Rounds in which nodes without enough shingles in common with others are left out; each asks for
+#: the least number shared through this afterwards, and for one at least.
+ROUNDS = (2, 1, 1 << 30)
+
 LEAF = 32
 FLUSH_BYTES = 8 << 20
 MULTIPLIER = np.uint64(0xD6E8FEB86659FD93)
 
 SIGN = "kind int, id {id}, n_shingles long, node long, piece int, counts binary"
 CELL_PIECE = "piece int, counts binary"
-POSTING = "bucket int, hashes binary, nodes binary"
-MET = "shingle long, node long"
-MEMBER = "family long, parts int, node long, shingles binary"
+POSTING = "bucket int, hashes binary, nodes binary, least binary"
+MET = "bucket int, hashes binary, nodes binary, least binary, counts binary"
+MEMBER = "id {id}, node long, shingles binary"
 
 
 def shingle_sets(column, words: int) -> list[np.ndarray]:
@@ -145,9 +157,9 @@ def counted_cells(rows: DataFrame, cells: int) -> np.ndarray:
     return total
 
 
-def least_shared(size, percent: int):
-    """How many of the rarest shingles two linked sets share at least; works on columns too."""
-    return F.greatest(F.lit(1), F.floor(size * (100 - percent) / 150))
+def least_shared(size: int, percent: int) -> int:
+    """How many of the rarest shingles two linked sets share at least."""
+    return max(1, size * (100 - percent) // 150)
 
 
 def rarest(shingles: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
@@ -156,14 +168,39 @@ def rarest(shingles: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray
     At least ``percent`` percent of a set are shared, so of any part of it all but the rest.
     """
     n = len(shingles)
-    shared = max(1, n * (100 - percent) // 150)
+    shared = least_shared(n, percent)
     size = min(n, n - (-(-percent * n // 100)) + shared)
     order = np.lexsort((shingles, counts[_cell(shingles, len(counts))]))
     return shingles[order[:size]]
 
 
+def by_bucket(key: np.ndarray, buckets: int, **columns: np.ndarray) -> pa.RecordBatch:
+    """A row per bucket of the key, a range of it, with the columns' values there in the order of
+    the key. Values travel byte by byte, first bytes first, so that like bytes are neighbours."""
+    order = np.argsort(key)
+    bucket = ((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+    groups = list(tx.blobs(order, bucket))
+    return pa.RecordBatch.from_arrays([
+        pa.array([b for b, _ in groups], pa.int32()),
+        *(
+            pa.array([v[at].view(np.uint8).reshape(len(at), -1).T.tobytes() for _, at in groups], pa.binary())
+            for v in columns.values()
+        ),
+    ], names=["bucket", *columns])
+
+
+def of_bucket(table: pa.Table, **kinds) -> list[np.ndarray]:
+    """The columns of all rows of a bucket."""
+    def values(blob, kind) -> np.ndarray:
+        parts = np.frombuffer(blob.as_buffer(), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+        return np.ascontiguousarray(parts.T).view(kind).ravel()
+
+    return [np.concatenate([values(b, kind) for b in table[name]]) for name, kind in kinds.items()]
+
+
 def posting_batches(batches, words: int, percent: int, buckets: int, cells):
-    """Rare shingles with their nodes, by bucket; a node once per task."""
+    """Rare shingles with their nodes and how many a linked node shares at least, by bucket of the
+    shingles; a node once per task."""
     counts, seen = cells.value, set()
     held: list[tuple] = []
     size = 0
@@ -171,14 +208,11 @@ def posting_batches(batches, words: int, percent: int, buckets: int, cells):
     def flush():
         if not held:
             return
-        hashes = np.concatenate([h for h, _ in held])
-        nodes = np.repeat(np.array([n for _, n in held], np.int64), [len(h) for h, _ in held])
-        bucket = (hashes >> np.uint64(35)).astype(np.int64) % buckets
-        groups = list(tx.blobs(np.argsort(bucket, kind="stable"), bucket))
-        yield pa.RecordBatch.from_arrays([
-            pa.array([b for b, _ in groups], pa.int32()),
-            *(pa.array([v[at].tobytes() for _, at in groups], pa.binary()) for v in (hashes, nodes)),
-        ], names=["bucket", "hashes", "nodes"])
+        hashes = np.concatenate([h for h, _, _ in held])
+        each = [len(h) for h, _, _ in held]
+        nodes = np.repeat(np.array([n for _, n, _ in held], np.int64), each)
+        least = np.repeat(np.array([x for _, _, x in held], np.int32), each)
+        yield by_bucket(hashes, buckets, hashes=hashes, nodes=nodes, least=least)
         held.clear()
 
     for part in tx.slices(batches):
@@ -187,44 +221,107 @@ def posting_batches(batches, words: int, percent: int, buckets: int, cells):
                 continue
             seen.add(node)
             chosen = rarest(shingles, counts, percent)
-            held.append((chosen, node))
-            size += 16 * len(chosen)
+            held.append((chosen, node, least_shared(len(shingles), percent)))
+            size += 20 * len(chosen)
         if size > FLUSH_BYTES:
             yield from flush()
             size = 0
     yield from flush()
 
 
-@tx.lean
-def meetings(table: pa.Table) -> pa.Table:
-    """The rare shingles of a bucket that several nodes have, with those nodes."""
-    hashes, nodes = (
-        np.concatenate([np.frombuffer(b, kind) for b in table[name].to_pylist()])
-        for name, kind in (("hashes", np.uint64), ("nodes", np.int64))
-    )
+def meeting(table: pa.Table) -> tuple[np.ndarray, ...]:
+    """The shingles of a bucket that several nodes have, in order, with those nodes, their
+    least numbers and how many nodes each shingle has."""
+    hashes, nodes, least = of_bucket(table, hashes=np.uint64, nodes=np.int64, least=np.int32)
     order = np.lexsort((nodes, hashes))
-    hashes, nodes = hashes[order], nodes[order]
+    hashes, nodes, least = hashes[order], nodes[order], least[order]
     new = np.append(True, (hashes[1:] != hashes[:-1]) | (nodes[1:] != nodes[:-1]))  # once per node
-    hashes, nodes = hashes[new], nodes[new]
-    same = hashes[1:] == hashes[:-1]
-    many = np.append(same, False) | np.append(False, same)
-    return pa.table({
-        "shingle": pa.array(hashes[many].view(np.int64), pa.int64()),
-        "node": pa.array(nodes[many], pa.int64()),
-    })
+    hashes, nodes, least = hashes[new], nodes[new], least[new]
+    start = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    count = np.diff(np.append(start, len(hashes)))
+    count = np.repeat(count, count)
+    many = count > 1
+    return hashes[many], nodes[many], least[many], count[many].astype(np.int32)
 
 
-def member_batches(batches, words: int):
-    """The sets of the chosen nodes."""
-    for part in tx.slices(batches):
+@tx.lean
+def meetings(table: pa.Table, buckets: int) -> pa.Table:
+    """``meeting`` by bucket of the nodes."""
+    hashes, nodes, least, counts = meeting(table)
+    place = tx.mix(nodes.view(np.uint64))
+    found = by_bucket(place, buckets, hashes=hashes, nodes=nodes, least=least, counts=counts)
+    return pa.Table.from_batches([found])
+
+
+@tx.lean
+def able(table: pa.Table, buckets: int, part: int) -> pa.Table:
+    """What nodes of a bucket that may be linked have in common with others, by bucket of the
+    shingles. The commonest go, as far as linked nodes still share the least number through
+    ``part``, which is then the least number.
+
+    Linked nodes share the larger of their least numbers at least. Of a node that meets m with a
+    least number of s, at most m - s are shared with no given linked node; so its rarest m - s + t
+    hold the first t of the shared ones, and one more for every one shared beyond s.
+    """
+    hashes, nodes, least, counts = of_bucket(
+        table, hashes=np.uint64, nodes=np.int64, least=np.int32, counts=np.int32
+    )
+    order = np.lexsort((hashes, counts, nodes))
+    hashes, nodes, least = hashes[order], nodes[order], least[order]
+    start = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1]))
+    met = np.diff(np.append(start, len(nodes)))
+    rank = np.arange(len(nodes)) - np.repeat(start, met)
+    met = np.repeat(met, met)
+    asked = np.maximum(1, least // part)
+    keep = (met >= least) & (rank < met - least + asked)
+    hashes, nodes, least = hashes[keep], nodes[keep], asked[keep]
+    found = by_bucket(hashes, buckets, hashes=hashes, nodes=nodes, least=least)
+    return pa.Table.from_batches([found])
+
+
+def narrowed(postings: DataFrame, buckets: int, part: int) -> DataFrame:
+    """The postings without shingles that one node has alone, and without nodes that cannot be
+    linked for what is left."""
+    met = postings.groupBy("bucket").applyInArrow(lambda t: meetings(t, buckets), MET)
+    return met.groupBy("bucket").applyInArrow(lambda t: able(t, buckets, part), POSTING)
+
+
+@tx.lean
+def touches(table: pa.Table) -> pa.Table:
+    """Links that tie the nodes of every shingle of a bucket together, once each."""
+    hashes, nodes, _, counts = meeting(table)
+    first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
+    low = np.repeat(nodes[first], counts[first])
+    both = np.unique(np.column_stack([nodes, low])[nodes != low], axis=0)
+    return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+
+
+def marked(places: DataFrame, bits: int) -> np.ndarray:
+    """A bit for every place, set where there is one; a row per 4 KiB comes to the driver."""
+    rows = places.groupBy(F.shiftright("place", 15).alias("number")).agg(
+        F.bitmap_construct_agg(F.col("place").bitwiseAND(32767)).alias("bits")
+    )
+    marks = np.zeros(-(-bits // 32768) * 4096, np.uint8)
+    for row in rows.collect():
+        marks[row.number * 4096 :][:4096] = np.frombuffer(row.bits, np.uint8)
+    return marks
+
+
+def member_batches(batches, words: int, marks):
+    """The sets of documents whose place is marked."""
+    def some():
+        for batch in batches:
+            at = batch["place"].to_numpy()
+            yield batch.filter(pa.array((marks.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+
+    for part in tx.slices(some()):
         sets = shingle_sets(part["text"], words)
-        nodes = part["node"].to_pylist()
-        keep = [i for i, s in enumerate(sets) if len(s) and node_of(s) == nodes[i]]
+        keep = [i for i, s in enumerate(sets) if len(s)]
         yield pa.RecordBatch.from_arrays([
-            *(tx.one_array(part[c].take(pa.array(keep, pa.int64()))) for c in ("family", "parts")),
-            pa.array([nodes[i] for i in keep], pa.int64()),
+            tx.one_array(part["id"].take(pa.array(keep, pa.int64()))),
+            pa.array([node_of(sets[i]) for i in keep], pa.int64()),
             pa.array([sets[i].tobytes() for i in keep], pa.binary()),
-        ], names=["family", "parts", "node", "shingles"])
+        ], names=["id", "node", "shingles"])
 
 
 class Tree:
@@ -384,29 +481,32 @@ def join(
     postings = source.mapInArrow(
         lambda b: posting_batches(b, words, percent, buckets, counts), POSTING
     )
-    met = work.keep(postings.groupBy("bucket").applyInArrow(lambda t: meetings(t), MET), "met")
-    sizes = signs.groupBy("node").agg(F.max("n_shingles").alias("size"))
-    able = (
-        met.groupBy("node").agg(F.count("*").alias("n")).join(sizes, "node")
-        .where(F.col("n") >= least_shared(F.col("size"), percent)).select("node")
+    for part in ROUNDS:
+        postings = narrowed(postings, buckets, part)
+    touching = work.keep(
+        postings.groupBy("bucket").applyInArrow(lambda t: touches(t), "a long, b long"), "touching"
     )
-    left = met.join(able, "node", "left_semi")
-    low = left.groupBy("shingle").agg(F.min("node").alias("b"))
-    touching = left.join(low, "shingle").select(F.col("node").alias("a"), "b").distinct()
-    families = work.keep(components(work, touching, "families", met.count()), "family")
-    work.remove("met")
+    families = work.keep(components(work, touching, "families", touching.count()), "family")
+    work.remove("touching")
+    work.drop_shuffles()
 
     # one document of each candidate node brings the set, to each pair of parts it is in
     parts = families.groupBy("root").agg(F.ceil(F.count("*") / part_nodes).cast("int").alias("parts"))
-    chosen = (
+    chosen = work.keep(
         signs.join(families, "node").groupBy("node", "root").agg(F.min("id").alias("carrier"))
-        .join(parts, "root").withColumnRenamed("root", "family")
+        .join(parts, "root").withColumnRenamed("root", "family"),
+        "chosen",
+    )
+    bits = min(MOST_MARKS, 1 << (MARKS * chosen.count()).bit_length())
+    place = F.pmod(F.xxhash64("id"), F.lit(bits)).alias("place")
+    marks = spark.sparkContext.broadcast(
+        marked(chosen.select(F.col("carrier").alias("id")).select(place), bits)
     )
-    members = (
-        source.join(chosen, source["id"].eqNullSafe(F.col("carrier")))
-        .select("text", "node", "family", "parts")
-        .mapInArrow(lambda b: member_batches(b, words), MEMBER)
+    sets = source.select("id", "text", place).mapInArrow(
+        lambda b: member_batches(b, words, marks), MEMBER.format(id=id_type)
     )
+    carried = sets["id"].eqNullSafe(chosen["carrier"]) & (sets["node"] == chosen["node"])
+    members = sets.join(chosen, carried).select("family", "parts", chosen["node"], "shingles")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     pairs = (
