@@ -91,6 +91,31 @@ def test_only_documents_that_reach_a_known_score_leave_a_shard():
     assert len(every) > len(found(fifth)) >= 10
 
 
+def test_short_queries_take_their_best_blocks_together(monkeypatch):
+    texts = some_texts(400)
+    asked = [" ".join(t.split()[: 1 + i % 6]) for i, t in enumerate(texts[:150])] + ["nowhere", ""]
+    queries = bm25.Queries(pa.array(range(len(asked)), pa.int64()), pa.array(asked))
+    postings, lengths = bm25.term_postings(pa.array(texts), queries.terms)
+    weight = np.linspace(0.5, 3, len(queries.terms))
+    shard = bm25.Shard(postings, lengths, weight, lengths.mean(), 8)
+    every = np.arange(len(asked))
+    scored, block_scores = [], shard.block_scores
+
+    def counting(first, term, count, row, pivot):
+        scored.append(len(row))
+        return block_scores(first, term, count, row, pivot)
+
+    monkeypatch.setattr(shard, "block_scores", counting)
+    floor = np.zeros(len(asked))
+    got = shard.top(queries, every, 5, floor)
+    score = np.round(shard.scores(queries, every), bm25.DECIMALS)
+    want = [(q, -score[q, d], d) for q in every for d in np.lexsort((np.arange(400), -score[q]))[:5] if score[q, d]]
+    assert [(q, -x, d) for q, x, d in zip(*got)] == want
+    assert len(scored) <= 6 and sum(scored) < 0.7 * len(asked) * shard.blocks  # a call per query before
+    again = shard.top(queries, every, 5, floor.copy())
+    assert [x.tolist() for x in again] == [x.tolist() for x in got]
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 
